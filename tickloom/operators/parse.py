@@ -73,6 +73,7 @@ def parse_quotes(envelopes: DataFrame, raw: str = "raw") -> DataFrame:
         *kept,
         "_priced",
         "_price",
+        "_around",
         F.when(F.col("_around"), F.col("_price") * 0.9999).otherwise(F.col("_bid")).alias("best_bid"),
         F.when(F.col("_around"), F.col("_price") * 1.0001).otherwise(F.col("_ask")).alias("best_ask"),
         "volume_24h",
@@ -89,6 +90,8 @@ def parse_quotes(envelopes: DataFrame, raw: str = "raw") -> DataFrame:
         "time",
     )
     readable = F.col("midprice").isNotNull() & (~F.col("_priced") | F.col("_price").isNotNull())
+    # Quotes set around a price of zero are themselves not given.
+    readable = readable & ~(F.col("_around") & (F.col("_price") == 0.0))
     return df.select(*kept, F.when(readable, quote).alias("quote"))
 
 
