@@ -55,42 +55,34 @@ def envelopes(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-# One payload form per remainder of the event id; {v}, {b} and {a} stand for the value, a
+# One payload form per remainder of the event id; <v>, <b> and <a> stand for the value, a
 # bid just below and an ask just above it.
 SHAPES = [
-    '{{"type":"ticker","price":"{v}","best_bid":"{b}","best_ask":"{a}","volume_24h":"5","time":"t"}}',
-    '{{"price":{v}}}',
-    '{{"price":{v},"best_bid":{b}}}',
-    '{{"best_bid":"{b}","best_ask":"{a}","timestamp":"t"}}',
-    '{{"last_price":"{v}","bid":"{b}","ask":"{a}"}}',
-    '{{"price":{v},"best_bid":0,"best_ask":{a}}}',
-    '{{"best_bid":"0","best_ask":"{a}"}}',
-    '{{"price":"0"}}',
-    '{{"type":"subscriptions"}}',
-    '{{"price":',
-    '{{"price":"abc","best_bid":"{b}","best_ask":"{a}"}}',
-    '{{"price":" {v} ","volume_24h":7}}',
-    "[{v}]",
-    '{{"price":true}}',
+    '{"type":"ticker","price":"<v>","best_bid":"<b>","best_ask":"<a>","volume_24h":"5","time":"t"}',
+    '{"price":<v>}',
+    '{"price":<v>,"best_bid":<b>}',
+    '{"best_bid":"<b>","best_ask":"<a>","timestamp":"t"}',
+    '{"last_price":"<v>","bid":"<b>","ask":"<a>"}',
+    '{"price":<v>,"best_bid":0,"best_ask":<a>}',
+    '{"best_bid":"0","best_ask":"<a>"}',
+    '{"price":"0"}',
+    '{"type":"subscriptions"}',
+    '{"price":',
+    '{"price":"abc","best_bid":"<b>","best_ask":"<a>"}',
+    '{"price":" <v> ","volume_24h":7}',
+    "[<v>]",
+    '{"price":true}',
     "",
 ]
 
 
 def shaped_envelopes(spark: SparkSession, folder: str) -> DataFrame:
     """Events as raw messages in every payload form, usable and not."""
-    texts = {"v": F.col("value"), "b": F.col("value") - 0.01, "a": F.col("value") + 0.01}
-    raw = F.lit("")
-    for i, shape in enumerate(SHAPES):
-        parts, rest = [], shape.replace("{{", "\0").replace("}}", "\1")
-        while rest:
-            if rest[0] == "{" and rest[2] == "}":
-                parts.append(texts[rest[1]].cast("string"))
-                rest = rest[3:]
-                continue
-            end = rest.find("{") if "{" in rest else len(rest)
-            parts.append(F.lit(rest[:end].replace("\0", "{").replace("\1", "}")))
-            rest = rest[end:]
-        raw = F.when(F.pmod("event_id", F.lit(len(SHAPES))) == i, F.concat(*parts) if parts else F.lit("")).otherwise(raw)
+    value = F.col("value")
+    shape = F.element_at(F.array(*[F.lit(s) for s in SHAPES]), (F.pmod("event_id", F.lit(len(SHAPES))) + 1).cast("int"))
+    raw = shape
+    for mark, number in {"<v>": value, "<b>": value - 0.01, "<a>": value + 0.01}.items():
+        raw = F.replace(raw, F.lit(mark), number.cast("string"))
     return table(spark, folder, "events").select(
         F.col("event_type").alias("pair"),
         (event_us() / F.lit(1e6)).alias("ts"),
