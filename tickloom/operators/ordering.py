@@ -149,42 +149,46 @@ def value_at_ranks(
     """
     small_group = SMALL_GROUP if small_group is None else small_group
     buckets = buckets or bucket_count(df)
-    rows = df.where(F.col(value).isNotNull()).select(value)
-    found: dict[int, tuple] = {}
-    for rank in sorted(set(ranks)):
-        part, below = rows, 0
-        while True:
-            stats = part.agg(F.count(value).alias("n"), F.min(value).alias("lo"), F.max(value).alias("hi")).first()
-            if rank - below >= stats["n"]:
-                raise ValueError(f"rank {rank} is beyond the last row")
-            if stats["lo"] == stats["hi"]:
-                found[rank] = (stats["lo"], below)
-                break
-            if stats["n"] <= small_group:
-                counts = part.groupBy(value).agg(F.count(F.lit(1)).alias("n"))
-                upto = F.sum("n").over(W.orderBy(value).rowsBetween(W.unboundedPreceding, W.currentRow))
-                hit = (
-                    counts.withColumn("upto", upto)
-                    .where(F.col("upto") > rank - below)
-                    .orderBy("upto")
-                    .first()
+    column, n = F.col(value), F.count(F.lit(1)).alias("n")
+    ends = [F.min(value).alias("lo"), F.max(value).alias("hi")]
+
+    def search(part: DataFrame, wanted: list[int], below: int) -> dict[int, tuple]:
+        stats = part.agg(n, *ends, cut_points(value, buckets).alias("marks")).first()
+        if wanted[-1] - below >= stats["n"]:
+            raise ValueError(f"rank {wanted[-1]} is beyond the last row")
+        if stats["lo"] == stats["hi"]:
+            return {rank: (stats["lo"], below) for rank in wanted}
+        if stats["n"] <= small_group:
+            counts = part.groupBy(value).agg(n)
+            upto = F.sum("n").over(W.orderBy(value).rowsBetween(W.unboundedPreceding, W.currentRow))
+            first = F.col("upto") - F.col("n")
+            hits = counts.withColumn("upto", upto).where(
+                F.exists(
+                    F.array(*[F.lit(rank - below) for rank in wanted]),
+                    lambda rank: (rank >= first) & (rank < F.col("upto")),
                 )
-                found[rank] = (hit[value], below + hit["upto"] - hit["n"])
-                break
-            marks = part.agg(cut_points(value, buckets)).first()[0]
-            literal = F.array(*[F.lit(m) for m in marks])
-            counted = (
-                part.groupBy(bucket_of(literal, F.col(value), buckets).alias("bucket"))
-                .agg(F.count(F.lit(1)).alias("n"), F.min(value).alias("lo"), F.max(value).alias("hi"))
-                .orderBy("bucket")
-                .collect()
-            )
-            for bucket in counted:
-                if rank - below < bucket["n"]:
-                    part = part.where(F.col(value).between(F.lit(bucket["lo"]), F.lit(bucket["hi"])))
-                    break
-                below += bucket["n"]
-    return found
+            ).collect()
+            return {
+                rank: (hit[value], below + hit["upto"] - hit["n"])
+                for rank in wanted
+                for hit in hits
+                if hit["upto"] - hit["n"] <= rank - below < hit["upto"]
+            }
+        marks = F.array(*[F.lit(m) for m in stats["marks"]])
+        counted = part.groupBy(bucket_of(marks, column, buckets).alias("bucket")).agg(n, *ends)
+        found = {}
+        for bucket in counted.orderBy("bucket").collect():
+            inside = [rank for rank in wanted if below <= rank < below + bucket["n"]]
+            if inside and bucket["lo"] == bucket["hi"]:
+                found |= {rank: (bucket["lo"], below) for rank in inside}
+            elif inside:
+                narrow = part.where(column.between(F.lit(bucket["lo"]), F.lit(bucket["hi"])))
+                found |= search(narrow, inside, below)
+            below += bucket["n"]
+        return found
+
+    wanted = sorted(set(ranks))
+    return search(df.where(column.isNotNull()).select(value), wanted, 0) if wanted else {}
 
 
 def keys_at_ranks(
