@@ -174,7 +174,9 @@ def value_at_ranks(
                 for hit in hits
                 if hit["upto"] - hit["n"] <= rank - below < hit["upto"]
             }
-        marks = F.array(*[F.lit(m) for m in stats["marks"]])
+        # A cut below the highest value leaves rows on both sides, so the range shrinks.
+        inner = [m for m in stats["marks"] if stats["lo"] <= m < stats["hi"]] or [stats["lo"]]
+        marks = F.array(*[F.lit(m) for m in inner])
         counted = part.groupBy(bucket_of(marks, column, buckets).alias("bucket")).agg(n, *ends)
         found = {}
         for bucket in counted.orderBy("bucket").collect():
