@@ -1,0 +1 @@
+"""Tick features, labels, models, evaluation and drift as Spark jobs."""

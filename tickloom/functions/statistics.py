@@ -30,7 +30,7 @@ def _ks_exact(d: float, n: int, m: int) -> float:
     """
     if n > m:
         n, m = m, n
-    limit = np.round(d * n * m)
+    limit = np.ceil(d * n * m - 1e-6)
     if limit <= 0:
         return 1.0
     i = np.arange(n + 1)

@@ -62,7 +62,8 @@ def distances(sides: DataFrame, columns: list[str], small_group: int | None = No
 @F.pandas_udf(DoubleType())
 def _ks_p(parts: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.Series]:
     for d, n, m in parts:
-        yield pd.Series([ks_p_value(*row) for row in zip(d, n, m)], dtype="float64")
+        p = [ks_p_value(*row) if row[0] == row[0] else None for row in zip(d, n, m)]
+        yield pd.Series(p, dtype="float64")
 
 
 def drift_by_column(
@@ -88,8 +89,8 @@ def drift_by_column(
     test = F.when(small, KS).when(F.col("n_values") <= few_values, JENSEN_SHANNON).otherwise(WASSERSTEIN)
     normed = F.col("area") / F.greatest(F.col("scale"), F.lit(SMALLEST_SCALE))
     other = F.when(F.col("n_values") <= few_values, F.col("jensen_shannon")).otherwise(normed)
-    tested = rows.where(small).withColumn("score", _ks_p("ks", "n_reference", "n_current"))
-    rows = tested.unionByName(rows.where(~small).withColumn("score", other))
+    p_value = _ks_p(F.when(small, F.col("ks")), "n_reference", "n_current")
+    rows = rows.withColumn("_p", p_value).withColumn("score", F.when(small, F.col("_p")).otherwise(other))
     limit = F.when(F.col("test") == KS, P_VALUE_LIMIT).otherwise(DISTANCE_LIMIT)
     drift = F.when(F.col("test") == KS, F.col("score") < P_VALUE_LIMIT).otherwise(F.col("score") >= DISTANCE_LIMIT)
     return rows.withColumn("test", test).select(

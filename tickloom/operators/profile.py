@@ -172,7 +172,13 @@ def correlations(df: DataFrame, columns: list[str]) -> DataFrame:
     """Pearson correlation of every pair of columns, both ways round, in one scan."""
     clean = df.select(*[number_or_null(c) for c in columns])
     pairs = list(combinations_with_replacement(columns, 2))
-    row = clean.agg(*[F.corr(a, b).alias(f"{i}") for i, (a, b) in enumerate(pairs)])
+
+    def pearson(a: str, b: str) -> Column:
+        # Unlike the built-in, NULL rather than an error where a column is constant.
+        spread = lambda x, y: F.stddev_pop(F.when(F.col(y).isNotNull(), F.col(x)))
+        return F.covar_pop(a, b) / F.nullif(spread(a, b) * spread(b, a), F.lit(0.0))
+
+    row = clean.agg(*[pearson(a, b).alias(f"{i}") for i, (a, b) in enumerate(pairs)])
     long = unpivot(row, [str(i) for i in range(len(pairs))], "correlation")
     left = F.array(*[F.lit(a) for a, _ in pairs])
     right = F.array(*[F.lit(b) for _, b in pairs])
@@ -181,8 +187,7 @@ def correlations(df: DataFrame, columns: list[str]) -> DataFrame:
     both = F.when(
         F.col("a") == F.col("b"), F.array(F.struct("a", "b"))
     ).otherwise(F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b"))))
-    value = F.when(~F.isnan("correlation"), F.col("correlation"))
-    return named.select(F.explode(both).alias("p"), value.alias("correlation")).select(
+    return named.select(F.explode(both).alias("p"), "correlation").select(
         F.col("p.a").alias("column_a"), F.col("p.b").alias("column_b"), "correlation"
     )
 
