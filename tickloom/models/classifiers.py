@@ -7,6 +7,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, functions as F
 
 from tickloom.schemas import FEATURES, IMPORTANCE
+from tickloom.session import work_dir
 
 LOGISTIC, TREES = "logistic_regression", "boosted_trees"
 _INNER = ["_vector", "_weight", "rawPrediction", "probability", "prediction"]
@@ -60,6 +61,9 @@ def fit_trees(
     check_features(df, features)
     negatives, positives = class_counts(df, label)
     weight = F.when(F.col(label) == 1, negatives / positives).otherwise(1.0)
+    sc = df.sparkSession.sparkContext
+    if not sc.getCheckpointDir():  # the rounds build on each other; long lineage is cut there
+        sc.setCheckpointDir(work_dir(df.sparkSession))
     model = GBTClassifier(
         featuresCol="_vector", labelCol=label, weightCol="_weight", maxDepth=depth,
         maxIter=rounds, stepSize=rate, seed=seed,
