@@ -18,6 +18,8 @@ def get_spark(app_name: str = "tickloom", master: str | None = None, **conf) ->
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
+        # Looking up the Python call site of every column costs more than planning does.
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
         "spark.sql.streaming.stateStore.providerClass": ROCKSDB,
     }
     settings.update({k.replace("__", "."): v for k, v in conf.items()})
