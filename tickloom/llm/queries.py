@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from tickloom.llm.decontaminate import contamination
 from tickloom.llm.near_dedup import near_duplicates
-from tickloom.llm.tables import read
+from tickloom.llm.tables import hex_digest, read
 
 
 def op4_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
@@ -13,6 +14,19 @@ def op4_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return rows.select("doc_id", "n_shingles", "component_id", "kept")
 
 
+def op8_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    rows = contamination(read(spark, folder, "documents"), read(spark, folder, "benchmark"))
+    return rows.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("bigint").alias("n_items"),
+        hex_digest(F.array_join("items", ",")).alias("items_sha256"),
+        "contaminated",
+    )
+
+
 QUERIES = {
     "op4_near_dedup": op4_near_dedup,
+    "op8_decontamination": op8_decontamination,
 }

@@ -46,11 +46,17 @@ def text_rows(docs: DataFrame, key: str = "doc_id", text: str = "text", **more)
 
 def keep_rows(docs: DataFrame, keys: DataFrame, key: str = "doc_id", text: str = "text", how: str = "left_semi") -> DataFrame:
     """Rows of ``docs`` whose id and text are in ``keys`` (doc_id, text_hash), or, with
-    ``left_anti``, are not. Of equal rows (same id, same text) one is returned."""
+    ``left_anti``, are not. A null id or text is a value like any other."""
     left = docs.withColumns({"__hash": F.xxhash64(docs[text].cast("string"))})
     right = keys.select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__text_hash"))
     kept = left.join(right, (F.col("__hash") == F.col("__text_hash")) & left[key].eqNullSafe(F.col("__id")), how)
-    return kept.dropDuplicates([key, "__hash"]).select(*docs.columns)
+    return kept.select(*docs.columns)
+
+
+def one_of_repeated(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """``docs`` with one of each set of rows that have the same id and the same text."""
+    hashed = docs.withColumns({"__hash": F.xxhash64(docs[text].cast("string"))})
+    return hashed.dropDuplicates([key, "__hash"]).select(*docs.columns)
 
 
 def hex_digest(column) -> F.Column:
