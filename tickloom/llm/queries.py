@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tickloom.llm.decontaminate import contamination
+from tickloom.llm.language import fit_language, predict_language
 from tickloom.llm.near_dedup import near_duplicates
 from tickloom.llm.tables import hex_digest, read
 
@@ -14,6 +15,15 @@ def op4_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return rows.select("doc_id", "n_shingles", "component_id", "kept")
 
 
+def op5_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    """Learns from three folds of four, told by the id, and predicts all."""
+    docs = read(spark, folder, "documents")
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4 == 2, F.lit(False))
+    model = fit_language(docs.where(~held_out & F.col("doc_id").isNotNull()).select("doc_id", "text", "lang"))
+    predicted = predict_language(docs.select("doc_id", "text"), model)
+    return predicted.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
 def op8_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     rows = contamination(read(spark, folder, "documents"), read(spark, folder, "benchmark"))
     return rows.select(
@@ -28,5 +38,6 @@ def op8_decontamination(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     "op4_near_dedup": op4_near_dedup,
+    "op5_language_id": op5_language_id,
     "op8_decontamination": op8_decontamination,
 }
