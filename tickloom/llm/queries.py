@@ -7,9 +7,17 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tickloom.llm.decontaminate import contamination
 from tickloom.llm.language import fit_language, predict_language
 from tickloom.llm.near_dedup import near_duplicates
+from tickloom.llm.pieces import encode_pieces, token_numbers
 from tickloom.llm.tables import hex_digest, read
 
 
+def piece_vocabulary() -> str:
+    """Where the public vocabulary file is installed."""
+    import public_tokenizers
+
+    return public_tokenizers.path("piece_bpe_32k.model")
+
+
 def op4_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     rows = near_duplicates(read(spark, folder, "documents"), words=3, similarity=85)
     return rows.select("doc_id", "n_shingles", "component_id", "kept")
@@ -24,6 +32,16 @@ def op5_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return predicted.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
+def op6_pieces(spark: SparkSession, folder: str, vocabulary: str | None = None) -> DataFrame:
+    rows = encode_pieces(read(spark, folder, "documents"), vocabulary or piece_vocabulary())
+    return rows.select(
+        "doc_id",
+        token_numbers().alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        hex_digest("decoded").alias("decoded_sha256"),
+    )
+
+
 def op8_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     rows = contamination(read(spark, folder, "documents"), read(spark, folder, "benchmark"))
     return rows.select(
@@ -39,5 +57,6 @@ def op8_decontamination(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     "op4_near_dedup": op4_near_dedup,
     "op5_language_id": op5_language_id,
+    "op6_pieces": op6_pieces,
     "op8_decontamination": op8_decontamination,
 }
