@@ -5,12 +5,27 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tickloom.llm.decontaminate import contamination
+from tickloom.llm.fingerprint import as_text, containment, distinct_shingles, edited_neighbours
 from tickloom.llm.language import fit_language, predict_language
 from tickloom.llm.near_dedup import near_duplicates
 from tickloom.llm.pieces import encode_pieces, token_numbers
 from tickloom.llm.tables import hex_digest, read
 
 
+def op1_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    return edited_neighbours(read(spark, folder, "documents")).select(
+        "doc_id",
+        "n_chars",
+        F.sha2("edited", 256).alias("edited_sha256"),
+        as_text("fingerprint").alias("fingerprint"),
+        as_text("edited_fingerprint").alias("edited_fingerprint"),
+        "near_edited",
+        "near_next",
+        distinct_shingles("fingerprint").alias("n_shingles"),
+        containment("edited_fingerprint", "fingerprint").alias("edited_contained"),
+    )
+
+
 def piece_vocabulary() -> str:
     """Where the public vocabulary file is installed."""
     import public_tokenizers
@@ -55,6 +70,7 @@ def op8_decontamination(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_fingerprints": op1_fingerprints,
     "op4_near_dedup": op4_near_dedup,
     "op5_language_id": op5_language_id,
     "op6_pieces": op6_pieces,
