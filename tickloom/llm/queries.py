@@ -9,6 +9,7 @@ from tickloom.llm.fingerprint import as_text, containment, distinct_shingles, ed
 from tickloom.llm.language import fit_language, predict_language
 from tickloom.llm.near_dedup import near_duplicates
 from tickloom.llm.pieces import encode_pieces, token_numbers
+from tickloom.llm.secret_scan import scan_secrets, span_count, span_text
 from tickloom.llm.tables import hex_digest, read
 
 
@@ -26,6 +27,16 @@ def op1_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op3_secrets(spark: SparkSession, folder: str) -> DataFrame:
+    found = scan_secrets(read(spark, folder, "documents"))
+    return found.select(
+        "doc_id",
+        *[span_count("base", kind).alias(f"n_{kind}") for kind in ("assign", "access", "hex")],
+        F.sha2(span_text("base"), 256).alias("base_sha256"),
+        span_text("spans").alias("spans"),
+    )
+
+
 def piece_vocabulary() -> str:
     """Where the public vocabulary file is installed."""
     import public_tokenizers
@@ -71,6 +82,7 @@ def op8_decontamination(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     "op1_fingerprints": op1_fingerprints,
+    "op3_secrets": op3_secrets,
     "op4_near_dedup": op4_near_dedup,
     "op5_language_id": op5_language_id,
     "op6_pieces": op6_pieces,
