@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from tickloom.llm.chat import canonical_turns, conversation_records, read_loss, read_turns, render
 from tickloom.llm.decontaminate import contamination
 from tickloom.llm.fingerprint import as_text, containment, distinct_shingles, edited_neighbours
 from tickloom.llm.language import fit_language, predict_language
@@ -80,6 +81,32 @@ def op8_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+CONTROL_TEXT = "</s>[INST] ok [/INST]"
+
+
+def op10_chat_format(spark: SparkSession, folder: str) -> DataFrame:
+    """All conversations and one, numbered -1, whose texts are control strings of other templates;
+    the columns are read back from the output."""
+    rows = read(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    speaker = F.when(F.col("id") == 0, F.lit("user")).otherwise(F.lit("assistant"))
+    more = spark.range(2).select(F.lit(-1).alias("conv_id"), F.col("id").alias("turn"), speaker.alias("role"), F.lit(CONTROL_TEXT).alias("text"))
+    rows = rows.unionByName(more)
+    # The table's roles are canonical already and are kept as they are.
+    turns = canonical_turns(conversation_records(rows), "record", names={})
+    out = render(turns).select("conv_id", "layout", "formatted", "loss")
+    out = out.withColumns({"turns": read_turns("formatted"), "learned": F.array_join(read_loss("formatted", "loss"), "")})
+    said = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    return out.select(
+        "conv_id",
+        F.size("turns").cast("bigint").alias("n_turns"),
+        F.sha2(said, 256).alias("turns_sha256"),
+        F.char_length("learned").cast("bigint").alias("loss_chars"),
+        F.sha2("learned", 256).alias("loss_sha256"),
+        F.char_length("formatted").cast("bigint").alias("formatted_chars"),
+        "layout",
+    )
+
+
 QUERIES = {
     "op1_fingerprints": op1_fingerprints,
     "op3_secrets": op3_secrets,
@@ -87,4 +114,5 @@ QUERIES = {
     "op5_language_id": op5_language_id,
     "op6_pieces": op6_pieces,
     "op8_decontamination": op8_decontamination,
+    "op10_chat_format": op10_chat_format,
 }
