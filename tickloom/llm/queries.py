@@ -8,6 +8,7 @@ from tickloom.llm.chat import canonical_turns, conversation_records, read_loss,
 from tickloom.llm.decontaminate import contamination
 from tickloom.llm.fingerprint import as_text, containment, distinct_shingles, edited_neighbours
 from tickloom.llm.language import fit_language, predict_language
+from tickloom.llm.line_dedup import drop_repeated_lines
 from tickloom.llm.near_dedup import near_duplicates
 from tickloom.llm.pieces import encode_pieces, token_numbers
 from tickloom.llm.secret_scan import scan_secrets, span_count, span_text
@@ -69,6 +70,18 @@ def op6_pieces(spark: SparkSession, folder: str, vocabulary: str | None = None)
     )
 
 
+def op7_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document's text after line dedup, as a digest."""
+    rows = drop_repeated_lines(read(spark, folder, "documents"), drop_empty=False)
+    return rows.select(
+        "doc_id",
+        F.char_length("text").cast("bigint").alias("n_chars"),
+        F.size(F.split("text", "\n", -1)).cast("bigint").alias("n_lines"),
+        F.sha2("text", 256).alias("text_sha256"),
+        (F.trim(F.col("text"), F.lit(" \t\r\n")) != "").alias("has_text"),
+    )
+
+
 def op8_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     rows = contamination(read(spark, folder, "documents"), read(spark, folder, "benchmark"))
     return rows.select(
@@ -113,6 +126,7 @@ QUERIES = {
     "op4_near_dedup": op4_near_dedup,
     "op5_language_id": op5_language_id,
     "op6_pieces": op6_pieces,
+    "op7_line_dedup": op7_line_dedup,
     "op8_decontamination": op8_decontamination,
     "op10_chat_format": op10_chat_format,
 }
