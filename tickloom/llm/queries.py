@@ -8,10 +8,12 @@ from tickloom.llm.chat import canonical_turns, conversation_records, read_loss,
 from tickloom.llm.decontaminate import contamination
 from tickloom.llm.fingerprint import as_text, containment, distinct_shingles, edited_neighbours
 from tickloom.llm.language import fit_language, predict_language
+from tickloom.llm.licence_scan import scan_licences
 from tickloom.llm.line_dedup import drop_repeated_lines
 from tickloom.llm.near_dedup import near_duplicates
 from tickloom.llm.pieces import encode_pieces, token_numbers
 from tickloom.llm.secret_scan import scan_secrets, span_count, span_text
+from tickloom.llm.sharding import shards
 from tickloom.llm.tables import hex_digest, read
 
 
@@ -29,6 +31,15 @@ def op1_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op2_licences(spark: SparkSession, folder: str) -> DataFrame:
+    found = scan_licences(read(spark, folder, "documents"))
+    return found.select(
+        "doc_id",
+        F.array_join("licences", ",").alias("licences"),
+        F.array_join(F.transform(F.coalesce("sentences", F.array().cast("array<struct<place:int,sentence:string>>")), lambda s: F.concat_ws(":", s["place"], s["sentence"])), ",").alias("sentences"),
+    )
+
+
 def op3_secrets(spark: SparkSession, folder: str) -> DataFrame:
     found = scan_secrets(read(spark, folder, "documents"))
     return found.select(
@@ -97,6 +108,11 @@ def op8_decontamination(spark: SparkSession, folder: str) -> DataFrame:
 CONTROL_TEXT = "</s>[INST] ok [/INST]"
 
 
+def op9_shards(spark: SparkSession, folder: str) -> DataFrame:
+    placed = shards(read(spark, folder, "documents"))
+    return placed.select("doc_id", "bytes", F.col("prefix").alias("shard"), "depth", "oversized")
+
+
 def op10_chat_format(spark: SparkSession, folder: str) -> DataFrame:
     """All conversations and one, numbered -1, whose texts are control strings of other templates;
     the columns are read back from the output."""
@@ -122,11 +138,13 @@ def op10_chat_format(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     "op1_fingerprints": op1_fingerprints,
+    "op2_licences": op2_licences,
     "op3_secrets": op3_secrets,
     "op4_near_dedup": op4_near_dedup,
     "op5_language_id": op5_language_id,
     "op6_pieces": op6_pieces,
     "op7_line_dedup": op7_line_dedup,
     "op8_decontamination": op8_decontamination,
+    "op9_shards": op9_shards,
     "op10_chat_format": op10_chat_format,
 }
