@@ -49,13 +49,15 @@ SENTENCES = {
     "apache2-ref": ["Licensed under the Apache License, Version 2.0.", "Licensed under the Apache License 2.0.", "This project is licensed under the Apache License, Version 2.0.", "Apache License, Version 2.0"],
     "gpl2-ref": ["This work is licensed under the GNU General Public License, version 2.", "Licensed under the GNU General Public License, version 2.", "This program is licensed under the GNU General Public License, version 2."],
     "gpl3-ref": ["This work is licensed under the GNU General Public License, version 3.", "Licensed under the GNU General Public License, version 3.", "This program is licensed under the GNU General Public License, version 3."],
-    "gpl-free": ["This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."],
-    "gpl2-free": ["This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version."],
+    "gpl-start": ["This program is free software:", "This program is free software;"],
+    "gpl3-free": ["you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."],
+    "gpl-terms": ["you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation;"],
+    "gpl2-free": ["either version 2 of the License, or (at your option) any later version."],
     "gpl-hope": ["This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY;"],
     "lgpl21-ref": ["Licensed under the GNU Lesser General Public License, version 2.1.", "This work is licensed under the GNU Lesser General Public License, version 2.1."],
     "lgpl3-ref": ["Licensed under the GNU Lesser General Public License, version 3.", "This work is licensed under the GNU Lesser General Public License, version 3."],
     "agpl3-ref": ["Licensed under the GNU Affero General Public License, version 3.", "This work is licensed under the GNU Affero General Public License, version 3."],
-    "mpl2-ref": ["This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.", "Licensed under the Mozilla Public License, Version 2.0.", "Licensed under the Mozilla Public License 2.0."],
+    "mpl2-ref": ["This Source Code Form is subject to the terms of the Mozilla Public License, v.", "Licensed under the Mozilla Public License, Version 2.0.", "Licensed under the Mozilla Public License 2.0."],
     "unlicense": ["This is free and unencumbered software released into the public domain."],
     "public-domain": ["This work is in the public domain.", "Released into the public domain."],
     "cc0-ref": ["Licensed under CC0 1.0.", "This work is dedicated to the public domain under CC0 1.0.", "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work."],
@@ -86,10 +88,10 @@ RULES: list[tuple[str, tuple[str, ...]]] = [
     ("ISC", ("isc-grant",)),
     ("Apache-2.0", ("apache2-notice", "apache2-use", "apache2-copy")),
     ("Apache-2.0", ("apache2-title", "apache2-title")),
-    ("GPL-3.0-or-later", ("gpl-free", "gpl-hope")),
-    ("GPL-3.0-or-later", ("gpl-free",)),
-    ("GPL-2.0-or-later", ("gpl2-free", "gpl-hope")),
-    ("GPL-2.0-or-later", ("gpl2-free",)),
+    ("GPL-3.0-or-later", ("gpl-start", "gpl3-free", "gpl-hope")),
+    ("GPL-3.0-or-later", ("gpl3-free",)),
+    ("GPL-2.0-or-later", ("gpl-start", "gpl-terms", "gpl2-free", "gpl-hope")),
+    ("GPL-2.0-or-later", ("gpl-terms", "gpl2-free")),
     ("Apache-2.0", ("apache2-notice",)),
     ("Unlicense", ("unlicense",)),
     ("MIT", ("mit-ref",)),
@@ -148,11 +150,9 @@ def licence_sentences(rows: DataFrame, text: str = "text") -> DataFrame:
     # A table fixed in this file, small enough for every executor.
     known = F.from_json(F.lit(json.dumps([{"name": n, "sentence": s} for n, s in known_sentences()])), "array<struct<name:string,sentence:string>>")
     table = spark.range(1).select(F.explode(known).alias("k")).select(F.col("k.name").alias("known"), normalised(F.col("k.sentence")).alias("words")).distinct()
-    longest = max(len(s) for _, s in known_sentences()) + 50
     other = [c for c in rows.columns if c != text]
     parts = rows.select(*other, F.posexplode(sentences(F.col(text))).alias("place", "raw"))
-    # No known sentence is longer, nor has it fewer than two words' letters.
-    parts = parts.where((F.octet_length("raw") <= longest) & (F.octet_length("raw") >= 6)).withColumn("words", normalised(F.col("raw")))
+    parts = parts.withColumn("words", normalised(F.col("raw")))
     found = parts.join(F.broadcast(table), "words", "left")
     pattern = F.lit(None).cast("string")
     for name, expression in PATTERNS.items():
