@@ -1,6 +1,8 @@
 import json
 import os
+import time
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -9,7 +11,7 @@ from tickloom.operators.parse import parse_ticks
 from tickloom.operators.trailing import tick_features
 from tickloom.sources.raw import read_archive, stream_archive
 from tickloom.sources.sinks import append_stream, tee_stream
-from tickloom.streaming.trailing import count_messages, parity, stream_features
+from tickloom.streaming.trailing import count_messages, parity, stream_features, window_arrays
 
 
 def land(folder, name, rows, mtime):
@@ -28,14 +30,12 @@ def run(spark, source, base, window=60, delay=0.0, files=None):
 
 def test_batch_and_stream_agree_across_batches_and_restarts(spark, tmp_path):
     rows = sorted(random_ticks(11, n=240), key=lambda r: (round(r[1] * 1e6), r[2]))
-    for i in range(1, len(rows)):  # a batch boundary may not fall between equal times
-        if round(rows[i][1] * 1e6) == round(rows[i - 1][1] * 1e6):
-            rows[i] = (*rows[i][:1], rows[i - 1][1] + 1e-3, *rows[i][2:])
-    rows = sorted(rows, key=lambda r: (round(r[1] * 1e6), r[2]))
+    cut = next(i for i in range(70, 90) if round(rows[i][1] * 1e6) == round(rows[i - 1][1] * 1e6))
     source = tmp_path / "in"
     source.mkdir()
     for i in range(2):
-        land(source, f"{i}.ndjson", rows[i * 80:(i + 1) * 80], 1_700_000_000 + i * 10)
+        part = rows[:cut] if i == 0 else rows[cut:160]  # equal times on both sides of the boundary
+        land(source, f"{i}.ndjson", part, 1_700_000_000 + i * 10)
     run(spark, source, tmp_path, files=1)
     land(source, "2.ndjson", rows[160:], 1_700_000_050)
     run(spark, source, tmp_path, files=1)  # a new query on the same checkpoint
@@ -46,6 +46,22 @@ def test_batch_and_stream_agree_across_batches_and_restarts(spark, tmp_path):
     assert got.batch_rows == got.stream_rows == got.equal_rows > 100 and got.different_rows == 0
 
 
+def test_batch_and_stream_agree_without_seq(spark, tmp_path):
+    """Envelopes as exchanges send them: ties in time are ordered by content on both sides."""
+    rows = sorted(random_ticks(5, n=150), key=lambda r: (round(r[1] * 1e6), r[2]))
+    source = tmp_path / "in"
+    source.mkdir()
+    texts = [json.loads(x) for x in lines(rows)]
+    for i in range(3):
+        part = [json.dumps({k: v for k, v in x.items() if k != "seq"}) for x in texts[i * 50:(i + 1) * 50]]
+        (source / f"{i}.ndjson").write_text("\n".join(part) + "\n")
+        os.utime(source / f"{i}.ndjson", (1_700_000_000 + i,) * 2)
+    run(spark, source, tmp_path)
+    batch = tick_features(parse_ticks(read_archive(spark, str(source))), 60)
+    got = parity(batch, spark.read.parquet(str(tmp_path / "out"))).first()
+    assert got.batch_rows == got.stream_rows == got.equal_rows > 80 and got.different_rows == 0
+
+
 def test_late_ticks(spark, tmp_path):
     t = 1_700_000_000.0
     tick = lambda ts, seq, mid=100.0: ("A", t + ts, seq, mid, 0.1)
@@ -62,6 +78,50 @@ def test_late_ticks(spark, tmp_path):
     assert dropped >= 1
 
 
+def test_late_ticks_after_a_jump_find_their_whole_window(spark, tmp_path):
+    t = 1_700_000_000.0
+    tick = lambda ts, seq: ("A", t + ts, seq, 100.0, 0.1)
+    source = tmp_path / "in"
+    source.mkdir()
+    steps = [range(100, 151, 10), range(600, 651, 10), (165, 170, 700), (640, 705), (200, 710)]
+    rows = [[tick(ts, 1000 * i + ts) for ts in step] for i, step in enumerate(steps)]
+    for i, part in enumerate(rows[:3]):
+        land(source, f"{i}.ndjson", part, 1_700_000_000 + i)
+    run(spark, source, tmp_path, delay=10.0, files=1)
+    for i, part in enumerate(rows[3:], 3):  # a restart on the same checkpoint
+        land(source, f"{i}.ndjson", part, 1_700_000_000 + i)
+    query = run(spark, source, tmp_path, delay=10.0, files=1)
+    got = {r.seq: r.window_size for r in spark.read.parquet(str(tmp_path / "out")).collect()}
+    dropped = sum(p["stateOperators"][0]["numRowsDroppedByWatermark"] for p in query.recentProgress)
+    assert (got[2165], got[2170]) == (6, 7)
+    assert 4200 not in got and dropped >= 1
+    # What is let through equals batch over all that had come before it.
+    accepted = [r for part in rows for r in part if r[2] != 4200]
+    for part in rows:
+        for row in part:
+            if row[2] in got:
+                before = [r for r in accepted if (r[1], r[2]) <= (row[1], row[2]) and r[1] >= row[1] - 60 and r[2] // 1000 <= row[2] // 1000]
+                assert got[row[2]] == len(before), row
+
+
+def test_windows_cost_the_same_at_any_tick_rate():
+    rng = np.random.default_rng(0)
+    took = {}
+    for rate in (10, 100, 1000):
+        n = 120_000
+        us = np.cumsum(rng.integers(1, 2_000_000 // rate, n)).astype("int64")
+        mid, spread = 100 * np.exp(np.cumsum(rng.normal(0, 1e-5, n))), rng.random(n)
+        begin = time.process_time()
+        found = window_arrays(us, mid, spread, np.arange(n), 60_000_000)
+        took[rate] = time.process_time() - begin
+        for i in (5, n // 2, n - 1):
+            part = slice(found["start"][i], i + 1)
+            returns = np.diff(np.log(mid[part]))
+            assert np.isclose(found["mean"][i], returns.mean(), rtol=1e-9) and np.isclose(found["std"][i], returns.std(), rtol=1e-9)
+            assert np.isclose(found["spread"][i], spread[part].mean(), rtol=1e-12)
+    assert took[1000] < 6 * took[10] + 0.2
+
+
 def test_state_is_dropped_once_a_slice_is_over(spark, tmp_path):
     t = 1_700_000_000.0
     source = tmp_path / "in"

@@ -9,10 +9,14 @@ from tickloom.schemas import METRIC
 def read_archive(spark: SparkSession, path: str) -> DataFrame:
     """Envelopes from newline-delimited JSON, one per line; unreadable lines are flagged.
 
-    Where a line has no ``seq`` the order of lines within a file breaks ties in time.
+    Where a line has no ``seq`` its content breaks ties in time, the same on a stream as here:
+    the place of a line is known to neither side for certain.
     """
-    lines = spark.read.text(path).select("value", F.monotonically_increasing_id().alias("seq"))
-    return decode_envelope(lines)
+    return decode_envelope(_numbered(spark.read.text(path)))
+
+
+def _numbered(lines: DataFrame) -> DataFrame:
+    return lines.withColumn("seq", F.xxhash64("value"))
 
 
 def stream_archive(spark: SparkSession, path: str, files_per_batch: int | None = None) -> DataFrame:
@@ -21,7 +25,7 @@ def stream_archive(spark: SparkSession, path: str, files_per_batch: int | None =
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     lines = reader.load(path).select("value", F.col("_metadata.file_modification_time").alias("_landed"))
-    return decode_envelope(lines, received=F.col("_landed")).drop("_landed")
+    return decode_envelope(_numbered(lines), received=F.col("_landed")).drop("_landed")
 
 
 def stream_kafka(

@@ -20,51 +20,92 @@ from tickloom.session import ROCKSDB
 
 STATE = "ts_us long, seq long, midprice double, spread double"
 _STATE_COLUMNS = ["ts_us", "seq", "midprice", "spread"]
-# Elements handled at once when windows are spread out into one flat array.
-_FLAT = 4_000_000
+
+
+def _merge(a: tuple, b: tuple) -> tuple:
+    """Two sets of (number, mean, sum of squared deviations), as arrays, taken together."""
+    n = a[0] + b[0]
+    with np.errstate(invalid="ignore", divide="ignore"):
+        share = np.where(n > 0, b[0] / n, 0.0)
+    gap = b[1] - a[1]
+    return n, a[1] + gap * share, a[2] + b[2] + gap * gap * a[0] * share
+
+
+def _running(n: np.ndarray, values: np.ndarray, group: np.ndarray) -> tuple:
+    """(number, mean, squared deviations) from the first row of each group up to every row. Each
+    pass doubles the reach, and sets are merged, never subtracted, so precision does not
+    depend on what a group holds elsewhere."""
+    state = (n.astype(float), np.where(n > 0, values, 0.0), np.zeros(len(values)))
+    reach = 1
+    first = np.searchsorted(group, group, side="left")
+    place = np.arange(len(group)) - first
+    longest = int(place.max(initial=0))
+    while reach <= longest:
+        at = np.flatnonzero(place >= reach)
+        merged = _merge(tuple(x[at - reach] for x in state), tuple(x[at] for x in state))
+        for x, new in zip(state, merged):
+            x[at] = new
+        reach *= 2
+    return state
 
 
 def window_arrays(us: np.ndarray, mid: np.ndarray, spread: np.ndarray, rows: np.ndarray, window_us: int) -> dict:
     """Features of the windows ending at ``rows``, over ticks already in order.
 
-    All windows are laid out flat and reduced segment by segment: mean first, squared
-    deviations second.
+    As in batch, time is cut into blocks one window wide, and a window is the tail of one block and the
+    head of the next: running figures from both ends of each block describe every window, so the
+    work grows with the number of ticks and not with that of the ticks in a window.
     """
     start = np.searchsorted(us, us[rows] - window_us, side="left")
     size = rows - start + 1
     usable = (mid > 0) & np.isfinite(mid)
     logs = np.log(np.where(usable, mid, np.nan))
+    bad = np.cumsum(np.concatenate([[0], ~usable]))
+    spoiled = bad[rows + 1] > bad[start]
     links = np.diff(logs, prepend=np.nan)
-    mean, std, avg = (np.full(len(rows), np.nan) for _ in range(3))
-    cuts = np.concatenate([[0], np.flatnonzero(np.diff(np.cumsum(size) // _FLAT)) + 1, [len(rows)]])
-    for a, b in zip(cuts[:-1], cuts[1:]):
-        if a == b:
-            continue
-        n, first = size[a:b], start[a:b]
-        at = np.concatenate([[0], np.cumsum(n)[:-1]])
-        flat = np.arange(n.sum()) - np.repeat(at - first, n)
-        avg[a:b] = np.add.reduceat(spread[flat], at) / n
-        inner = links[flat]
-        inner[at] = 0.0
-        bad = np.isnan(logs)[flat]
-        m = np.add.reduceat(inner, at) / np.maximum(n - 1, 1)
-        off = inner - np.repeat(m, n)
-        off[at] = 0.0
-        s = np.sqrt(np.add.reduceat(off * off, at) / np.maximum(n - 1, 1))
-        spoiled = np.logical_or.reduceat(bad, at)
-        mean[a:b], std[a:b] = np.where(spoiled, np.nan, m), np.where(spoiled, np.nan, s)
-    return {"start": start, "size": size, "mean": mean, "std": std, "spread": avg}
+    block = us // window_us
+    opens = np.concatenate([[True], np.diff(block) > 0]) if len(us) else np.zeros(0, bool)
+    known = np.isfinite(links)
+    values = np.where(known, links, 0.0)
+
+    # Heads leave the link into the block out, tails take all links behind a tick.
+    head = _running(known & ~opens, values, block)
+    behind = np.concatenate([known[1:], [False]]) & ~np.concatenate([opens[1:], [True]]) if len(us) else known
+    ahead = np.where(behind, np.concatenate([values[1:], [0.0]]), 0.0) if len(us) else values
+    tail = tuple(x[::-1] for x in _running(behind[::-1], ahead[::-1], -block[::-1]))
+    every = np.ones(len(us), bool)
+    head_spread = _running(every, spread, block)
+    tail_spread = tuple(x[::-1] for x in _running(every[::-1], spread[::-1], -block[::-1]))
+
+    own = np.searchsorted(block, block[rows], side="left")  # first tick of the row's block
+    both = start < own
+    pick = lambda state, at: tuple(x[at] for x in state)
+    nothing = (np.zeros(len(rows)),) * 3
+    only = lambda state: tuple(np.where(both, x, 0.0) for x in state)
+    cross = (known[own] & both).astype(float), np.where(both, values[own], 0.0), nothing[0]
+    within = _merge(only(_merge(pick(tail, start), cross)), pick(head, rows))
+    # A window that begins inside its own block begins at the block's first tick.
+    average = _merge(only(pick(tail_spread, start)), pick(head_spread, rows))
+    mean = np.where(spoiled, np.nan, within[1])
+    std = np.where(spoiled, np.nan, np.sqrt(np.maximum(within[2], 0.0) / np.maximum(within[0], 1)))
+    return {"start": start, "size": size, "mean": mean, "std": std, "spread": average[1]}
 
 
 class TrailingWindow(StatefulProcessor):
-    """Keeps the ticks of the last window (and of the lateness still allowed) per key."""
+    """Keeps, per key, the ticks that a tick not yet too late may still need.
 
-    def __init__(self, window_us: int, delay_us: int):
-        self.window_us, self.delay_us = window_us, delay_us
+    Spark drops a tick that is behind the watermark of the batch before. State is therefore cut one
+    window behind the watermark, not behind the newest tick: what is let through finds its whole
+    window. A tick behind the last cut, should one come, is left out as well.
+    """
+
+    def __init__(self, window_us: int):
+        self.window_us = window_us
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.ticks = handle.getListState("ticks", STATE)
+        self.cut = handle.getValueState("cut", "us long")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         pair, slice_no = key
@@ -73,13 +114,21 @@ class TrailingWindow(StatefulProcessor):
             return
         new = pd.concat(parts, ignore_index=True)
         new["emit"] = ~new["past"]
+        cut = self.cut.get()[0] if self.cut.exists() else None
+        if cut is not None:
+            new = new[new["ts_us"] >= cut + self.window_us]
         held = list(self.ticks.get())
         if held:
             past = pd.DataFrame(held, columns=_STATE_COLUMNS).assign(emit=False)
-            new = pd.concat([past, new], ignore_index=True)
+            ticks = pd.concat([past, new], ignore_index=True)
         else:
+            ticks = new
             end_us = (slice_no + 1) * BLOCKS_PER_SLICE * self.window_us
             self.handle.registerTimer(int(end_us // 1000) + 1)
+        self._keep(held, new, timerValues.getCurrentWatermarkInMs() * 1000 - self.window_us)
+        if not len(new):
+            return
+        new = ticks
         ticks = new.sort_values(["ts_us", "seq"], kind="stable", ignore_index=True)
 
         us = ticks["ts_us"].to_numpy("int64")
@@ -92,9 +141,19 @@ class TrailingWindow(StatefulProcessor):
             if len(at):
                 yield self._output(pair, ticks.iloc[at], us, mid[at], found, ok, at)
 
-        keep = us >= us[-1] - self.window_us - self.delay_us
-        kept = ticks.loc[keep, _STATE_COLUMNS]
-        self.ticks.put(list(zip(*[kept[c].tolist() for c in _STATE_COLUMNS])))
+    def _keep(self, held: list, new: pd.DataFrame, cut: int) -> None:
+        """Add the new ticks; rewrite the state only when half of it has become useless."""
+        as_rows = lambda df: list(zip(*[df[c].tolist() for c in _STATE_COLUMNS]))
+        useful = [row for row in held if row[0] >= cut]
+        if held and 2 * len(useful) <= len(held):
+            rows = [tuple(row) for row in useful] + as_rows(new[new["ts_us"] >= cut])
+            if rows:
+                self.ticks.put(rows)
+            else:
+                self.ticks.clear()
+            self.cut.update((cut,))
+        elif len(new):
+            self.ticks.appendList(as_rows(new))
 
     def _output(self, pair, ticks, us, mid, found, ok, at) -> pd.DataFrame:
         seconds = (us[at] - us[found["start"][ok]]) / 1e6
@@ -122,6 +181,7 @@ class TrailingWindow(StatefulProcessor):
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         self.ticks.clear()
+        self.cut.clear()
         return iter(())
 
     def close(self) -> None:
@@ -153,7 +213,7 @@ def stream_features(
         .select("pair", "slice", "past", "ts", "ts_us", "seq", "midprice", "spread", "price", "event_time")
     )
     return ticks.groupBy("pair", "slice").transformWithStateInPandas(
-        statefulProcessor=TrailingWindow(window_us, int(delay_seconds * 1_000_000)),
+        statefulProcessor=TrailingWindow(window_us),
         outputStructType=FEATURE_ROW,
         outputMode="append",
         timeMode="eventTime",
