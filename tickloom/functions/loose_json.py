@@ -39,10 +39,12 @@ def with_object(df: DataFrame, name: str, text: str, fields: str) -> DataFrame:
     )
 
 
-def with_given_text(df: DataFrame, name: str, text: str, fields: list[str]) -> DataFrame:
+def with_given_text(df: DataFrame, name: str, text: str, fields: list[str], plain: list[str] | tuple = ()) -> DataFrame:
     """Add struct column ``name`` with one text per field, NULL where it is not given.
 
-    ``true`` becomes ``1``; other values keep their text.
+    ``true`` becomes ``1``; other values keep their text. For each of the fields named in ``plain``
+    a second one, ``<field>_text``, holds the text as written, whatever it is, and
+    ``<field>_absent`` tells a missing field from one that is null.
     """
     df = with_object(df, "_doc", text, ", ".join(f"{f} string" for f in fields))
     doc = F.col("_doc")
@@ -67,7 +69,11 @@ def with_given_text(df: DataFrame, name: str, text: str, fields: list[str]) -> D
         F.coalesce(F.col("_settled")[i], F.when(F.col("_tokens").isNull(), F.nullif(doc[f], F.lit(""))))
         for i, f in enumerate(fields)
     ]
-    return df.withColumn(name, F.struct(*[g.alias(f) for g, f in zip(given, fields)])).drop(
+    # Only where there is no text does it matter whether the field is there at all.
+    keys = F.json_object_keys(text)
+    more = [doc[f].alias(f"{f}_text") for f in plain]
+    more += [(doc[f].isNull() & ~F.array_contains(keys, f)).alias(f"{f}_absent") for f in plain]
+    return df.withColumn(name, F.struct(*[g.alias(f) for g, f in zip(given, fields)], *more)).drop(
         "_doc", "_tokens", "_settled"
     )
 

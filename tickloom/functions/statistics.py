@@ -6,11 +6,11 @@ import numpy as np
 EXACT_ROWS = 10_000
 
 
-def ks_p_value(d: float, n: int, m: int) -> float:
+def ks_p_value(d: float, n: int, m: int, exact_rows: int = EXACT_ROWS) -> float:
     """Two-sided two-sample Kolmogorov-Smirnov p-value."""
     if n == 0 or m == 0:
         return float("nan")
-    if max(n, m) <= EXACT_ROWS:
+    if max(n, m) <= exact_rows:
         return _ks_exact(d, n, m)
     size = n * m / (n + m)
     x = np.sqrt(size) * d

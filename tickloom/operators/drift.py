@@ -6,13 +6,14 @@ import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import DoubleType
 
-from tickloom.functions.statistics import ks_p_value
+from tickloom.functions.statistics import EXACT_ROWS, ks_p_value
 from tickloom.operators.ordering import number_or_null, running_totals, unpivot
 from tickloom.operators.profile import bin_index
 
 REFERENCE, CURRENT = "reference", "current"
 # Test names, their thresholds and when each test applies.
 KS, WASSERSTEIN, JENSEN_SHANNON = "K-S p_value", "Wasserstein distance (normed)", "Jensen-Shannon distance"
+NO_VALUES = "no values"
 P_VALUE_LIMIT = 0.05
 DISTANCE_LIMIT = 0.1
 SMALL_REFERENCE = 1000
@@ -59,11 +60,14 @@ def distances(sides: DataFrame, columns: list[str], small_group: int | None = No
     )
 
 
-@F.pandas_udf(DoubleType())
-def _ks_p(parts: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-    for d, n, m in parts:
-        p = [ks_p_value(*row) if row[0] == row[0] else None for row in zip(d, n, m)]
-        yield pd.Series(p, dtype="float64")
+def _ks_p(exact_rows: int):
+    @F.pandas_udf(DoubleType())
+    def p_values(parts: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        for d, n, m in parts:
+            p = [ks_p_value(*row, exact_rows) if row[0] == row[0] else None for row in zip(d, n, m)]
+            yield pd.Series(p, dtype="float64")
+
+    return p_values
 
 
 def drift_by_column(
@@ -73,27 +77,39 @@ def drift_by_column(
     small_reference: int = SMALL_REFERENCE,
     few_values: int = FEW_VALUES,
     small_group: int | None = None,
+    exact_rows: int = EXACT_ROWS,
 ) -> DataFrame:
-    """(column_name, test, threshold, score, drift), one row per column.
+    """(column_name, test, threshold, score, drift), one row for each of ``columns``.
 
-    A small reference is tested with Kolmogorov-Smirnov; otherwise columns with few
-    values by Jensen-Shannon distance and the rest by Wasserstein distance over the
-    reference's standard deviation.
+    A small reference is tested with Kolmogorov-Smirnov (p-values are exact up to
+    ``exact_rows`` rows on either side); otherwise columns with few values by Jensen-Shannon
+    distance and the rest by Wasserstein distance over the reference's standard deviation.
+    A column without finite values on one side has no score: its test is ``NO_VALUES`` and it
+    has drifted if only one side lacks them.
     """
     sides = both_sides(reference, current, columns)
     found = distances(sides, columns, small_group)
     finite = finite_long(sides, columns).where(F.col("side") == REFERENCE)
     scales = finite.groupBy("column_name").agg(F.stddev_pop("value").alias("scale"))
-    rows = found.join(scales, "column_name", "left")
+    asked = reference.sparkSession.createDataFrame([(c,) for c in columns], "column_name string")
+    rows = asked.join(found, "column_name", "left").join(scales, "column_name", "left")
+    rows = rows.fillna(0, ["n_reference", "n_current", "n_values"])
+    empty = (F.col("n_reference") == 0) | (F.col("n_current") == 0)
     small = F.col("n_reference") <= small_reference
     test = F.when(small, KS).when(F.col("n_values") <= few_values, JENSEN_SHANNON).otherwise(WASSERSTEIN)
     normed = F.col("area") / F.greatest(F.col("scale"), F.lit(SMALLEST_SCALE))
     other = F.when(F.col("n_values") <= few_values, F.col("jensen_shannon")).otherwise(normed)
-    p_value = _ks_p(F.when(small, F.col("ks")), "n_reference", "n_current")
-    rows = rows.withColumn("_p", p_value).withColumn("score", F.when(small, F.col("_p")).otherwise(other))
-    limit = F.when(F.col("test") == KS, P_VALUE_LIMIT).otherwise(DISTANCE_LIMIT)
-    drift = F.when(F.col("test") == KS, F.col("score") < P_VALUE_LIMIT).otherwise(F.col("score") >= DISTANCE_LIMIT)
-    return rows.withColumn("test", test).select(
+    p_value = _ks_p(exact_rows)(F.when(small & ~empty, F.col("ks")), "n_reference", "n_current")
+    score = F.when(~empty, F.when(small, F.col("_p")).otherwise(other))
+    rows = rows.withColumn("_p", p_value).withColumn("score", score)
+    limit = F.when(F.col("test") == KS, P_VALUE_LIMIT).when(F.col("test") != NO_VALUES, DISTANCE_LIMIT)
+    one_side = F.col("n_reference") != F.col("n_current")
+    drift = (
+        F.when(F.col("test") == NO_VALUES, one_side)
+        .when(F.col("test") == KS, F.col("score") < P_VALUE_LIMIT)
+        .otherwise(F.col("score") >= DISTANCE_LIMIT)
+    )
+    return rows.withColumn("test", F.when(empty, NO_VALUES).otherwise(test)).select(
         "column_name", "test", limit.alias("threshold"), "score", drift.alias("drift")
     )
 

@@ -8,24 +8,26 @@ rows is one row per task by then. Only cut points and bucket sums, a bounded num
 group, ever reach the driver.
 """
 
+import json
 from math import ceil, floor
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 # Below this many rows per group one task handles the group and no cut points are needed.
 SMALL_GROUP = 1_000_000
-MAX_BUCKETS = 1024
-# Cut points the driver accepts in total; more groups than that are left to plain windows.
-MAX_MARKS = 2_000_000
+# Rows a bucket should hold; the number of buckets follows from it.
+BUCKET_ROWS = 2_000_000
 
 
-def bucket_count(df: DataFrame) -> int:
+def bucket_count(df: DataFrame, rows: int = 0) -> int:
+    """Enough buckets for all tasks, and for no bucket to hold much over ``BUCKET_ROWS``."""
     partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return max(2, min(MAX_BUCKETS, partitions))
+    return max(2, partitions, ceil(rows / BUCKET_ROWS))
 
 
 def cut_points(value: str, buckets: int) -> Column:
-    fractions = F.array(*[F.lit(i / buckets) for i in range(1, buckets)])
+    # As JSON, so that one literal holds them however many there are.
+    fractions = F.from_json(F.lit(json.dumps([i / buckets for i in range(1, buckets)])), "array<double>")
     return F.array_sort(
         F.array_distinct(F.approx_percentile(value, fractions, max(1000, 20 * buckets)))
     )
@@ -58,18 +60,13 @@ def running_totals(
     """
     keys, names = list(keys), list(sums)
     small_group = SMALL_GROUP if small_group is None else small_group
-    buckets = buckets or bucket_count(df)
     rows = df.where(F.col(value).isNotNull()).select(
         *keys, value, *[c.alias(n) for n, c in sums.items()]
     )
     added = [F.sum(n).alias(n) for n in names]
     sizes = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    cut = False
-    if sizes.where(F.col("_n") > small_group).limit(1).count():
-        marks = rows.groupBy(*keys).agg(cut_points(value, buckets).alias("_marks"))
-        held = marks.limit(MAX_MARKS // buckets + 1).collect()
-        cut = len(held) * buckets <= MAX_MARKS
-    if not cut:
+    largest = sizes.agg(F.max("_n").alias("n")).first()["n"] or 0
+    if largest <= small_group:
         per_value = rows.groupBy(*keys, value).agg(*added)
         order = W.partitionBy(*keys).orderBy(value)
         run = order.rowsBetween(W.unboundedPreceding, W.currentRow)
@@ -83,15 +80,19 @@ def running_totals(
             F.lead(value).over(order).alias("next_value"),
         )
 
-    marks = df.sparkSession.createDataFrame(held, marks.schema)
+    # Only groups too large for one task are cut; the others are one bucket each.
+    buckets = buckets or bucket_count(df, largest)
     if keys:
-        marked = rows.join(F.broadcast(marks), on=_same(keys, rows, marks), how="inner").drop(
-            *[marks[k] for k in keys]
-        )
+        large = sizes.where(F.col("_n") > small_group).select(*[F.col(k).alias(f"_l_{k}") for k in keys])
+        of_large = [rows[k].eqNullSafe(large[f"_l_{k}"]) for k in keys]
+        marks = rows.join(large, on=of_large, how="left_semi").groupBy(*keys).agg(cut_points(value, buckets).alias("_marks"))
+        marks = marks.select(*[F.col(k).alias(f"_m_{k}") for k in keys], "_marks")
+        marked = rows.join(marks, on=[rows[k].eqNullSafe(marks[f"_m_{k}"]) for k in keys], how="left").drop(*marks.columns[:-1])
     else:
-        literal = F.array(*[F.lit(m) for m in held[0]["_marks"]])
-        marked = rows.withColumn("_marks", literal)
-    marked = marked.withColumn("_bucket", bucket_of(F.col("_marks"), F.col(value), buckets)).drop("_marks")
+        held = rows.agg(cut_points(value, buckets).alias("_marks")).first()["_marks"]
+        marked = rows.withColumn("_marks", F.array(*[F.lit(m) for m in held]))
+    bucket = F.coalesce(bucket_of(F.col("_marks"), F.col(value), buckets), F.lit(0))
+    marked = marked.withColumn("_bucket", bucket).drop("_marks")
 
     by_bucket = marked.groupBy(*keys, "_bucket").agg(*added, F.min(value).alias("_low"))
     over_keys = W.partitionBy(*keys).orderBy("_bucket")
@@ -120,8 +121,7 @@ def running_totals(
     )
     match = [local[k].eqNullSafe(offsets[f"_k_{k}"]) for k in keys]
     match.append(local["_bucket"] == offsets["_k_bucket"])
-    # At most MAX_MARKS rows by the check above, so the hint is safe.
-    return local.join(F.broadcast(offsets), on=match).select(
+    return local.join(offsets, on=match).select(
         *keys,
         value,
         *names,
@@ -131,13 +131,6 @@ def running_totals(
     )
 
 
-def _same(keys: list[str], left: DataFrame, right: DataFrame) -> Column:
-    condition = F.lit(True)
-    for key in keys:
-        condition = condition & left[key].eqNullSafe(right[key])
-    return condition
-
-
 def value_at_ranks(
     df: DataFrame, value: str, ranks: list[int], small_group: int | None = None, buckets: int | None = None
 ) -> dict[int, tuple]:
@@ -221,8 +214,6 @@ def percentiles(
     """
     spark = df.sparkSession
     small_group = SMALL_GROUP if small_group is None else small_group
-    buckets = buckets or bucket_count(df)
-    schema = "column_name string, fraction double, value double"
     wide = df.select(*[number_or_null(c) for c in columns])
     sizes = wide.agg(*[F.count(c).alias(c) for c in columns]).first()
     if max(sizes) <= small_group:
@@ -232,6 +223,7 @@ def percentiles(
             "column_name", F.explode(F.arrays_zip(wanted.alias("fraction"), "values")).alias("z")
         ).select("column_name", F.col("z.fraction"), F.col("z.values").alias("value"))
 
+    buckets = buckets or bucket_count(df, max(sizes))
     marks = wide.agg(*[cut_points(c, buckets).alias(c) for c in columns]).first()
     marks_df = spark.createDataFrame(
         [(c, marks[c]) for c in columns], "_column string, _marks array<double>"
@@ -281,10 +273,15 @@ def percentiles(
         picked.join(plan_df, (F.col("column_name") == F.col("c")) & F.col("rank").isin(F.col("low"), F.col("high")))
         .groupBy("column_name", "fraction", "part")
         .agg(edge("low").alias("lo"), edge("high").alias("hi"))
-        .select("column_name", "fraction", (F.col("lo") + (F.col("hi") - F.col("lo")) * F.col("part")).alias("value"))
+        .select("column_name", "fraction", _between(F.col("lo"), F.col("hi"), F.col("part")).alias("value"))
     )
 
 
+def _between(low: Column, high: Column, part: Column) -> Column:
+    """Interpolation that an infinite end does not spoil where it has no weight."""
+    return F.when((low == high) | (part == 0), low).otherwise((1 - part) * low + part * high)
+
+
 def number_or_null(column: str) -> Column:
     """The column as double, with NaN read as missing."""
     value = F.col(column).cast("double")

@@ -48,13 +48,14 @@ def parse_quotes(envelopes: DataFrame, raw: str = "raw") -> DataFrame:
     """
     kept = envelopes.columns
     field = lambda name: F.col(f"_field.{name}")
-    df = with_given_text(envelopes, "_field", raw, PAYLOAD_FIELDS)
+    df = with_given_text(envelopes, "_field", raw, PAYLOAD_FIELDS, plain=["volume_24h"])
     df = df.select(
         *kept,
         F.coalesce(field("price"), field("last_price")).alias("_price"),
         F.coalesce(field("best_bid"), field("bid")).alias("_bid"),
         F.coalesce(field("best_ask"), field("ask")).alias("_ask"),
-        F.coalesce(field("volume_24h"), F.lit("0.0")).alias("volume_24h"),
+        # The default stands in for a field that is absent, not for one that is null, empty or zero.
+        F.when(field("volume_24h_absent"), F.lit("0.0")).otherwise(field("volume_24h_text")).alias("volume_24h"),
         F.coalesce(field("time"), field("timestamp")).alias("time"),
     )
     priced = F.col("_price").isNotNull()

@@ -130,10 +130,10 @@ def threshold_sweep(df: DataFrame, column: str, thresholds: dict[str, float]) ->
     names = list(thresholds)
     n = F.count(F.lit(1))
     row = df.agg(
-        n.alias("_n"), *[F.count_if(~missing(column) & (F.col(column) >= t)).alias(k) for k, t in thresholds.items()]
+        n.alias("_n"), *[F.count_if(~missing(column) & (F.col(column) >= F.lit(t).cast("double"))).alias(k) for k, t in thresholds.items()]
     )
     long = row.unpivot(["_n"], names, "threshold_name", "n_reaching")
-    value = F.create_map(*[F.lit(x) for pair in thresholds.items() for x in pair])
+    value = F.create_map(*[x for k, t in thresholds.items() for x in (F.lit(k), F.lit(t).cast("double"))])
     return long.select(
         "threshold_name",
         value[F.col("threshold_name")].alias("threshold"),
@@ -147,7 +147,9 @@ def percentile_sweep(
 ) -> DataFrame:
     """The sweep with percentiles of the column itself as thresholds."""
     rows = percentiles(df, [column], [p / 100 for p in points], small_group).collect()
-    thresholds = {percent_name(r["fraction"]): r["value"] for r in rows}
+    # A column without values has no percentiles; its thresholds are missing and nothing reaches them.
+    found = {r["fraction"]: r["value"] for r in rows}
+    thresholds = {percent_name(p / 100): found.get(p / 100) for p in points}
     return threshold_sweep(df, column, thresholds)
 
 
@@ -155,7 +157,8 @@ def choose_threshold(
     df: DataFrame, column: str = "midprice_return_std", percentile: float = 95.0, small_group: int | None = None
 ) -> DataFrame:
     """One row: the chosen percentile, its value as threshold, and what it labels."""
-    value = percentiles(df, [column], [percentile / 100], small_group).first()["value"]
+    found = percentiles(df, [column], [percentile / 100], small_group).first()
+    value = found["value"] if found else None
     swept = threshold_sweep(df, column, {"chosen": value})
     return swept.select(F.lit(percentile).alias("percentile"), "threshold", "n_reaching", "pct_reaching")
 
