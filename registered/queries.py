@@ -13,6 +13,7 @@ from tickloom.models.classifiers import LOGISTIC, TREES, importance
 from tickloom.models.registry import load_model, predict, prediction_counts, save_model
 from tickloom.models.zscore import fit_zscore
 from tickloom.operators import drift, evaluate, labels, profile, quality
+from tickloom.operators.ordering import percentiles
 from tickloom.operators.parse import ingest_counts, parse_ticks
 from tickloom.operators.trailing import forward_volatility, tick_features
 from tickloom.plans import reports, training
@@ -95,6 +96,14 @@ def features(spark: SparkSession, folder: str) -> DataFrame:
     return stored(rounded(tick_features(parse_ticks(envelopes(spark, folder)), WINDOW)), "features")
 
 
+def gappy_features(spark: SparkSession, folder: str) -> DataFrame:
+    """Features of which some are blanked by rule, to have something to find."""
+    blank = lambda c, every: F.when(F.pmod("seq", F.lit(every)) != 0, F.col(c)).alias(c)
+    every = {"midprice_return_std": 7, "bid_ask_spread": 11, "raw_price": 5}
+    rows = features(spark, folder)
+    return rows.select(*[blank(c, every[c]) if c in every else F.col(c) for c in rows.columns])
+
+
 def labelled(spark: SparkSession, folder: str) -> DataFrame:
     return labels.label_next_row(features(spark, folder), THRESHOLD)
 
@@ -195,11 +204,11 @@ def next_row_counts(spark, folder):
 
 
 def training_projection(spark, folder):
-    return labels.prepare_training_rows(labelled(spark, folder))
+    return labels.prepare_training_rows(labels.label_next_row(gappy_features(spark, folder), THRESHOLD))
 
 
 def missing_values(spark, folder):
-    return labels.missing_report(features(spark, folder), FEATURES)
+    return labels.missing_report(gappy_features(spark, folder), FEATURES)
 
 
 def train_validation_test(spark, folder):
@@ -274,14 +283,29 @@ def trees_metrics(spark, folder):
 
 
 def trees_importance(spark, folder):
-    return importance(fitted(spark, folder, TREES, rounds=20)[1], TREES, spark)
+    return importance(fitted(spark, folder, TREES)[1], TREES, spark)
 
 
-def trees_saved(spark, folder):
-    rows, model = fitted(spark, folder, TREES, rounds=5)
+def _saved(spark, folder, kind):
+    """Rows, and how many of them are predicted otherwise by the model saved and loaded again."""
+    rows, model = fitted(spark, folder, kind)
     path = fresh_path(spark, "model")
-    save_model(model, path, spark, TREES)
-    return prediction_counts(predict(load_model(path, spark)[0], rows))
+    save_model(model, path, spark, kind)
+    columns = ["seq", "predicted_label", "spike_probability"]
+    before = predict(model, rows).select(*columns)
+    after = predict(load_model(path, spark)[0], rows).select("seq", *[F.col(c).alias(f"after_{c}") for c in columns[1:]])
+    same = F.lit(True)
+    for c in columns[1:]:
+        same &= F.col(c).eqNullSafe(F.col(f"after_{c}"))
+    return before.join(after, "seq").agg(F.count(F.lit(1)).alias("n_rows"), F.count_if(~same).alias("n_different"))
+
+
+def trees_saved(spark, folder):
+    return _saved(spark, folder, TREES)
+
+
+def logistic_saved(spark, folder):
+    return _saved(spark, folder, LOGISTIC)
 
 
 def run_records(spark, folder):
@@ -313,9 +337,8 @@ def metrics_table(spark, folder):
 
 
 def curve_points(spark, folder):
-    rows = two_rules(spark, folder).where("model = 'volatility' and split = 'test'")
-    curve = evaluate.score_curve(rows, ["model", "split"])
-    return rounded(curve.select("threshold", "precision", "recall", "false_positive_rate"))
+    curve = evaluate.score_curve(two_rules(spark, folder), ["model", "split"])
+    return rounded(curve.select("model", "split", "threshold", "precision", "recall", "false_positive_rate"))
 
 
 def curve_area(spark, folder):
@@ -358,7 +381,7 @@ def describe_lines(spark, folder):
 
 
 def feature_nulls(spark, folder):
-    return profile.null_counts(features(spark, folder), PROFILED)
+    return profile.null_counts(gappy_features(spark, folder), PROFILED)
 
 
 def feature_zeros(spark, folder):
@@ -389,6 +412,20 @@ def line_ecdf(spark, folder):
     return rounded(profile.ecdf(table(spark, folder, "lineitem"), "l_quantity"))
 
 
+def infinite_percentiles(spark, folder):
+    """Prices of which some are made infinite by rule; once as one group, once cut into buckets."""
+    price = F.when(F.pmod("l_orderkey", F.lit(7)) == 0, F.lit(float("inf"))).when(
+        F.pmod("l_orderkey", F.lit(5)) == 0, F.lit(float("-inf"))
+    ).otherwise(F.col("l_extendedprice"))
+    rows = table(spark, folder, "lineitem").select(price.alias("price"))
+    points = [0.05, 0.25, 0.5, 0.75, 0.9, 0.99]
+    found = None
+    for way, small in (("whole", None), ("buckets", 100)):
+        part = percentiles(rows, ["price"], points, small_group=small).select(F.lit(way).alias("way"), "fraction", "value")
+        found = part if found is None else found.unionByName(part)
+    return rounded(found, 4)
+
+
 def threshold_options(spark, folder):
     return rounded(profile.percentile_sweep(features(spark, folder), "midprice_return_std"))
 
@@ -436,6 +473,17 @@ def drift_tests(spark, folder):
     return rounded(drift.drift_by_column(*halves(spark, folder), [*FEATURES, "label"]), 8)
 
 
+def drift_of_empty_columns(spark, folder):
+    """A column without values on either side, one without them on one side, and a full one."""
+    reference, current = line_sides(spark, folder)
+    nothing = F.lit(None).cast("double")
+    pick = lambda df, one: df.select(nothing.alias("neither"), one.alias("one_side"), F.col("l_quantity").alias("both"))
+    tests = drift.drift_by_column(
+        pick(reference, F.col("l_tax")), pick(current, nothing), ["neither", "one_side", "both"]
+    )
+    return tests.select("column_name", "test", "drift")
+
+
 def drift_verdict(spark, folder):
     tests = drift.drift_by_column(*halves(spark, folder), [*FEATURES, "label"])
     return rounded(drift.dataset_drift(tests))
@@ -455,12 +503,17 @@ def feature_summary(spark, folder):
 
 
 def line_uniques(spark, folder):
-    return quality.uniques(line_both(spark, folder)).select("side", "column_name", "n_rows", "n_missing", "n_unique", "top_n")
+    """The most common value as a number where it is one, as engines write numbers differently."""
+    number = F.col("top_value").try_cast("double")
+    return quality.uniques(line_both(spark, folder)).select(
+        "side", "column_name", "n_rows", "n_missing", "n_unique", "top_n", number.alias("top_number"),
+        F.when(number.isNull(), F.col("top_value")).alias("top_text"),
+    )
 
 
 def line_column_summary(spark, folder):
     sides = drift.both_sides(*line_sides(spark, folder), MEASURES)
-    return quality.column_summary(sides).drop("most_common")
+    return quality.column_summary(sides).withColumn("most_common", F.col("most_common").try_cast("double"))
 
 
 def gaps_in(spark, folder):
@@ -505,6 +558,27 @@ def _streamed(spark, folder):
     return spark.read.parquet(sink)
 
 
+def streamed_in_parts(spark, folder):
+    """The stream stopped and started again on the same state for each fifth of the time; some
+    messages of the first fifth come last of all, and are dropped as too late."""
+    source, sink, marks = (fresh_path(spark, n) for n in ("queue", "streamed", "progress"))
+    events = table(spark, folder, "events")
+    low, high = events.agg(F.min(event_us()), F.max(event_us())).first()
+    part = F.least(F.floor((event_us() - low) * 5 / (high - low + 1)), F.lit(4))
+    late = (F.col("event_id") % 50 == 0) & (part == 0)
+    order = F.when(late, 5).otherwise(part)
+    numbered = stored(events.withColumn("part", order.cast("int")), "parts")
+    for number in range(6):
+        rows = numbered.where(F.col("part") == number).select(
+            F.col("event_type").alias("pair"), (event_us() / F.lit(1e6)).alias("ts"), F.col("event_id").alias("seq"),
+            F.to_json(F.struct(F.col("value").alias("price"))).alias("raw"),
+        )
+        json_messages(rows).write.mode("append").text(source)
+        query = append_stream(stream_features(stream_archive(spark, source), WINDOW), sink, marks, once=True)
+        query.awaitTermination()
+    return rounded(spark.read.parquet(sink))
+
+
 def streamed_features(spark, folder):
     return rounded(_streamed(spark, folder))
 
