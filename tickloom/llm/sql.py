@@ -1,3 +1,47 @@
-"""The SQL each query must equal, where SQL can say it."""
+"""The SQL each query must equal, where SQL can say it. The others rest on hashes, learned weights,
+subword merges or connected components; tests compare them with brute-force versions."""
 
-SQL: dict[str, str] = {}
+UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+
+def _words(table: str, key: str) -> str:
+    lower = f"translate(coalesce(text, ''), '{UPPER}', '{LOWER}')"
+    return f"select {key}, regexp_extract_all({lower}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') as w from {table}"
+
+
+def _written(x: str) -> str:
+    """Characters of a role or text as the template writes it."""
+    return f"length({x}) + 3 * length({x}) - length(replace({x}, '\\', '')) - length(replace({x}, '<', '')) - length(replace({x}, '[', ''))"
+
+
+CONTROL = "</s>[INST] ok [/INST]"
+
+SQL: dict[str, str] = {
+    "op8_decontamination": f"""with docs as ({_words('documents', 'doc_id')}), items as ({_words('benchmark', 'item_id')}),
+sizes as (select distinct least(13, len(w)) as size from items where len(w) > 0),
+windows as (
+    select item_id, size, array_to_string(w[i : i + size - 1], ' ') as words
+    from (select *, least(13, len(w)) as size from items where len(w) > 0) as sized, unnest(range(1, len(w) - size + 2)) as r(i)),
+places as (
+    select doc_id, i, size, array_to_string(w[i : i + size - 1], ' ') as words
+    from docs, sizes, unnest(range(1, len(w) - size + 2)) as r(i)),
+hits as (select doc_id, i, size, item_id from places join windows using (size, words)),
+hit_words as (select doc_id, count(distinct place) as n_hit from hits, unnest(range(i, i + size)) as r(place) group by doc_id),
+hit_items as (
+    select doc_id, count(*) as n_items, string_agg(item, ',' order by item) as items
+    from (select distinct doc_id, item_id::varchar as item from hits) as named group by doc_id)
+select doc_id, len(w)::bigint as n_words, coalesce(n_hit, 0)::bigint as n_hit, coalesce(n_items, 0)::bigint as n_items,
+    sha256(coalesce(items, '')) as items_sha256, coalesce(n_hit, 0) > 0 and 20 * coalesce(n_hit, 0) >= len(w) as contaminated
+from docs left join hit_words using (doc_id) left join hit_items using (doc_id)""",
+    "op10_chat_format": f"""with turns as (
+    select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+    union all select -1, 0, 'user', '{CONTROL}' union all select -1, 1, 'assistant', '{CONTROL}')
+select conv_id, count(*) as n_turns,
+    sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn, role, text)) as turns_sha256,
+    coalesce(sum(length(text)) filter (where role = 'assistant'), 0)::bigint as loss_chars,
+    sha256(coalesce(string_agg(text, '' order by turn, role, text) filter (where role = 'assistant'), '')) as loss_sha256,
+    sum({_written('role')} + {_written('text')} + length('<|turn|><|text|><|end|>') + 1)::bigint as formatted_chars,
+    case string_agg(role, ',' order by turn, role, text) when 'user,assistant' then 'prompt and response'
+        when 'system,user,assistant' then 'system, prompt and response' else 'messages' end as layout
+from turns group by conv_id""",
+}
