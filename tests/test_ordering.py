@@ -99,3 +99,32 @@ def test_label_rules(spark):
     assert [r.label for r in labels.label_same_row(df, 0.5).orderBy("seq").collect()] == [0, 1, 0, 0, 1]
     report = labels.missing_report(df, ["midprice_return_std", "seq"]).collect()
     assert {r.column_name: (r.n_missing, r.rows_kept) for r in report} == {"midprice_return_std": (1, 4), "seq": (0, 4)}
+
+
+def test_next_row_shuffles_the_table_once(spark):
+    rows = spark.createDataFrame([("A", 1, 1, 1.0), (None, 1, 2, 2.0), ("", 2, 3, 3.0), (None, 10**10, 4, 4.0)], "pair string, ts_us long, seq long, v double")
+    found = with_next(rows, "v", "ahead")
+    assert {r.seq: r.ahead for r in found.collect()} == {1: None, 2: 4.0, 3: None, 4: None}
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = with_next(rows, "v", "ahead")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    # Firsts of blocks, their chain, the chain's way to the join; the table itself goes once.
+    assert plan.count("Exchange hashpartitioning") == 4
+
+
+def test_infinite_values_and_one_hot_group(spark):
+    inf = float("inf")
+    rows = spark.createDataFrame([(v,) for v in [-inf, *map(float, range(8)), inf, inf, inf, inf]], "v double")
+    points = [0.0, 0.05, 0.5, 0.9, 1.0]
+    ways = [{r.fraction: r.value for r in percentiles(rows, ["v"], points, small_group=s).collect()} for s in (2, 1_000_000)]
+    assert ways[0] == ways[1] and ways[0][0.9] == inf and ways[0][0.0] == -inf
+    groups = [(f"g{i}", float(i % 3)) for i in range(5000)] + [("hot", float(i % 700)) for i in range(3000)] + [(None, 1.0)] * 3
+    table = spark.createDataFrame(groups, "k string, v double")
+    totals = [
+        sorted((str(r.k), r.v, r.n, r.cum_n, r.total_n, str(r.next_value)) for r in running_totals(table, "v", {"n": F.lit(1)}, ["k"], small_group=s).collect())
+        for s in (100, 1_000_000)
+    ]
+    assert totals[0] == totals[1] and len(totals[0]) == 5701

@@ -10,8 +10,8 @@ from helpers import assert_features, expected_features, from_archive, lines, ran
 from tickloom.operators.parse import parse_ticks
 from tickloom.operators.trailing import tick_features
 from tickloom.sources.raw import read_archive, stream_archive
-from tickloom.sources.sinks import append_stream, tee_stream
-from tickloom.streaming.trailing import count_messages, parity, stream_features, window_arrays
+from tickloom.sources.sinks import append_stream, save_stream, tee_stream, to_folder, to_table
+from tickloom.streaming.trailing import check_messages, count_messages, parity, stream_features, window_arrays
 
 
 def land(folder, name, rows, mtime):
@@ -146,6 +146,34 @@ def test_tee_writes_both_copies(spark, tmp_path):
     assert {json.loads(x)["seq"] for x in texts[0]} == set(range(20))
 
 
+def test_one_query_with_two_sinks_and_its_counts(spark, tmp_path):
+    rows = random_ticks(13, n=60)
+    source = tmp_path / "in"
+    source.mkdir()
+    land(source, "0.ndjson", rows, 1_700_000_000)
+    (source / "1.ndjson").write_text("not json\n")
+    features = stream_features(stream_archive(spark, str(source)), 60, 0.0)
+    table, messages = str(tmp_path / "table"), str(tmp_path / "messages")
+    query = save_stream(features, to_table(table), to_folder(messages), str(tmp_path / "progress"), once=True)
+    query.awaitTermination()
+    written = spark.read.parquet(table).drop("batch")
+    assert written.count() == spark.read.text(messages).count() > 20
+    seen = [p["observedMetrics"] for p in query.recentProgress]
+    total = lambda name, metric: sum(m[name][metric] for m in seen if name in m)
+    assert total("envelopes", "lines_read") >= 61 and total("envelopes", "bad_lines") >= 1
+    assert total("ticks", "valid_ticks") >= 60 and total("features", "emitted") >= written.count()
+
+
+def test_check_stops_early_or_when_idle(spark, tmp_path):
+    source = tmp_path / "in"
+    source.mkdir()
+    land(source, "0.ndjson", random_ticks(14, n=30), 1_700_000_000)
+    some = check_messages(stream_archive(spark, str(source)), str(tmp_path / "a"), 10, idle_seconds=60.0).first()
+    assert (some.messages_seen, some.enough) == (10, True) and some.seconds < 60
+    few = check_messages(stream_archive(spark, str(source)), str(tmp_path / "b"), 100, idle_seconds=3.0).first()
+    assert (few.messages_seen, few.enough) == (30, False) and few.seconds >= 3
+
+
 def test_message_count(spark):
     assert count_messages(spark.range(500), 100).first().asDict() == {"messages_seen": 100, "enough": True}
     assert count_messages(spark.range(5), 100).first().asDict() == {"messages_seen": 5, "enough": False}

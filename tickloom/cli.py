@@ -11,14 +11,14 @@ from tickloom.plans import reports, scoring, training
 from tickloom.plans.replay import replay
 from tickloom.session import fresh_path, get_spark
 from tickloom.sources.raw import stream_archive, stream_kafka
-from tickloom.sources.sinks import append_stream, json_stream, kafka_stream
-from tickloom.streaming.trailing import count_messages, stream_features
+from tickloom.sources.sinks import save_stream, to_folder, to_table, to_topic
+from tickloom.streaming.trailing import check_messages, stream_features
 
 
 def _source(spark, args):
     if args.servers:
         return stream_kafka(spark, args.servers, args.topic, args.messages_per_batch)
-    return stream_archive(spark, args.input)
+    return stream_archive(spark, args.input, args.messages_per_batch)
 
 
 def run_replay(spark, args):
@@ -29,13 +29,12 @@ def run_replay(spark, args):
 
 def run_featurize(spark, args):
     features = stream_features(_source(spark, args), args.window_seconds, args.delay_seconds)
-    running = [append_stream(features, args.output, f"{args.checkpoint}/table", args.once)]
+    messages = None
     if args.servers and args.output_topic:
-        running.append(kafka_stream(features, args.servers, args.output_topic, f"{args.checkpoint}/topic", args.once))
+        messages = to_topic(args.servers, args.output_topic)
     elif args.messages:
-        running.append(json_stream(features, args.messages, f"{args.checkpoint}/messages", args.once))
-    for query in running:
-        query.awaitTermination()
+        messages = to_folder(args.messages)
+    save_stream(features, to_table(args.output), messages, args.checkpoint, args.once).awaitTermination()
 
 
 def run_train(spark, args):
@@ -69,10 +68,8 @@ def run_train_test_drift(spark, args):
 
 
 def run_check(spark, args):
-    """Reads what has landed so far, once, and counts it."""
-    sink = fresh_path(spark, "check")
-    append_stream(_source(spark, args), f"{sink}/rows", f"{sink}/progress", once=True).awaitTermination()
-    count_messages(spark.read.parquet(f"{sink}/rows"), args.min).show()
+    """Counts messages as they come, until there are enough or none come any more."""
+    check_messages(_source(spark, args), fresh_path(spark, "check"), args.min, args.idle_seconds).show()
 
 
 def parser() -> argparse.ArgumentParser:
@@ -92,6 +89,7 @@ def parser() -> argparse.ArgumentParser:
                 sub.add_argument(flag, default=default, type=type(default) if default is not None else str)
         return sub
 
+    # For files, the number of files per batch.
     source = dict(input=None, servers=None, topic="ticks.raw", messages_per_batch=None)
     command("replay", run_replay, input=..., output=..., window_seconds=60)
     command(
@@ -103,7 +101,7 @@ def parser() -> argparse.ArgumentParser:
     command("evaluate", run_evaluate, folder=..., baseline=MODEL_TYPE, challenger="logistic_regression")
     command("drift", run_drift, features=..., output=..., split_ratio=0.5)
     command("train-test-drift", run_train_test_drift, train=..., test=..., output=...)
-    command("check", run_check, **source, min=100)
+    command("check", run_check, **source, min=100, idle_seconds=10.0)
     return main
 
 

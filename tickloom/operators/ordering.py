@@ -305,21 +305,18 @@ def with_next(
 
     Rows are grouped by key and block of time, so a busy key spreads over many tasks; the
     last row of a block takes the first value of the next block that has rows, from a
-    table with one row per block. ``df`` is scanned twice.
+    table with one row per block. ``df`` is scanned twice and shuffled once: keys stand in as
+    text and a null mark, so that the window and the join deal rows out alike.
     """
-    keys = list(keys)
     block = F.expr(f"({time_us} - pmod({time_us}, {block_us}L)) div {block_us}L")
-    rows = df.withColumn("_block", block)
-    firsts = rows.groupBy(*keys, "_block").agg(F.min_by(F.struct(value), F.struct(time_us, order)).alias("_first"))
-    chain = W.partitionBy(*keys).orderBy("_block")
-    edges = firsts.select(
-        *[F.col(k).alias(f"_e_{k}") for k in keys],
-        F.col("_block").alias("_e_block"),
-        F.lead("_first").over(chain).alias("_edge"),
-    )
-    inside = W.partitionBy(*keys, "_block").orderBy(time_us, order)
+    stand_in = {}
+    for i, key in enumerate(keys):
+        stand_in |= {f"_k{i}": F.coalesce(F.col(key).cast("string"), F.lit("")), f"_n{i}": F.col(key).isNull()}
+    rows = df.withColumns({**stand_in, "_block": block})
+    place = [*stand_in, "_block"]
+    firsts = rows.groupBy(*place).agg(F.min_by(F.struct(value), F.struct(time_us, order)).alias("_first"))
+    chain = W.partitionBy(*stand_in).orderBy("_block")
+    edges = firsts.select(*place, F.lead("_first").over(chain).alias("_edge"))
+    inside = W.partitionBy(*place).orderBy(time_us, order)
     rows = rows.withColumn("_inside", F.lead(F.struct(value)).over(inside))
-    match = [rows[k].eqNullSafe(edges[f"_e_{k}"]) for k in keys] + [rows["_block"] == edges["_e_block"]]
-    return rows.join(edges, on=match, how="left").select(
-        *df.columns, F.coalesce("_inside", "_edge")[value].alias(out)
-    )
+    return rows.join(edges, place, "left").select(*df.columns, F.coalesce("_inside", "_edge")[value].alias(out))

@@ -1,5 +1,6 @@
 """Exploratory statistics of a feature table."""
 
+import json
 from itertools import combinations_with_replacement
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -172,25 +173,25 @@ def value_shares(df: DataFrame, column: str) -> DataFrame:
 
 
 def correlations(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Pearson correlation of every pair of columns, both ways round, in one scan."""
-    clean = df.select(*[number_or_null(c) for c in columns])
-    pairs = list(combinations_with_replacement(columns, 2))
-
-    def pearson(a: str, b: str) -> Column:
-        # Unlike the built-in, NULL rather than an error where a column is constant.
-        spread = lambda x, y: F.stddev_pop(F.when(F.col(y).isNotNull(), F.col(x)))
-        return F.covar_pop(a, b) / F.nullif(spread(a, b) * spread(b, a), F.lit(0.0))
-
-    row = clean.agg(*[pearson(a, b).alias(f"{i}") for i, (a, b) in enumerate(pairs)])
-    long = unpivot(row, [str(i) for i in range(len(pairs))], "correlation")
-    left = F.array(*[F.lit(a) for a, _ in pairs])
-    right = F.array(*[F.lit(b) for _, b in pairs])
-    at = F.col("column_name").cast("int")
-    named = long.select(F.get(left, at).alias("a"), F.get(right, at).alias("b"), "correlation")
-    both = F.when(
-        F.col("a") == F.col("b"), F.array(F.struct("a", "b"))
-    ).otherwise(F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b"))))
-    return named.select(F.explode(both).alias("p"), "correlation").select(
+    """Pearson correlation of every pair of columns, both ways round, in one scan.
+
+    Each row is laid out once per pair and the pairs are added up before they are shuffled, so
+    three aggregates serve any number of columns. NULL where a column is constant or the two are never
+    there together."""
+    spark = df.sparkSession
+    pairs = list(combinations_with_replacement(range(len(columns)), 2))
+    asked = spark.createDataFrame([(columns[i], columns[j], i, j) for i, j in pairs], "a string, b string, i int, j int")
+    both = F.from_json(F.lit(json.dumps([{"i": i, "j": j} for i, j in pairs])), "array<struct<i:int,j:int>>")
+    values = df.select(F.array(*[number_or_null(c) for c in columns]).alias("v"))
+    laid = values.select(F.explode(both).alias("p"), "v")
+    laid = laid.select("p.i", "p.j", F.get("v", "p.i").alias("x"), F.get("v", "p.j").alias("y")).where("x is not null and y is not null")
+    spread = F.stddev_pop("x") * F.stddev_pop("y")
+    found = laid.groupBy("i", "j").agg((F.covar_pop("x", "y") / F.nullif(spread, F.lit(0.0))).alias("correlation"))
+    named = asked.join(found, ["i", "j"], "left")
+    ways = F.when(F.col("a") == F.col("b"), F.array(F.struct("a", "b"))).otherwise(
+        F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b")))
+    )
+    return named.select(F.explode(ways).alias("p"), "correlation").select(
         F.col("p.a").alias("column_a"), F.col("p.b").alias("column_b"), "correlation"
     )
 

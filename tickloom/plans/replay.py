@@ -37,14 +37,21 @@ def bounded_features(
     after that count, which is therefore included.
     """
     arrivals = stored(envelopes.withColumn("ts_us", F.round(F.col("ts") * 1e6).cast("long")), "arrivals")
-    features = tick_features(parse_ticks(arrivals.drop("ts_us")), window_seconds)
+    ticks = parse_ticks(arrivals.drop("ts_us"))
     if messages <= 0 or arrivals.count() < messages:
-        return features
+        return tick_features(ticks, window_seconds)
     at, seq = keys_at_ranks(arrivals, "ts_us", "seq", [messages - 1])[messages - 1]
-    features = stored(features, "features")
     place = F.struct("ts_us", "seq")
     here = F.struct(F.lit(at).alias("ts_us"), F.lit(seq).alias("seq"))
-    stop = features.where(place >= here).agg(F.min(place)).first()[0]
+    last = arrivals.agg(F.max("ts_us")).first()[0]
+    # Only as much of what follows is looked at as it takes to find the row that ends the run.
+    reach = int(window_seconds * 1_000_000)
+    while True:
+        features = tick_features(ticks.where(F.col("ts_us") <= at + reach), window_seconds)
+        stop = features.where(place >= here).agg(F.min(place)).first()[0]
+        if stop is not None or at + reach >= last:
+            break
+        reach *= 4
     if stop is None:
         return features
     return features.where(place <= F.struct(F.lit(stop["ts_us"]).alias("ts_us"), F.lit(stop["seq"]).alias("seq")))

@@ -1,5 +1,7 @@
 """Writers: tables, streams, metrics and run records."""
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -52,20 +54,61 @@ def json_stream(df: DataFrame, path: str, checkpoint: str, once: bool = False) -
     return _settings(writer, once, None).start(path)
 
 
-def tee_stream(
-    envelopes: DataFrame, queue: str, archive: str, checkpoint: str, once: bool = False
+BatchWriter = Callable[[DataFrame, int], None]
+
+
+def to_folder(path: str) -> BatchWriter:
+    """Writes each batch of lines to a folder of its own, which a retry overwrites."""
+    return lambda lines, batch_id: lines.write.mode("overwrite").text(f"{path}/batch={batch_id}")
+
+
+def to_table(path: str) -> BatchWriter:
+    """The same for rows, as Parquet."""
+    return lambda rows, batch_id: rows.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+
+
+def to_topic(servers: str, topic: str) -> BatchWriter:
+    """Sends each batch of lines to a topic; a retry may send it again. Needs the Spark Kafka
+    connector."""
+
+    def write(lines: DataFrame, batch_id: int) -> None:
+        lines.select("value").write.format("kafka").option("kafka.bootstrap.servers", servers).option("topic", topic).save()
+
+    return write
+
+
+def save_stream(
+    df: DataFrame, table: BatchWriter, messages: BatchWriter | None, checkpoint: str, once: bool = False
 ) -> StreamingQuery:
-    """Each micro-batch to a queue folder and to an archive as the same JSON lines.
+    """One query with two sinks: each micro-batch is worked out once, written as rows, and what was
+    written is sent as JSON messages too."""
+
+    def write_both(batch: DataFrame, batch_id: int) -> None:
+        held = batch.persist() if messages else batch
+        try:
+            table(held, batch_id)
+            if messages:
+                messages(json_messages(held), batch_id)
+        finally:
+            if messages:
+                held.unpersist()
 
-    Every batch has a folder of its own which a retry overwrites, so both copies hold each
-    message once.
-    """
+    writer = df.writeStream.foreachBatch(write_both).option("checkpointLocation", checkpoint)
+    return _settings(writer, once, None).start()
+
+
+def tee_stream(
+    envelopes: DataFrame, queue: str | BatchWriter, archive: str | BatchWriter, checkpoint: str, once: bool = False
+) -> StreamingQuery:
+    """Each micro-batch to a queue and to an archive as the same JSON lines. Each target is a folder
+    or a writer such as ``to_topic``."""
+    writers = [to_folder(target) if isinstance(target, str) else target for target in (queue, archive)]
 
     def write_both(batch: DataFrame, batch_id: int) -> None:
         lines = json_messages(batch).persist()
         try:
-            for target in (queue, archive):
-                lines.write.mode("overwrite").text(f"{target}/batch={batch_id}")
+            for write in writers:
+                write(lines, batch_id)
         finally:
             lines.unpersist()
 

@@ -6,6 +6,7 @@ busy pair run side by side when a backlog is read, and each slice's state is dro
 the watermark passes its end.
 """
 
+import time
 from collections.abc import Iterator
 
 import numpy as np
@@ -203,8 +204,13 @@ def stream_features(
     window_us = int(round(window_seconds * 1_000_000))
     block = floor_div("ts_us", window_us)
     here, after = floor_div("_block", BLOCKS_PER_SLICE), floor_div("_block + 1", BLOCKS_PER_SLICE)
+    # Counts of every micro-batch, in the query's progress under ``observedMetrics``.
+    counted = envelopes.observe(
+        "envelopes", F.count(F.lit(1)).alias("lines_read"), F.count_if("is_bad").alias("bad_lines")
+    )
     ticks = (
-        parse_ticks(envelopes)
+        parse_ticks(counted)
+        .observe("ticks", F.count(F.lit(1)).alias("valid_ticks"))
         .withColumn("event_time", F.timestamp_micros("ts_us"))
         .withWatermark("event_time", f"{delay_seconds} seconds")
         .withColumn("_block", F.expr(block))
@@ -212,12 +218,13 @@ def stream_features(
         .withColumn("past", F.expr(f"slice != {here}"))
         .select("pair", "slice", "past", "ts", "ts_us", "seq", "midprice", "spread", "price", "event_time")
     )
-    return ticks.groupBy("pair", "slice").transformWithStateInPandas(
+    features = ticks.groupBy("pair", "slice").transformWithStateInPandas(
         statefulProcessor=TrailingWindow(window_us),
         outputStructType=FEATURE_ROW,
         outputMode="append",
         timeMode="eventTime",
     )
+    return features.observe("features", F.count(F.lit(1)).alias("emitted"))
 
 
 def parity(batch: DataFrame, stream: DataFrame, digits: int = 9) -> DataFrame:
@@ -244,6 +251,29 @@ def parity(batch: DataFrame, stream: DataFrame, digits: int = 9) -> DataFrame:
     )
 
 
+def check_messages(messages: DataFrame, checkpoint: str, enough: int = 100, idle_seconds: float = 10.0) -> DataFrame:
+    """One row about a stream: messages seen, whether there were ``enough``, and the seconds it took.
+    Stops as soon as there are enough, or when none have come for ``idle_seconds``; writes
+    nothing but its place in the stream."""
+    start = time.monotonic()
+    state = {"seen": 0, "last": start}
+
+    def count(batch: DataFrame, batch_id: int) -> None:
+        if found := batch.limit(enough).count():
+            state["seen"] = min(enough, state["seen"] + found)
+            state["last"] = time.monotonic()
+
+    query = messages.writeStream.foreachBatch(count).option("checkpointLocation", checkpoint).start()
+    try:
+        while state["seen"] < enough and time.monotonic() - state["last"] < idle_seconds:
+            if query.awaitTermination(0.1):
+                break
+    finally:
+        query.stop()
+    row = (state["seen"], state["seen"] >= enough, time.monotonic() - start)
+    return messages.sparkSession.createDataFrame([row], "messages_seen long, enough boolean, seconds double")
+
+
 def count_messages(messages: DataFrame, enough: int = 100) -> DataFrame:
     """One row: messages seen, counting no further than ``enough``, and whether there are
     enough."""
