@@ -14,10 +14,20 @@ from tickloom.session import fresh_path, stored  # noqa: F401
 _shipped: set[str] = set()
 
 
+# Rows and bytes handed to Python at once; texts may be long.
+BATCH_ROWS = 1000
+BATCH_BYTES = 8 << 20
+
+
 def ship_package(spark: SparkSession) -> None:
-    """Give executors this package's modules, once per application, for functions that run in
-    Python there."""
+    """Ready the session for functions that run in Python: batches of bounded size, and this
+    package's modules on the executors, once per application."""
     sc = spark.sparkContext
+    for name, most in (("maxRecordsPerBatch", BATCH_ROWS), ("maxBytesPerBatch", BATCH_BYTES)):
+        setting = f"spark.sql.execution.arrow.{name}"
+        now = spark.conf.get(setting, None)
+        if now is None or not now.isdigit() or not 0 < int(now) <= most:
+            spark.conf.set(setting, str(most))
     if sc.applicationId in _shipped:
         return
     root = Path(tickloom.__file__).parent

@@ -13,7 +13,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 
-CHUNK = 1 << 21  # bytes of text worked on at once; a longer text is a chunk of its own
+CHUNK = 1 << 19  # bytes of text worked on at once; a longer text is a chunk of its own
 
 _rng = np.random.default_rng(20240229)
 _BYTE = _rng.integers(1, 2**63, 256, dtype=np.uint64)
