@@ -9,16 +9,16 @@ os.environ.setdefault("PYSPARK_PYTHON", sys.executable)
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from registered import queries as q  # noqa: E402
-from tickloom.models.classifiers import fit_logistic  # noqa: E402
+from tickloom.models.classifiers import fit_logistic, fit_trees  # noqa: E402
 from tickloom.models.registry import predict  # noqa: E402
 from tickloom.models.zscore import fit_zscore  # noqa: E402
-from tickloom.session import get_spark  # noqa: E402
+from tickloom.session import get_spark, stored  # noqa: E402
 
 # Each runs whole: from the test table, or from a stored feature table as a pipeline would.
 NAMES = [
     "window_features", "next_row_label", "train_validation_test", "metrics_by_split", "describe_features",
     "describe_lines", "line_percentiles", "line_ecdf", "line_distances", "drift_tests", "line_summary",
-    "feature_correlations", "streamed_features",
+    "feature_correlations", "streamed_features", "archive_replay", "early_late_report",
 ]
 
 
@@ -34,7 +34,7 @@ def main() -> None:
         spark__sql__shuffle__partitions=cpus,
     )
     spark.sparkContext.setLogLevel("ERROR")
-    run(spark.range(10).selectExpr("sum(id)"))  # session start is not part of any query
+    run(q.window_features(spark, folder))  # starting up and compiling is not part of any query
     times = {}
     for name in NAMES:
         start = time.perf_counter()
@@ -51,6 +51,13 @@ def main() -> None:
     start = time.perf_counter()
     fit_logistic(train)
     times["logistic_fit"] = round(time.perf_counter() - start, 3)
+    start = time.perf_counter()
+    fit_trees(train, rounds=100)
+    times["trees_fit"] = round(time.perf_counter() - start, 3)
+    few = stored(features.limit(5000), "few")
+    start = time.perf_counter()
+    run(predict(model, few))
+    times["zscore_score_5000"] = round(time.perf_counter() - start, 3)
     print(
         json.dumps(
             {

@@ -314,7 +314,7 @@ def run_records(spark, folder):
     models = training.fit_all(rows, ["zscore"])
     scores = stored(training.predictions(models, rows), "predictions")
     metrics = evaluate.metrics_long(evaluate.evaluate(scores))
-    training.log_run(metrics, training.run_params(models, THRESHOLD, 0), path)
+    training.log_run(metrics, training.run_params(models, THRESHOLD), path)
     return spark.read.parquet(path).groupBy("model", "kind").agg(F.count(F.lit(1)).alias("n_records"))
 
 

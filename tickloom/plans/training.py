@@ -83,24 +83,30 @@ def train(
         write_importance(weights, folder)
         for split in ("train", "test"):
             write_table(rows.where(F.col("split") == split).drop("split"), f"{folder}/{split}_data")
-        log_run(metrics, run_params(models, threshold, rounds), f"{folder}/runs")
+        log_run(metrics, run_params(models, threshold), f"{folder}/runs")
     return result
 
 
-def run_params(models: dict, threshold: float, rounds: int) -> dict[str, dict[str, str]]:
-    """What each model was fitted with, as text."""
+# Names under which settings are logged, and what the fitted models call them.
+_LOGGED = {
+    LOGISTIC: {"max_iter": "maxIter", "reg_param": "regParam", "elastic_net": "elasticNetParam"},
+    TREES: {"max_depth": "maxDepth", "learning_rate": "stepSize", "n_estimators": "maxIter", "random_state": "seed"},
+}
+
+
+def run_params(models: dict, threshold: float) -> dict[str, dict[str, str]]:
+    """What each model was fitted with, as text, read from the model itself."""
     common = {"threshold_tau": repr(threshold), "features": ",".join(FEATURES), "n_features": str(len(FEATURES))}
-    # The settings the models are trained with.
-    settings = {
-        LOGISTIC: {"class_weight": "balanced", "max_iter": "1000", "solver": "lbfgs"},
-        TREES: {"max_depth": "5", "learning_rate": "0.1", "n_estimators": str(rounds), "random_state": "42"},
-    }
     params = {}
     for name, model in models.items():
-        own = settings.get(name) or {
-            "threshold": repr(model.threshold), "feature_name": model.feature,
-            "mean": repr(model.mean), "std": repr(model.std),
-        }
+        if name in _LOGGED:
+            stage = model.stages[-1]
+            own = {ours: str(stage.getOrDefault(theirs)) for ours, theirs in _LOGGED[name].items()}
+        else:
+            own = {
+                "threshold": repr(model.threshold), "feature_name": model.feature,
+                "mean": repr(model.mean), "std": repr(model.std),
+            }
         params[name] = {**common, "model_type": name, **own}
     return params
 
