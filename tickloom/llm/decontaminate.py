@@ -29,7 +29,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from tickloom.llm.tables import keep_rows, ship_package, stored, text_rows
+from tickloom.llm.tables import ship_package, stored, text_rows, without_rows
 from tickloom.llm.words import LETTERS, chunks, split_words
 
 WINDOW_WORDS = 13
@@ -234,4 +234,4 @@ def contamination(
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """``docs`` without the contaminated ones, all columns as they were."""
     found = contamination(docs, benchmark, key, text, **options).where("contaminated")
-    return keep_rows(docs, found, key, text, "left_anti")
+    return without_rows(docs, stored(found.select("doc_id", "text_hash"), "contaminated"), key, text)

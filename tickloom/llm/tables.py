@@ -9,6 +9,7 @@ from pathlib import Path
 import tickloom
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from tickloom.llm.prefilter import bit_table, marked
 from tickloom.session import fresh_path, stored  # noqa: F401
 
 _shipped: set[str] = set()
@@ -54,19 +55,30 @@ def text_rows(docs: DataFrame, key: str = "doc_id", text: str = "text", **more)
     )
 
 
-def keep_rows(docs: DataFrame, keys: DataFrame, key: str = "doc_id", text: str = "text", how: str = "left_semi") -> DataFrame:
-    """Rows of ``docs`` whose id and text are in ``keys`` (doc_id, text_hash), or, with
-    ``left_anti``, are not. A null id or text is a value like any other."""
-    left = docs.withColumns({"__hash": F.xxhash64(docs[text].cast("string"))})
+def without_rows(docs: DataFrame, keys: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """Rows of ``docs`` whose id and text are not in ``keys`` (doc_id, text_hash); a null id or text is a
+    value like any other. Rows that a filter of fixed size tells apart from all keys are passed on as
+    they are; only the others are shuffled."""
+    same, rest = _split(docs, keys, key, text)
     right = keys.select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__text_hash"))
-    kept = left.join(right, (F.col("__hash") == F.col("__text_hash")) & left[key].eqNullSafe(F.col("__id")), how)
-    return kept.select(*docs.columns)
+    rest = rest.join(right, (F.col("__hash") == F.col("__text_hash")) & rest[key].eqNullSafe(F.col("__id")), "left_anti")
+    return same.unionByName(rest.select(*docs.columns))
 
 
-def one_of_repeated(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``docs`` with one of each set of rows that have the same id and the same text."""
-    hashed = docs.withColumns({"__hash": F.xxhash64(docs[text].cast("string"))})
-    return hashed.dropDuplicates([key, "__hash"]).select(*docs.columns)
+def one_of_repeated(docs: DataFrame, keys: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """``docs`` with one of each set of rows that have the same id and text, where ``keys`` has all ids
+    and texts that are repeated."""
+    same, rest = _split(docs, keys, key, text)
+    return same.unionByName(rest.dropDuplicates([key, "__hash"]).select(*docs.columns))
+
+
+def _split(docs: DataFrame, keys: DataFrame, key: str, text: str) -> tuple[DataFrame, DataFrame]:
+    """Rows that have no part in ``keys`` for certain, and the others with ``__hash``."""
+    rows = docs.withColumn("__hash", F.xxhash64(docs[text].cast("string")))
+    rows = rows.withColumn("__both", F.xxhash64(docs[key], "__hash"))
+    table = bit_table(keys.select(F.xxhash64("doc_id", "text_hash").alias("both")), "both")
+    rows = marked(rows, "__both", table, "__maybe")
+    return rows.where(~F.col("__maybe")).select(*docs.columns), rows.where("__maybe")
 
 
 def hex_digest(column) -> F.Column:
