@@ -35,7 +35,7 @@ from tickloom.llm.tables import ship_package, text_rows
 from tickloom.llm.words import chunks
 
 MARK = "▁"
-REMEMBERED = 250_000  # stretches in each of two generations of the memory
+REMEMBERED = 100_000  # stretches in each of two generations of the memory
 LONGEST = 64  # characters of a stretch worth remembering
 
 NORMAL, UNKNOWN_KIND, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
