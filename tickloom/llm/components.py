@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Observation, functions as F
 
 from tickloom.llm.tables import stored
 
@@ -36,8 +36,11 @@ def connected_components(edges: DataFrame) -> DataFrame:
     edges = stored(edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "edges")
     state = None
     for _ in range(MAX_ROUNDS):
-        edges = stored(_stars(_stars(edges, True), False), "stars")
-        now = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
+        # Number and checksum of the links are counted as they are written.
+        seen = Observation()
+        counts = [F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("sum")]
+        edges = stored(_stars(_stars(edges, True), False).observe(seen, *counts), "stars")
+        now = seen.get
         if now == state:
             break
         state = now

@@ -26,7 +26,7 @@ keep all their lines. An empty table gives an empty result. Other columns are ke
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from tickloom.llm.components import connected_components
 from tickloom.llm.prefilter import bit_table, marked
@@ -38,6 +38,7 @@ RUN = 3
 BANDS = 8
 SMALL = 12  # lines of a bucket that are all compared with each other
 ROUNDS = 4
+BLANKS = " \t\r"
 
 # A word, seen with the characters that follow its beginning.
 _AT_WORDS = rf"(?=(.{{1,{SHINGLE}}}))\S+\s*"
@@ -47,7 +48,8 @@ def _lines(docs: DataFrame, key: str, text: str) -> DataFrame:
     """(doc_id, line_no, line) of all lines with text, lower-cased and trimmed."""
     rows = docs.where(docs[key].isNotNull() & docs[text].isNotNull())
     rows = rows.select(docs[key].alias("doc_id"), F.posexplode(F.split(docs[text], "\n")).alias("line_no", "line"))
-    return rows.withColumn("line", F.trim(F.lower("line"), F.lit(" \t\r"))).where("line <> ''")
+    # The filter looks at the line as it is, so that it is lower-cased only once.
+    return rows.where(F.trim("line", F.lit(BLANKS)) != "").withColumn("line", F.trim(F.lower("line"), F.lit(BLANKS)))
 
 
 def _hashed(lines: DataFrame) -> DataFrame:
@@ -79,9 +81,13 @@ def _with_bands(lines: DataFrame) -> DataFrame:
 
 
 def _candidates(buckets: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(pairs of small buckets, and of large ones with their first line)."""
-    sized = buckets.groupBy("bucket").agg(F.count("*").alias("n"), F.min("h1").alias("hub")).where("n > 1")
-    members = stored(buckets.join(sized, "bucket"), "buckets")
+    """(pairs of small buckets, and of large ones with their first line). Most buckets hold one line
+    and are sorted out by a filter of fixed size before the rest is joined."""
+    shared = stored(buckets.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "shared")
+    some = marked(buckets, "bucket", bit_table(shared, "bucket")).where("maybe").select("bucket", "h1")
+    some = stored(some.join(shared, "bucket"), "some")
+    hubs = some.groupBy("bucket").agg(F.min("h1").alias("hub"))
+    members = stored(some.join(hubs, "bucket"), "buckets")
     small = members.where(F.col("n") <= SMALL).select("bucket", "h1")
     other = small.select("bucket", F.col("h1").alias("other"))
     pairs = small.join(other, "bucket").where("h1 < other").select(F.col("h1").alias("a"), F.col("other").alias("b"))
@@ -89,25 +95,30 @@ def _candidates(buckets: DataFrame) -> tuple[DataFrame, DataFrame]:
     return pairs, stars
 
 
-def alike_lines(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(h1, h2, component, n, first_doc): every distinct line that occurs more than once or is alike to
-    another, with its component, its number of occurrences and its least document id."""
+def _alike(docs: DataFrame, key: str, text: str) -> tuple[DataFrame, DataFrame]:
+    """(places, components): all places (doc_id, line_no, h1, h2) of lines that occur more than once
+    or may be alike to another, and some more; and (h1, h2, component) of those that are alike."""
     lines = _hashed(_lines(docs, key, text))
     banded = _with_bands(lines)
-    least = {f"b{i}": F.min(f"b{i}") for i in range(BANDS)}
-    # The copies of a line agree in all but the document.
-    distinct = banded.groupBy("h1", "h2").agg(
-        F.count("*").alias("n"), F.min("doc_id").alias("first_doc"), F.min("size").alias("size"), *[c.alias(k) for k, c in least.items()]
-    )
-    distinct = stored(distinct, "lines")
+    # The copies of a line agree in their bands.
+    bands = [F.min(f"b{i}").alias(f"b{i}") for i in range(BANDS)]
+    distinct = stored(banded.groupBy("h1", "h2").agg(F.count("*").alias("n"), F.min("doc_id").alias("first_doc"), *bands), "lines")
     buckets = distinct.select("h1", F.explode(F.array(*[f"b{i}" for i in range(BANDS)])).alias("bucket")).where("bucket is not null")
 
     pairs, stars = _candidates(buckets)
     pairs = stored(pairs.unionByName(stars.select("a", "b")).distinct(), "pairs")
-    ends = pairs.select(F.explode(F.array("a", "b")).alias("h1")).distinct()
-    ends = stored(ends, "ends")
-    near = marked(lines.select("h1", "h2", "line"), "h1", bit_table(ends, "h1")).where("maybe").select("h1", "h2", "line")
-    near = near.join(ends, "h1", "left_semi").dropDuplicates(["h1", "h2"])
+    ends = stored(pairs.select(F.explode(F.array("a", "b")).alias("h1")).distinct(), "ends")
+
+    # One scan gives both the places that may matter and the texts of the candidates.
+    wanted = distinct.where("n > 1").select("h1").unionByName(ends)
+    places = marked(lines, "h1", bit_table(wanted, "h1")).where("maybe")
+    places = marked(places, "h1", bit_table(ends, "h1"), "end")
+    places = places.select("doc_id", "line_no", "h1", "h2", F.when(F.col("end"), F.col("line")).alias("line"))
+    places = stored(places, "places")
+
+    firsts = distinct.join(ends, "h1", "left_semi").select("h1", "h2", F.col("first_doc").alias("doc_id"))
+    near = places.where("line is not null").join(firsts, ["h1", "h2", "doc_id"])
+    near = near.groupBy("h1", "h2").agg(F.min("line").alias("line"))
     near = stored(near.select("h1", "h2", _shingles("line").alias("shingles")).withColumn("id", F.monotonically_increasing_id()), "shingles")
 
     def confirmed(candidates: DataFrame) -> DataFrame:
@@ -128,26 +139,23 @@ def alike_lines(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
         links = stored(links.unionByName(confirmed(candidates)), "links")
 
     found = connected_components(links.select("u", "v"))
-    components = near.join(found.withColumnRenamed("node", "id"), "id").select("h1", "h2", "component")
-    joined = distinct.select("h1", "h2", "n", "first_doc").join(components, ["h1", "h2"], "left")
-    return joined.where("n > 1 or component is not null")
+    return places, near.join(found.withColumnRenamed("node", "id"), "id").select("h1", "h2", "component")
 
 
 def repeated_lines(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, lines): numbers of the lines to drop from each document, counted from 0."""
-    alike = alike_lines(docs, key, text)
-    # A line of no component is a component of its own, named by its two hashes.
-    alike = alike.select("h1", "h2", "first_doc", F.struct(F.coalesce("component", F.lit(-1)).alias("c"), F.when(F.col("component").isNull(), F.col("h1")).alias("h1"), F.when(F.col("component").isNull(), F.col("h2")).alias("h2")).alias("component"))
-    alike = alike.select("h1", "h2", "first_doc", F.xxhash64("component.c", "component.h1", "component.h2").alias("ck"), F.coalesce("component.h2", F.lit(0)).alias("ck2"))
-    alike = stored(alike, "alike")
-    keeper = alike.groupBy("ck", "ck2").agg(F.min("first_doc").alias("keeper"))
-    alike = alike.drop("first_doc").join(keeper, ["ck", "ck2"])
-    lines = _hashed(_lines(docs, key, text)).select("doc_id", "line_no", "h1", "h2")
-    lines = marked(lines, "h1", bit_table(alike, "h1")).where("maybe").drop("maybe")
-    rows = lines.join(alike, ["h1", "h2"])
-    inside = rows.where("doc_id = keeper").groupBy("ck", "ck2", "doc_id").agg(F.min("line_no").alias("kept_no"))
-    rows = rows.join(inside, ["ck", "ck2", "doc_id"], "left").where("kept_no is null or line_no <> kept_no")
-    return rows.groupBy("doc_id").agg(F.array_sort(F.collect_set("line_no")).alias("lines"))
+    places, components = _alike(docs, key, text)
+    rows = places.select("doc_id", "line_no", "h1", "h2").join(components, ["h1", "h2"], "left")
+    # A line in no component is one of its own, named by its two hashes.
+    own = F.col("component").isNull()
+    rows = rows.select("doc_id", "line_no", F.when(own, F.col("h1")).otherwise(F.col("component")).alias("c1"), F.when(own, F.col("h2")).alias("c2"))
+    rows = stored(rows.fillna({"c2": 0}), "rows")
+    kept = rows.groupBy("c1", "c2").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("n")).where("n > 1")
+    kept = stored(kept, "kept")
+    inside = rows.join(kept, ["c1", "c2", "doc_id"], "left_semi").groupBy("c1", "c2").agg(F.min("line_no").alias("kept_no"))
+    kept = kept.withColumnRenamed("doc_id", "keeper").join(inside, ["c1", "c2"])
+    dropped = rows.join(kept, ["c1", "c2"]).where("doc_id <> keeper or line_no <> kept_no")
+    return dropped.groupBy("doc_id").agg(F.array_sort(F.collect_set("line_no")).alias("lines"))
 
 
 def drop_repeated_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", chars: str | None = "n_chars", drop_empty: bool = True) -> DataFrame:
