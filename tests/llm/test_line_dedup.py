@@ -115,3 +115,44 @@ def test_prefilter_lets_all_partners_through(spark):
     table = bit_table(keys, "h")
     passed = {r.h for r in marked(rows, "h", table).where("maybe").collect()}
     assert set(range(0, 5000, 7)) <= passed and len(passed) < 900
+
+
+def whole(line):
+    """Shingles at words and at every place of longer words, or everywhere in a line that has few."""
+    found = set()
+    for m in re.finditer(r"\S+", line):
+        found |= {line[m.start() + i : m.start() + i + 10] for i in range(max(len(m.group()) - 9, 1))}
+    if len(found) < 3:
+        found = {line[i : i + 10] for i in range(len(line) - 9)}
+    return frozenset(found)
+
+
+def test_characters_past_the_tenth_of_a_word(spark, monkeypatch):
+    monkeypatch.setitem(globals(), "shingles", whole)
+    rng = random.Random(6)
+    han = "".join(chr(rng.randrange(0x4E00, 0x9000)) for _ in range(120))
+    docs = [
+        (1, "GET /api/v1/users/1001 HTTP/1.1"),
+        (2, "GET /api/v1/users/2002 HTTP/1.1"),
+        (3, han),
+        (4, han[:50] + "x" + han[50:]),
+        (5, f"{han[:20]}{han[90:]} {han[5:40]}"),
+        (6, "abcdefghij klmnopqrst"),
+        (7, "abcdefghij klmnopqrsu"),
+        (8, "abcdefghij klmnxxxxxx"),
+    ]
+    assert expected(docs) == {4: [0], 7: [0]}
+    assert found(spark, docs) == {4: [0], 7: [0]}
+
+
+def test_unspaced_lines_equal_all_pairs(spark, monkeypatch):
+    monkeypatch.setitem(globals(), "shingles", whole)
+    rng = random.Random(8)
+    stock = ["".join(chr(rng.randrange(0x3041, 0x3097)) for _ in range(rng.choice([30, 90, 200]))) for _ in range(40)]
+    docs = []
+    for doc in range(120):
+        line = list(rng.choice(stock))
+        for _ in range(rng.choice([0, 1, 1, 2])):
+            line.insert(rng.randrange(len(line)), "-")
+        docs.append((doc, "".join(line)))
+    assert agreement(found(spark, docs), expected(docs)) >= 0.97

@@ -1,8 +1,11 @@
 """Fuzzy line dedup: one line of each component of alike lines stays.
 
 A line's shingles are the strings of ``SHINGLE`` characters that begin at its words (lower-cased,
-trimmed); a line with fewer than ``RUN`` of them is alike only to an equal one. Lines are alike from a
-Jaccard similarity of ``SIMILARITY`` on.
+trimmed) and, in longer words, at every further character up to the last ``SHINGLE`` of the word, so that
+each character is in a shingle and text without blanks has them all. A line with fewer than ``RUN``
+of these has those of all its places; with fewer than ``RUN`` even then (under a dozen characters, or hardly
+any that differ) it is alike only to an equal one. Lines are alike from a Jaccard similarity of
+``SIMILARITY`` on.
 
 1. Every line gets two hashes of its text and a signature: its shingle hashes in ascending
    order form a ring; each of ``BANDS`` fixed points of the ring gives a band, the next ``RUN`` hashes from
@@ -40,8 +43,10 @@ SMALL = 12  # lines of a bucket that are all compared with each other
 ROUNDS = 4
 BLANKS = " \t\r"
 
-# A word, seen with the characters that follow its beginning.
-_AT_WORDS = rf"(?=(.{{1,{SHINGLE}}}))\S+\s*"
+# A word, seen with the characters that follow its beginning; a longer word than a shingle goes on with each
+# of its characters until the shingle ends where the word does.
+_AT_WORDS = rf"(?s)(?=(.{{1,{SHINGLE}}}))(?:\S(?=\S{{{SHINGLE}}})|\S+\s*)"
+_EVERYWHERE = rf"(?s)(?=(.{{{SHINGLE}}}))."
 
 
 def _lines(docs: DataFrame, key: str, text: str) -> DataFrame:
@@ -56,16 +61,22 @@ def _hashed(lines: DataFrame) -> DataFrame:
     return lines.withColumns({"h1": F.xxhash64("line"), "h2": F.xxhash64(F.lit("line"), "line")})
 
 
-def _shingles(line: str):
-    found = F.regexp_extract_all(line, F.lit(_AT_WORDS), F.lit(1))
-    return F.sort_array(F.array_distinct(F.transform(found, lambda s: F.xxhash64(s))))
+def _with_shingles(rows: DataFrame, line: str, name: str) -> DataFrame:
+    """``rows`` with the sorted hashes of the line's shingles."""
+
+    def at(places: str):
+        found = F.regexp_extract_all(line, F.lit(places), F.lit(1))
+        return F.sort_array(F.array_distinct(F.transform(found, lambda s: F.xxhash64(s))))
+
+    rows = rows.withColumn(name, at(_AT_WORDS))
+    return rows.withColumn(name, F.when(F.size(name) < RUN, at(_EVERYWHERE)).otherwise(F.col(name)))
 
 
 def _with_bands(lines: DataFrame) -> DataFrame:
     """``size`` and the hashes ``b0``... of the bands, null for lines without bands."""
     shift = 64 - (BANDS.bit_length() - 1)
     part = lambda h: F.shiftrightunsigned(h, shift)
-    rows = lines.withColumn("ring", _shingles("line")).drop("line").withColumn("size", F.size("ring"))
+    rows = _with_shingles(lines, "line", "ring").drop("line").withColumn("size", F.size("ring"))
     # Only the first hashes after each point matter, and there are few of them.
     first = lambda h, i: (i < RUN) | (part(F.get(F.col("ring"), i - RUN)) != part(h))
     rows = rows.withColumn("ring", F.filter("ring", first))
@@ -119,7 +130,8 @@ def _alike(docs: DataFrame, key: str, text: str) -> tuple[DataFrame, DataFrame]:
     firsts = distinct.join(ends, "h1", "left_semi").select("h1", "h2", F.col("first_doc").alias("doc_id"))
     near = places.where("line is not null").join(firsts, ["h1", "h2", "doc_id"])
     near = near.groupBy("h1", "h2").agg(F.min("line").alias("line"))
-    near = stored(near.select("h1", "h2", _shingles("line").alias("shingles")).withColumn("id", F.monotonically_increasing_id()), "shingles")
+    near = _with_shingles(near, "line", "shingles").drop("line")
+    near = stored(near.withColumn("id", F.monotonically_increasing_id()), "shingles")
 
     def confirmed(candidates: DataFrame) -> DataFrame:
         left = near.select(F.col("h1").alias("a"), F.col("id").alias("u"), F.col("shingles").alias("left"))
