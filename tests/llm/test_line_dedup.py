@@ -156,3 +156,19 @@ def test_unspaced_lines_equal_all_pairs(spark, monkeypatch):
             line.insert(rng.randrange(len(line)), "-")
         docs.append((doc, "".join(line)))
     assert agreement(found(spark, docs), expected(docs)) >= 0.97
+
+
+def test_bucket_of_many_components(spark, monkeypatch):
+    """Templated lines: most meet in buckets of the template's shingles alone, of far more components than rounds,
+    and each has its partner there."""
+    monkeypatch.setattr(line_dedup, "RUN", 1)
+    monkeypatch.setattr(line_dedup, "BANDS", 2)
+    monkeypatch.setattr(line_dedup, "BLOCK", 16)
+    rng = random.Random(9)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(9))
+    template, docs = [word() for _ in range(32)], []
+    for i in range(40):
+        own = [word() for _ in range(7)]
+        docs += [(2 * i, " ".join(template + own[:6])), (2 * i + 1, " ".join(template + own[1:]))]
+    assert len(expected(docs)) == 40
+    assert found(spark, docs) == expected(docs)

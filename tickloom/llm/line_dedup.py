@@ -13,8 +13,11 @@ any that differ) it is alike only to an equal one. Lines are alike from a Jaccar
    one with probability s^RUN, and all miss with (1 - s^RUN)^BANDS: under half a per cent at 0.8.
 2. Equal lines are grouped before they are shuffled; one of each goes on.
 3. Lines with a common band form a bucket. Those of a small bucket are all compared; in a large
-   one all are compared with its first line, and those not confirmed form a bucket again, so the
-   work is in proportion to the bucket.
+   one all are compared with its first line, and those not confirmed form a bucket again, for ``ROUNDS``
+   rounds. The lines of every large bucket that is not one component by then are compared by an exact
+   prefix join: of two sets of that similarity the rarest fifth and one more of the shingles of each
+   have one in common. Lines of one list of such a shingle are compared with the first of them, then
+   all pairs of different components are, in blocks.
 4. Candidates are confirmed by the exact Jaccard similarity of their shingles.
 5. Components of confirmed links come from a distributed union-find; of each component the line of
    the least document id stays, in it the one that comes first.
@@ -40,7 +43,8 @@ SIMILARITY = 0.8
 RUN = 3
 BANDS = 8
 SMALL = 12  # lines of a bucket that are all compared with each other
-ROUNDS = 4
+ROUNDS = 4  # of comparing with a first line only, before the rest is compared in full
+BLOCK = 1000  # lines of a list that one task compares with the others
 BLANKS = " \t\r"
 
 # A word, seen with the characters that follow its beginning; a longer word than a shingle goes on with each
@@ -91,8 +95,8 @@ def _with_bands(lines: DataFrame) -> DataFrame:
     return rows.withColumns({f"b{i}": band(i) for i in range(BANDS)}).drop("ring")
 
 
-def _candidates(buckets: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(pairs of small buckets, and of large ones with their first line). Most buckets hold one line
+def _candidates(buckets: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(pairs of small buckets, and of large ones with their first line, lines of large ones). Most buckets hold one line
     and are sorted out by a filter of fixed size before the rest is joined."""
     shared = stored(buckets.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "shared")
     some = marked(buckets, "bucket", bit_table(shared, "bucket")).where("maybe").select("bucket", "h1")
@@ -103,7 +107,58 @@ def _candidates(buckets: DataFrame) -> tuple[DataFrame, DataFrame]:
     other = small.select("bucket", F.col("h1").alias("other"))
     pairs = small.join(other, "bucket").where("h1 < other").select(F.col("h1").alias("a"), F.col("other").alias("b"))
     stars = members.where((F.col("n") > SMALL) & (F.col("h1") != F.col("hub"))).select("bucket", F.col("hub").alias("a"), F.col("h1").alias("b"))
-    return pairs, stars
+    return pairs, stars, members.where(F.col("n") > SMALL).select("bucket", "h1")
+
+
+def _labelled(near: DataFrame, links: DataFrame) -> DataFrame:
+    """(h1, label): the component of each line so far."""
+    found = connected_components(links.select("u", "v")).withColumnRenamed("node", "id")
+    rows = near.select("h1", "id").join(found, "id", "left")
+    return stored(rows.groupBy("h1").agg(F.min(F.coalesce("component", "id")).alias("label")), "labels")
+
+
+def _prefixes(lines: DataFrame, near: DataFrame) -> DataFrame:
+    """(token, h1, size, at): the rarest shingles of each line, as many as two alike lines must have one
+    of in common; ``at`` is the place in this order, from 0."""
+    sets = lines.join(near.select("h1", "id", "shingles"), "h1")
+    tokens = sets.select("h1", "id", F.size("shingles").alias("size"), F.explode("shingles").alias("token"))
+    counts = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("n"))
+    ordered = tokens.join(counts, "token").groupBy("h1", "id", "size").agg(F.array_sort(F.collect_list(F.struct("n", "token"))).alias("tokens"))
+    length = (F.col("size") - F.ceil(SIMILARITY * F.col("size") - 1e-9) + 1).cast("int")
+    found = ordered.select("h1", "size", F.posexplode(F.slice("tokens", F.lit(1), length)).alias("at", "t"))
+    return found.where("t.n > 1").select(F.col("t.token").alias("token"), "h1", "size", "at")
+
+
+def _lists(prefixes: DataFrame, labels: DataFrame) -> DataFrame:
+    """Rows of the tokens that lines of different components have, with their ``label``, the ``n`` lines of the
+    token, the first of these (``hub``, ``hub_label``) and the most ``common`` label."""
+    rows = prefixes.join(labels, "h1")
+    counts = rows.groupBy("token", "label").agg(F.count(F.lit(1)).alias("n"), F.min("h1").alias("first"))
+    lists = counts.groupBy("token").agg(
+        F.sum("n").alias("n"), F.count(F.lit(1)).alias("labels"), F.min(F.struct("first", "label")).alias("hub"), F.max(F.struct("n", "label"))["label"].alias("common")
+    )
+    lists = lists.where("labels > 1").select("token", "n", F.col("hub.first").alias("hub"), F.col("hub.label").alias("hub_label"), "common")
+    return stored(rows.join(lists, "token"), "lists")
+
+
+def _possible(left_size: str, left_at: str, right_size: str, right_at: str):
+    """Whether two lines can be alike whose first common token stands at these places."""
+    rest = F.least(F.col(left_size) - F.col(left_at), F.col(right_size) - F.col(right_at))
+    return (1 + SIMILARITY) * rest >= SIMILARITY * (F.col(left_size) + F.col(right_size)) - 1e-6
+
+
+def _different(lists: DataFrame) -> DataFrame:
+    """(a, b): pairs of lines of different components that have a token in common and may be alike. Those of
+    the most common label need no turn of their own; the others are dealt into blocks."""
+    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
+    rows = lists.withColumn("blocks", blocks)
+    block = F.pmod(F.xxhash64("token", "h1"), F.col("blocks")).cast("int")
+    turns = rows.where("label <> common").select("token", block.alias("block"), "h1", "label", "size", "at")
+    others = rows.select(
+        "token", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.col("h1").alias("h"), F.col("label").alias("l"), F.col("size").alias("s"), F.col("at").alias("p"), "common"
+    )
+    both = turns.join(others, ["token", "block"]).where("label <> l and (l = common or h1 < h)").where(_possible("size", "at", "s", "p"))
+    return both.select(F.least("h1", "h").alias("a"), F.greatest("h1", "h").alias("b")).distinct()
 
 
 def _alike(docs: DataFrame, key: str, text: str) -> tuple[DataFrame, DataFrame]:
@@ -116,7 +171,7 @@ def _alike(docs: DataFrame, key: str, text: str) -> tuple[DataFrame, DataFrame]:
     distinct = stored(banded.groupBy("h1", "h2").agg(F.count("*").alias("n"), F.min("doc_id").alias("first_doc"), *bands), "lines")
     buckets = distinct.select("h1", F.explode(F.array(*[f"b{i}" for i in range(BANDS)])).alias("bucket")).where("bucket is not null")
 
-    pairs, stars = _candidates(buckets)
+    pairs, stars, large = _candidates(buckets)
     pairs = stored(pairs.unionByName(stars.select("a", "b")).distinct(), "pairs")
     ends = stored(pairs.select(F.explode(F.array("a", "b")).alias("h1")).distinct(), "ends")
 
@@ -146,10 +201,22 @@ def _alike(docs: DataFrame, key: str, text: str) -> tuple[DataFrame, DataFrame]:
         if stars.isEmpty():
             break
         rest = stars.join(links.select("a", "b"), ["a", "b"], "left_anti").select("bucket", F.col("b").alias("h1"))
-        more, stars = _candidates(stored(rest, "rest"))
+        more, stars, _ = _candidates(stored(rest, "rest"))
         candidates = stored(more.unionByName(stars.select("a", "b")).distinct(), "pairs")
         links = stored(links.unionByName(confirmed(candidates)), "links")
 
+    if not large.isEmpty():
+        # Large buckets whose lines are still in different components are compared in full.
+        labels = _labelled(near, links)
+        mixed = large.join(labels, "h1").groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high")
+        prefixes = stored(_prefixes(large.join(mixed, "bucket", "left_semi").select("h1").distinct(), near), "prefixes")
+        lists = _lists(prefixes, labels)
+        hubs = lists.where((F.col("n") > SMALL) & (F.col("label") != F.col("hub_label")))
+        more = confirmed(hubs.select(F.least("h1", "hub").alias("a"), F.greatest("h1", "hub").alias("b")).distinct())
+        links = stored(links.unionByName(more), "links")
+        lists = _lists(prefixes, _labelled(near, links))
+        links = stored(links.unionByName(confirmed(_different(lists))), "links")
+
     found = connected_components(links.select("u", "v"))
     return places, near.join(found.withColumnRenamed("node", "id"), "id").select("h1", "h2", "component")
 
