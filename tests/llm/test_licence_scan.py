@@ -1,3 +1,5 @@
+import textwrap
+
 from tickloom.llm.licence_scan import SENTENCES, known_sentences, rules, scan_licences
 
 MIT = "\n".join(SENTENCES[k][0] for k in ("mit-grant", "mit-notice", "as-is"))
@@ -45,3 +47,29 @@ def test_odd_rows(odd, none):
     found = scan_licences(odd).collect()
     assert len(found) == odd.count() and not any(r.licences for r in found)
     assert scan_licences(none).count() == 0
+
+
+BODIES = {
+    "MIT": ["mit-grant", "mit-notice", "as-is"],
+    "BSD-3-Clause": ["bsd-grant", "bsd-source", "bsd-binary", "bsd-names"],
+    "BSD-2-Clause": ["bsd-grant", "bsd-source", "bsd-binary"],
+    "ISC": ["isc-grant"],
+    "Apache-2.0": ["apache2-notice", "apache2-use", "apache2-copy"],
+    "GPL-3.0-or-later": ["gpl-start", "gpl3-free", "gpl-hope"],
+    "GPL-2.0-or-later": ["gpl-start", "gpl-terms", "gpl2-free", "gpl-hope"],
+}
+
+
+def test_wrapped_texts(spark):
+    cases = []
+    for name, needs in BODIES.items():
+        for width in (40, 72, 80):
+            lines = textwrap.wrap(" ".join(SENTENCES[k][0] for k in needs), width)
+            for mark in ("", "# ", " * ", "// ", ";; ", "    "):
+                for end in ("\n", "\r\n"):
+                    cases.append((name, "A title" + end + end.join(mark + line for line in lines) + end + "code()"))
+    cases.append(("MIT", "Licensed under the\nMIT License."))  # the title within is not one besides
+    cases.append(("", "Licensed under the\n\nISC\n\nLicense. All of it"))  # blank lines end sentences
+    rows = spark.createDataFrame([(i, text) for i, (_, text) in enumerate(cases)], "doc_id bigint, text string")
+    for r in scan_licences(rows.unionByName(rows)).collect():
+        assert ",".join(r.licences) == cases[r.doc_id][0], cases[r.doc_id]

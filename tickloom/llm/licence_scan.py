@@ -3,7 +3,9 @@
 A text is cut into sentences at line ends and after ``.``, ``;``, ``:``, ``!`` and ``?`` before a blank.
 A sentence is normalised (lower case, everything but letters, digits, ``+`` and ``.`` within a word as one
 blank) and looked up among the known sentences, which gives an identifier. Variable sentences (copyright
-lines, SPDX tags) are told by pattern. The identifiers of a text in their order form a sequence;
+lines, SPDX tags) are told by pattern. Known sentences that are wrapped over several lines are found
+too: where a line begins one, the following lines are added, without their comment marks, until a blank
+line; what stands within such a sentence is not reported besides. The identifiers of a text in their order form a sequence;
 the ordered rules are tried on it, each a sequence of identifiers with up to ``GAP`` other known
 sentences in between; what a rule has used is not used again, so a licence's text does not also count
 as the notices it contains.
@@ -19,8 +21,9 @@ result. Other columns are not looked at.
 from __future__ import annotations
 
 import json
+import re
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tickloom.llm.tables import text_rows
 
@@ -133,7 +136,11 @@ def rules() -> list[tuple[str, tuple[str, ...]]]:
     return RULES + made
 
 
+BLANK_LINE = "\x01"  # stands before a sentence that follows a blank line
+
+
 def sentences(text: Column) -> Column:
+    text = F.regexp_replace(text, r"(?>\r\n|\r|\n){2,}", f"$0{BLANK_LINE}")
     return F.split(text, r"[\r\n]+|(?<=[.;:!?])[ \t]+")
 
 
@@ -143,21 +150,48 @@ def normalised(sentence: Column) -> Column:
     return F.trim(F.regexp_replace(plain, r"\.(?= |$)|(?<= |^)\.", ""))
 
 
+def _wrapped(parts: str, singles: str) -> Column:
+    """(place, last, words) of what begins in one of the ``singles`` as a known sentence does and goes on in the
+    following ``parts``, once for each of these it might end with."""
+    known = sorted({sentence for _, sentence in known_sentences()})
+    most = 2 * max(len(re.findall(r"\w+", sentence)) for sentence in known)  # a mark may be a part of its own
+    first = "|".join(sorted({re.findall(r"\w+", sentence)[0].lower() for sentence in known}))
+    begins = F.array(*[normalised(F.lit(sentence)) for sentence in known])
+
+    def following(single):
+        def step(state, part):
+            goes_on = state["goes_on"] & ~part["apart"] & ((part["words"] != "") | part["mark"])
+            words = F.when(part["words"] == "", state["words"]).otherwise(F.concat(state["words"], F.lit(" "), part["words"]))
+            one = F.array(F.struct(single["place"].alias("place"), (state["last"] + 1).alias("last"), words.alias("words")))
+            found = F.when(goes_on & (part["words"] != ""), F.concat(state["found"], one)).otherwise(state["found"])
+            return F.struct(words.alias("words"), (state["last"] + 1).alias("last"), goes_on.alias("goes_on"), found.alias("found"))
+
+        none = F.array().cast("array<struct<place:int,last:int,words:string>>")
+        start = F.struct(single["words"].alias("words"), single["place"].alias("last"), F.lit(True).alias("goes_on"), none.alias("found"))
+        return F.aggregate(F.slice(parts, single["place"] + 2, F.lit(most)), start, step, lambda state: state["found"])
+
+    starts = F.filter(singles, lambda s: s["words"].rlike(rf"^(?:{first})(?: |$)") & F.exists(begins, lambda k: k.startswith(F.concat(s["words"], F.lit(" ")))))
+    return F.flatten(F.transform(starts, following))
+
+
 def licence_sentences(rows: DataFrame, text: str = "text") -> DataFrame:
-    """``rows`` without the text, one for each known sentence: ``place`` (number of the sentence),
-    ``sentence`` (its identifier) and ``words`` (normalised)."""
+    """``rows`` without the text, one for each known sentence: ``place`` and ``last`` (numbers of the
+    sentence and, if it is wrapped, of its last line), ``sentence`` (its identifier) and ``words`` (normalised)."""
     spark = rows.sparkSession
     # A table fixed in this file, small enough for every executor.
     known = F.from_json(F.lit(json.dumps([{"name": n, "sentence": s} for n, s in known_sentences()])), "array<struct<name:string,sentence:string>>")
     table = spark.range(1).select(F.explode(known).alias("k")).select(F.col("k.name").alias("known"), normalised(F.col("k.sentence")).alias("words")).distinct()
     other = [c for c in rows.columns if c != text]
-    parts = rows.select(*other, F.posexplode(sentences(F.col(text))).alias("place", "raw"))
-    parts = parts.withColumn("words", normalised(F.col("raw")))
+    part = lambda raw: F.struct(normalised(raw).alias("words"), raw.startswith(BLANK_LINE).alias("apart"), raw.rlike(r"^[ \t]*[;:!]+$").alias("mark"))
+    parts = rows.withColumn("__parts", F.transform(sentences(F.col(text)), part)).drop(text)
+    single = lambda p, i: F.struct(i.alias("place"), i.alias("last"), p["words"].alias("words"))
+    parts = parts.withColumn("__singles", F.filter(F.transform("__parts", single), lambda s: s["words"] != ""))
+    parts = parts.select(*other, F.inline(F.concat("__singles", _wrapped("__parts", "__singles"))))
     found = parts.join(F.broadcast(table), "words", "left")
     pattern = F.lit(None).cast("string")
     for name, expression in PATTERNS.items():
-        pattern = F.when(F.col("words").rlike(expression), F.lit(name)).otherwise(pattern)
-    return found.withColumn("sentence", F.coalesce("known", pattern)).where("sentence is not null").select(*other, "place", "sentence", "words")
+        pattern = F.when((F.col("place") == F.col("last")) & F.col("words").rlike(expression), F.lit(name)).otherwise(pattern)
+    return found.withColumn("sentence", F.coalesce("known", pattern)).where("sentence is not null").select(*other, "place", "last", "sentence", "words")
 
 
 def _rule_pattern(needs: tuple[str, ...]) -> str:
@@ -191,6 +225,10 @@ def scan_licences(docs: DataFrame, key: str = "doc_id", text: str = "text") -> D
     sentences (array of (place, sentence) of all known sentences; null if there are none)."""
     rows = text_rows(docs, key, text)
     found = licence_sentences(rows)
+    # What lies within a wrapped sentence goes; repeated rows of one text are one here.
+    before = Window.partitionBy("doc_id", "text_hash").orderBy("place", F.desc("last"), "sentence").rowsBetween(Window.unboundedPreceding, -1)
+    spans = F.max(F.when(F.col("last") > F.col("place"), F.col("last"))).over(before)
+    found = found.withColumn("within", spans).where("within is null or within < last")
     grouped = found.groupBy("doc_id", "text_hash").agg(F.array_sort(F.collect_set(F.struct("place", "sentence"))).alias("sentences"))
     grouped = grouped.select(F.col("doc_id").alias("id"), F.col("text_hash").alias("hash"), "sentences", matched("sentences").alias("licences"))
     ids = rows.select("doc_id", "text_hash")
