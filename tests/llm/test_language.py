@@ -51,3 +51,13 @@ def test_temperature_of_overconfident_scores():
     logits[:, 1] = rng.normal(0, 2, 4000)
     labels = (rng.random(4000) < 1 / (1 + np.exp(-logits[:, 1]))).astype(int)
     assert abs(temperature(logits * 3, labels) - 3) < 0.3
+
+
+def test_language_of_copies_has_examples(spark):
+    """A few texts with very many copies are all drawn."""
+    rows = [(i, f"die alten Häuser stehen am Fluss {chr(97 + i % 4) * 4}", "de") for i in range(4000)]
+    rows += [(10_000 + i, f"the old houses stand by river {chr(97 + i % 26)}{chr(97 + i // 26)}", "en") for i in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    model = fit_language(docs, sample=40)
+    found = predict_language(docs, model).join(docs.select("doc_id", "lang"), "doc_id")
+    assert found.where("lang <> lang_pred").count() == 0

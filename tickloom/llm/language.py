@@ -9,7 +9,7 @@ a temperature, fitted on examples the weights did not see, calibrates the probab
 
 Fitting uses a sample of at most about ``sample`` documents, equally shared by the languages, of at
 most ``max_languages`` languages (the most common ones). Which documents are taken follows from a
-hash of the text. Only their sparse feature vectors, of at most ``BUCKETS`` numbers each, reach the
+hash of the text, at a rate that follows from the number of different texts of the language. Only their sparse feature vectors, of at most ``BUCKETS`` numbers each, reach the
 driver. Prediction reads every text whole.
 
 Defined results: a text that is null or has no letter gets ``und`` with score 0, as does every
@@ -99,7 +99,11 @@ def _document_frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Reco
 
 
 def _vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    seen = set()  # drawn texts, of which there are about as many as the sample has
     for part, texts in _texts(batches):
+        names = list(zip(part.column("lang").to_pylist(), part.column("text_hash").to_pylist()))
+        new = [i for i, name in enumerate(names) if not (name in seen or seen.add(name))]
+        part, texts = part.take(pa.array(new, pa.int64())), [texts[i] for i in new]
         found = list(_features(texts))
         yield pa.RecordBatch.from_arrays(
             [
@@ -196,7 +200,9 @@ def fit_language(
     """Model learned from text and label of all rows of ``docs`` that have both."""
     ship_package(docs.sparkSession)
     rows = text_rows(docs.where(docs[lang].isNotNull() & docs[text].isNotNull()), key, text, lang=docs[lang].cast("string"))
-    counts = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(max_languages).collect()
+    # Copies of a text are drawn together, so the rate follows from the number of different texts with letters.
+    texts = F.approx_count_distinct(F.when(F.col("text").rlike(r"\p{L}"), F.col("text_hash")), 0.02).alias("texts")
+    counts = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("count"), texts).orderBy(F.desc("count"), "lang").limit(max_languages).collect()
     if not counts:
         return LanguageModel([], np.zeros(BUCKETS), np.zeros((BUCKETS, 0)), 1.0)
 
@@ -215,7 +221,7 @@ def fit_language(
     drawn = F.pmod(F.xxhash64("text_hash", F.lit("sample")), F.lit(1 << 30)) / F.lit(float(1 << 30))
     wanted = F.lit(False)
     for row in counts:
-        wanted |= (F.col("lang") == row["lang"]) & (drawn < share / row["count"])
+        wanted |= (F.col("lang") == row["lang"]) & (drawn < share / max(row["texts"], 1))
     vectors = rows.where(wanted).mapInArrow(_vectors, "lang string, text_hash bigint, buckets binary, counts binary")
     taken = sorted(vectors.distinct().collect(), key=lambda r: (r.text_hash, r.lang))
 
