@@ -12,6 +12,7 @@ from tickloom.llm.licence_scan import scan_licences
 from tickloom.llm.line_dedup import drop_repeated_lines
 from tickloom.llm.near_dedup import near_duplicates
 from tickloom.llm.pieces import encode_pieces, token_numbers
+from tickloom.llm.quality_votes import fit_votes, score_quality
 from tickloom.llm.secret_scan import scan_secrets, span_count, span_text
 from tickloom.llm.sharding import shards
 from tickloom.llm.tables import hex_digest, read
@@ -136,6 +137,23 @@ def op10_chat_format(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+QUALITY_THRESHOLD = 0.3
+
+
+def op13_quality(spark: SparkSession, folder: str) -> DataFrame:
+    """Learns labels from four folds of five, told by the id, and scores all."""
+    docs, labels = read(spark, folder, "documents"), read(spark, folder, "labels")
+    fold = F.crc32(F.col("doc_id").cast("string")) % 5
+    model = fit_votes(docs.select("doc_id", "text"), labels.where(fold != 0).select("doc_id", "quality"))
+    scored = score_quality(docs.select("doc_id", "text"), model)
+    return scored.select(
+        "doc_id",
+        F.coalesce(fold == 0, F.lit(False)).alias("held_out"),
+        "score",
+        (F.col("score") >= QUALITY_THRESHOLD).cast("int").alias("predicted"),
+    )
+
+
 QUERIES = {
     "op1_fingerprints": op1_fingerprints,
     "op2_licences": op2_licences,
@@ -147,4 +165,5 @@ QUERIES = {
     "op8_decontamination": op8_decontamination,
     "op9_shards": op9_shards,
     "op10_chat_format": op10_chat_format,
+    "op13_quality": op13_quality,
 }
