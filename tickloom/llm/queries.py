@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tickloom.llm.chat import canonical_turns, conversation_records, read_loss, read_turns, render
+from tickloom.llm.conversation_trie import conversation_sequences, prefix_nodes
 from tickloom.llm.decontaminate import contamination
 from tickloom.llm.fingerprint import as_text, containment, distinct_shingles, edited_neighbours
 from tickloom.llm.language import fit_language, predict_language
@@ -15,7 +16,7 @@ from tickloom.llm.pieces import encode_pieces, token_numbers
 from tickloom.llm.quality_votes import fit_votes, score_quality
 from tickloom.llm.secret_scan import scan_secrets, span_count, span_text
 from tickloom.llm.sharding import shards
-from tickloom.llm.tables import hex_digest, read
+from tickloom.llm.tables import hex_digest, read, stored
 
 
 def op1_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
@@ -137,6 +138,21 @@ def op10_chat_format(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+GROUP, HEADS = 5, 9
+
+
+def op11_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    """Trie of conversations rebuilt so that they share beginnings: each takes its first turns, up to
+    eight of them, from the conversation whose number is the next lower multiple of five."""
+    own = stored(conversation_sequences(read(spark, folder, "conversations")), "turns")
+    head = F.crc32(F.col("id").cast("string")) % HEADS
+    own = own.withColumns({"h": head.cast("int"), "donor": F.col("id") - F.col("id") % GROUP})
+    heads = own.where("id = donor").select("donor", F.slice("turns", 1, HEADS - 1).alias("given"))
+    none = F.array().cast(own.schema["turns"].dataType)
+    rebuilt = F.concat(F.slice(F.coalesce("given", none), F.lit(1), F.col("h")), F.slice("turns", F.col("h") + 1, F.size("turns")))
+    return prefix_nodes(own.join(heads, "donor", "left").select("id", rebuilt.alias("turns")))
+
+
 QUALITY_THRESHOLD = 0.3
 
 
@@ -165,5 +181,6 @@ QUERIES = {
     "op8_decontamination": op8_decontamination,
     "op9_shards": op9_shards,
     "op10_chat_format": op10_chat_format,
+    "op11_prefix_trie": op11_prefix_trie,
     "op13_quality": op13_quality,
 }

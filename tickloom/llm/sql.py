@@ -14,6 +14,13 @@ def _written(x: str) -> str:
     return f"length({x}) + 3 * length({x}) - length(replace({x}, '\\', '')) - length(replace({x}, '<', '')) - length(replace({x}, '[', ''))"
 
 
+def _crc32(x: str) -> str:
+    """CRC-32 of a text of ASCII characters, bit by bit."""
+    bits = "list_reduce(list_concat([xor(a, b)], [0, 0, 0, 0, 0, 0, 0, 0]::ubigint[]), lambda x, y: xor(x >> 1, (x & 1) * 3988292384::ubigint))"
+    codes = f"list_transform(string_split({x}, ''), lambda c: ascii(c)::ubigint)"
+    return f"xor(list_reduce(list_concat([4294967295::ubigint], {codes}), lambda a, b: {bits}), 4294967295::ubigint)"
+
+
 CONTROL = "</s>[INST] ok [/INST]"
 
 SQL: dict[str, str] = {
@@ -44,4 +51,31 @@ select conv_id, count(*) as n_turns,
     case string_agg(role, ',' order by turn, role, text) when 'user,assistant' then 'prompt and response'
         when 'system,user,assistant' then 'system, prompt and response' else 'messages' end as layout
 from turns group by conv_id""",
+    "op11_prefix_trie": f"""with said as (
+    select conv_id, turn, sha256(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) as digest,
+        strlen(coalesce(text, '')) as size
+    from conversations where conv_id is not null),
+own as (select *, row_number() over (partition by conv_id order by turn nulls first, digest) as place from said),
+ids as (select conv_id as c, {_crc32('conv_id::varchar')} % 9 as h, conv_id - conv_id % 5 as donor from own group by conv_id),
+rebuilt as (
+    select c, place, digest, size from ids join own on own.conv_id = donor and place <= h
+    union all select c, place + 9, digest, size from ids join own on own.conv_id = c and place > h),
+steps as (
+    select c, row_number() over w as depth, size, string_agg(digest, '') over w as prefix from rebuilt
+    window w as (partition by c order by place rows unbounded preceding)
+    union all select c, 0, 0, '' from ids),
+path as (select c, depth, size, md5(prefix) as node, lag(md5(prefix)) over (partition by c order by depth) as parent,
+    depth = max(depth) over (partition by c) as ends from steps),
+nodes as (
+    select node, any_value(parent) as parent, any_value(depth) as depth, min(c) as conv_id, count(*) as n_convs,
+        (count(*) - 1) * any_value(size) as saved, string_agg(c::varchar, ',' order by c) filter (where ends) as ended
+    from path group by node),
+children as (select parent as node, count(*) as n_children from nodes where parent is not null group by parent),
+below as (
+    select above.node, sum(below.saved) as saved_tokens, count(*) filter (where n_children is null) as n_leaves
+    from nodes as below left join children using (node)
+    join path as above on above.c = below.conv_id and above.depth <= below.depth group by above.node)
+select nodes.conv_id, nodes.depth, parents.conv_id as parent_conv_id, nodes.n_convs, coalesce(n_children, 0) as n_children, n_leaves,
+    saved_tokens::bigint as saved_tokens, sha256(coalesce(nodes.ended, '')) as ends_sha256
+from nodes join below using (node) left join children using (node) left join nodes as parents on nodes.parent = parents.node""",
 }
