@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tickloom.llm.chat import canonical_turns, conversation_records, read_loss, read_turns, render
+from tickloom.llm.collocations import collocations
 from tickloom.llm.conversation_trie import conversation_sequences, prefix_nodes
 from tickloom.llm.decontaminate import contamination
 from tickloom.llm.fingerprint import as_text, containment, distinct_shingles, edited_neighbours
@@ -153,6 +154,10 @@ def op11_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
     return prefix_nodes(own.join(heads, "donor", "left").select("id", rebuilt.alias("turns")))
 
 
+def op12_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    return collocations(read(spark, folder, "documents"))
+
+
 QUALITY_THRESHOLD = 0.3
 
 
@@ -182,5 +187,6 @@ QUERIES = {
     "op9_shards": op9_shards,
     "op10_chat_format": op10_chat_format,
     "op11_prefix_trie": op11_prefix_trie,
+    "op12_collocations": op12_collocations,
     "op13_quality": op13_quality,
 }

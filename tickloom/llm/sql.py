@@ -78,4 +78,28 @@ below as (
 select nodes.conv_id, nodes.depth, parents.conv_id as parent_conv_id, nodes.n_convs, coalesce(n_children, 0) as n_children, n_leaves,
     saved_tokens::bigint as saved_tokens, sha256(coalesce(nodes.ended, '')) as ends_sha256
 from nodes join below using (node) left join children using (node) left join nodes as parents on nodes.parent = parents.node""",
+    "op12_collocations": f"""with pieces as (
+    select coalesce(lang, 'und') as lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[.,;:!?\x0A-\x0D]')) as piece
+    from documents),
+worded as (select lang, regexp_extract_all(piece, '[^\x20\x09]+') as w from pieces),
+totals as (select lang, sum(len(w))::bigint as n from worded group by lang),
+counts as (
+    select lang, size, phrase, count(*) as f
+    from (select lang, size, array_to_string(w[i : i + size - 1], ' ') as phrase
+        from worded, unnest([1, 2, 3, 4]) as s(size), unnest(range(1, len(w) - size + 2)) as r(i)) as grams
+    group by lang, size, phrase having count(*) >= 30),
+found as (select lang, size, phrase, f as a, string_split(phrase, ' ') as w from counts where size > 1),
+cuts as (
+    select found.lang, found.phrase, a, k, before.f as l, after.f as r, (2000000::hugeint * a) // (before.f + after.f) as score
+    from found, unnest(range(1, size)) as c(k)
+    join counts as before on before.lang = found.lang and before.phrase = array_to_string(w[1 : k], ' ')
+    join counts as after on after.lang = found.lang and after.phrase = array_to_string(w[k + 1 :], ' ')),
+lowest as (select * from cuts qualify row_number() over (partition by lang, phrase order by score, k) = 1),
+inside as (
+    select lang, array_to_string(w[i : i + n - 1], ' ') as phrase, max(a) as longer
+    from found, unnest(range(2, size)) as m(n), unnest(range(1, size - n + 2)) as r(i) group by all),
+ranked as (
+    select lowest.*, row_number() over (partition by lang order by score desc, a desc, phrase) as rank
+    from lowest left join inside using (lang, phrase) where longer is null or 100::hugeint * longer < 80::hugeint * a)
+select lang, rank, phrase, a, l, r, n, score::bigint as score from ranked join totals using (lang) where rank <= 2000""",
 }
