@@ -42,7 +42,7 @@ LEAST = 30
 TOP = 2000
 TASK_BYTES = 4 << 20  # of text taken at once
 HELD_ROWS = 400_000  # rows summed up in a task before they are passed on
-SORTED_ROWS = 1_000_000  # suffixes a task should sort
+SORTED_ROWS = 250_000  # suffixes a task should sort
 HOT = 200_000  # suffixes of a pair that is routed by all its words
 MOST_HOT = 1 << 16  # such pairs, which are broadcast
 LEAST_BITS, MOST_BITS = 1 << 16, 1 << 27
@@ -116,7 +116,7 @@ def _summed(parts: Iterator[tuple[str, pa.Array, np.ndarray]]) -> Iterator[pa.Re
     """(lang, phrase, n) rows with equal ones added up, as far as a task can hold them."""
 
     def total(tables):
-        table = pa.concat_tables(tables).group_by(["lang", "phrase"]).aggregate([("n", "sum")])
+        table = pa.concat_tables(tables).group_by(["lang", "phrase"], use_threads=False).aggregate([("n", "sum")])
         return table.select(["lang", "phrase", "n_sum"]).rename_columns(["lang", "phrase", "n"]).cast(_COUNTS)
 
     held, rows = [], 0
@@ -248,7 +248,7 @@ def _sorted_counts(least: int):
         words = split.flatten().dictionary_encode()
         codes = words.indices.to_numpy(zero_copy_only=False)
         sizes = np.diff(offsets)
-        rows = np.full((len(sizes), 1 + LONGEST), -1, np.int64)
+        rows = np.full((len(sizes), 1 + LONGEST), -1, np.int32)
         rows[:, 0] = langs.indices.to_numpy(zero_copy_only=False)
         for i in range(LONGEST):
             longer = sizes > i
@@ -361,6 +361,9 @@ def collocations(docs: DataFrame, text: str = "text", lang: str = "lang", least:
     within = within.groupBy("lang", "phrase").agg(F.max("a").alias("longer"))
     kept = lowest.join(within, ["lang", "phrase"], "left").where(F.expr("longer is null or 100 * cast(longer as decimal(20,0)) < 80 * cast(a as decimal(20,0))"))
 
-    order = Window.partitionBy("lang").orderBy(F.desc("cut.score"), F.desc("a"), "phrase")
-    best = kept.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top)
+    # The best of each of 64 shares of a language first, so that no task ranks all of its phrases.
+    order = [F.desc("cut.score"), F.desc("a"), "phrase"]
+    kept = kept.withColumn("share", F.pmod(F.xxhash64("phrase"), F.lit(64)))
+    kept = kept.withColumn("rank", F.row_number().over(Window.partitionBy("lang", "share").orderBy(*order))).where(F.col("rank") <= top)
+    best = kept.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order))).where(F.col("rank") <= top)
     return best.join(totals, "lang").select("lang", F.col("rank").cast("bigint").alias("rank"), "phrase", "a", "cut.l", "cut.r", "n", "cut.score")
