@@ -9,7 +9,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tickloom.models.classifiers import LOGISTIC, TREES, importance
+from tickloom.models.boosting import TREES, boost
+from tickloom.models.classifiers import importance
+from tickloom.models.logistic import LOGISTIC
 from tickloom.models.registry import load_model, predict, prediction_counts, save_model
 from tickloom.models.zscore import fit_zscore
 from tickloom.operators import drift, evaluate, labels, profile, quality
@@ -263,18 +265,34 @@ def scoring_latency(spark, folder):
     return score_table(spark, model_path, data)[2].select("window_seconds", "allowed_seconds", "status")
 
 
+_fitted: dict[tuple, tuple] = {}
+
+
 def fitted(spark, folder, kind, rounds=100):
-    rows = split_rows(spark, folder)
-    return rows, training.fit_all(rows, [kind], rounds)[kind]
+    """Rows and a model fitted to them, once per session."""
+    key = (spark.sparkContext.applicationId, folder, kind, rounds)
+    if key not in _fitted:
+        rows = split_rows(spark, folder)
+        _fitted[key] = rows, training.fit_all(rows, [kind], rounds)[kind]
+    return _fitted[key]
 
 
 def logistic_scores(spark, folder):
     rows, model = fitted(spark, folder, LOGISTIC)
-    return predict(model, rows).select("seq", "split", "label", "predicted_label", "spike_probability")
+    scored = predict(model, rows).select("seq", "split", "label", "predicted_label", "spike_probability")
+    return rounded(scored, 7)
 
 
 def logistic_importance(spark, folder):
-    return importance(fitted(spark, folder, LOGISTIC)[1], LOGISTIC, spark)
+    return rounded(importance(fitted(spark, folder, LOGISTIC)[1], LOGISTIC, spark), 6)
+
+
+def boosted_first_tree(spark, folder):
+    """Every node of the first tree: its split, or its value."""
+    train = split_rows(spark, folder).where("split = 'train'")
+    sizes = {r.label: r["count"] for r in train.groupBy("label").count().collect()}
+    nodes = boost(train, FEATURES, "label", sizes[0] / sizes[1], rounds=1).nodes(spark)
+    return rounded(nodes.select("place", "feature", "cut", "gain", "cover", "value"), 6)
 
 
 def trees_metrics(spark, folder):

@@ -1,16 +1,10 @@
-"""Logistic regression and boosted trees on the feature columns."""
+"""Fitting the classifiers on the feature columns."""
 
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier, LogisticRegression
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, functions as F
 
+from tickloom.models.boosting import TREES, BoostedTrees, boost
+from tickloom.models.logistic import LOGISTIC, LogisticModel, any_missing, newton_fit
 from tickloom.schemas import FEATURES, IMPORTANCE
-from tickloom.session import work_dir
-
-LOGISTIC, TREES = "logistic_regression", "boosted_trees"
-_INNER = ["_vector", "_weight", "rawPrediction", "probability", "prediction"]
 
 
 def check_features(df: DataFrame, features: list[str]) -> None:
@@ -29,69 +23,44 @@ def available_columns(columns: list[str], *tables: DataFrame) -> list[str]:
     return shared
 
 
-def class_counts(df: DataFrame, label: str = "label") -> tuple[int, int]:
-    negatives, positives = df.agg(F.count_if(F.col(label) == 0), F.count_if(F.col(label) == 1)).first()
+def class_counts(df: DataFrame, label: str = "label", complete: list[str] | tuple = ()) -> tuple[int, int]:
+    """Negatives and positives; the ``complete`` columns must have a value in every row."""
+    count = [F.count_if(F.col(label) == 0), F.count_if(F.col(label) == 1), F.count_if(any_missing(list(complete)))]
+    negatives, positives, lacking = df.agg(*count).first()
     if not negatives or not positives:
         raise ValueError(f"both classes are needed: {negatives} negatives, {positives} positives")
+    if lacking:
+        raise ValueError(f"a feature is missing in {lacking} rows")
     return negatives, positives
 
 
-def fit_logistic(df: DataFrame, features: list[str] = FEATURES, label: str = "label", max_iter: int = 1000) -> PipelineModel:
-    """Balanced class weights, L2 penalty of strength 1, unscaled features.
-
-    The penalty is divided by the number of rows because the library averages the loss
-    over rows, while a penalty of strength 1 is meant against their sum.
-    """
+def fit_logistic(df: DataFrame, features: list[str] = FEATURES, label: str = "label", max_iter: int = 1000) -> LogisticModel:
+    """Balanced class weights, L2 penalty of strength 1 against the sum of the losses, unscaled
+    features."""
     check_features(df, features)
-    negatives, positives = class_counts(df, label)
+    negatives, positives = class_counts(df, label, features)
     n = negatives + positives
     weight = F.when(F.col(label) == 1, n / (2.0 * positives)).otherwise(n / (2.0 * negatives))
-    model = LogisticRegression(
-        featuresCol="_vector", labelCol=label, weightCol="_weight", maxIter=max_iter,
-        regParam=1.0 / n, elasticNetParam=0.0, standardization=False,
-    )
-    return _fit(df.withColumn("_weight", weight), features, label, model)
+    return newton_fit(df, features, label, weight, 1.0, max_iter)
 
 
 def fit_trees(
     df: DataFrame, features: list[str] = FEATURES, label: str = "label",
-    depth: int = 5, rounds: int = 100, rate: float = 0.1, seed: int = 42,
-) -> PipelineModel:
+    depth: int = 5, rounds: int = 100, rate: float = 0.1,
+) -> BoostedTrees:
     """Boosted trees; positives weigh as much in total as negatives."""
     check_features(df, features)
     negatives, positives = class_counts(df, label)
-    weight = F.when(F.col(label) == 1, negatives / positives).otherwise(1.0)
-    sc = df.sparkSession.sparkContext
-    if not sc.getCheckpointDir():  # the rounds build on each other; long lineage is cut there
-        sc.setCheckpointDir(work_dir(df.sparkSession))
-    model = GBTClassifier(
-        featuresCol="_vector", labelCol=label, weightCol="_weight", maxDepth=depth,
-        maxIter=rounds, stepSize=rate, seed=seed,
-    )
-    return _fit(df.withColumn("_weight", weight), features, label, model)
+    return boost(df, features, label, negatives / positives, depth, rounds, rate)
 
 
-def _fit(df: DataFrame, features: list[str], label: str, classifier) -> PipelineModel:
-    assembler = VectorAssembler(inputCols=features, outputCol="_vector", handleInvalid="error")
-    rows = df.select(*features, F.col(label).cast("double").alias(label), "_weight")
-    return Pipeline(stages=[assembler, classifier]).fit(rows)
+def score(model: LogisticModel | BoostedTrees, df: DataFrame) -> DataFrame:
+    """All input columns plus ``predicted_label`` and ``spike_probability``, in one pass."""
+    check_features(df, model.features)
+    return model.transform(df)
 
 
-def score(model: PipelineModel, df: DataFrame) -> DataFrame:
-    """All input columns plus ``predicted_label`` and ``spike_probability``, in one pass."""
-    check_features(df, model.stages[0].getInputCols())
-    scored = model.transform(df)
-    return scored.withColumns(
-        {
-            "predicted_label": F.col("prediction").cast("int"),
-            "spike_probability": vector_to_array("probability")[1],
-        }
-    ).drop(*_INNER)
-
-
-def importance(model: PipelineModel, name: str, spark) -> DataFrame:
-    """(model, feature, value): coefficients by size, or split gains, largest first."""
-    features, fitted = model.stages[0].getInputCols(), model.stages[-1]
-    values = fitted.coefficients if hasattr(fitted, "coefficients") else fitted.featureImportances
-    rows = [(name, f, float(v)) for f, v in zip(features, values.toArray())]
+def importance(model: LogisticModel | BoostedTrees, name: str, spark) -> DataFrame:
+    """(model, feature, value): coefficients by size, or shares of the split gains, largest first."""
+    rows = [(name, feature, float(value)) for feature, value in model.importance()]
     return spark.createDataFrame(rows, IMPORTANCE).orderBy(F.abs("value").desc(), "feature")

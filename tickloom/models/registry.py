@@ -1,9 +1,10 @@
 """Saving, loading and applying fitted models of any kind."""
 
-from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tickloom.models.classifiers import LOGISTIC, TREES, check_features, score
+from tickloom.models.boosting import TREES, BoostedTrees
+from tickloom.models.classifiers import check_features, score
+from tickloom.models.logistic import LOGISTIC, LogisticModel
 from tickloom.models.zscore import MODEL_TYPE, ZScoreModel
 from tickloom.schemas import FEATURES
 
@@ -11,16 +12,14 @@ AUTO = "auto"
 
 
 def save_model(model, path: str, spark: SparkSession, model_type: str | None = None) -> None:
-    """Write the model and a one-row table naming its kind."""
+    """Write the model and a one-row table naming its kind and holding its settings."""
     if isinstance(model, ZScoreModel):
         model._fitted
         model.params(spark).coalesce(1).write.mode("overwrite").parquet(f"{path}/params")
         return
     if model_type not in (LOGISTIC, TREES):
         raise ValueError(f"unknown model type {model_type!r}")
-    model.write().overwrite().save(f"{path}/model")
-    kind = spark.createDataFrame([(model_type,)], "model_type string")
-    kind.coalesce(1).write.mode("overwrite").parquet(f"{path}/params")
+    model.save(path, spark)
 
 
 def load_model(path: str, spark: SparkSession, model_type: str = AUTO):
@@ -34,8 +33,10 @@ def load_model(path: str, spark: SparkSession, model_type: str = AUTO):
         raise ValueError(f"{path} holds {kind}, not {model_type}")
     if kind == MODEL_TYPE:
         return ZScoreModel(params["feature"], params["threshold"], params["mean"], params["std"]), kind
-    if kind in (LOGISTIC, TREES):
-        return PipelineModel.load(f"{path}/model"), kind
+    if kind == LOGISTIC:
+        return LogisticModel.load(params), kind
+    if kind == TREES:
+        return BoostedTrees.load(path, params, spark), kind
     raise ValueError(f"unknown model type {kind!r}")
 
 

@@ -87,21 +87,13 @@ def train(
     return result
 
 
-# Names under which settings are logged, and what the fitted models call them.
-_LOGGED = {
-    LOGISTIC: {"max_iter": "maxIter", "reg_param": "regParam", "elastic_net": "elasticNetParam"},
-    TREES: {"max_depth": "maxDepth", "learning_rate": "stepSize", "n_estimators": "maxIter", "random_state": "seed"},
-}
-
-
 def run_params(models: dict, threshold: float) -> dict[str, dict[str, str]]:
     """What each model was fitted with, as text, read from the model itself."""
     common = {"threshold_tau": repr(threshold), "features": ",".join(FEATURES), "n_features": str(len(FEATURES))}
     params = {}
     for name, model in models.items():
-        if name in _LOGGED:
-            stage = model.stages[-1]
-            own = {ours: str(stage.getOrDefault(theirs)) for ours, theirs in _LOGGED[name].items()}
+        if name in (LOGISTIC, TREES):
+            own = model.logged()
         else:
             own = {
                 "threshold": repr(model.threshold), "feature_name": model.feature,

@@ -2,6 +2,8 @@
 
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -45,6 +47,24 @@ def work_dir(spark: SparkSession) -> str:
     return _local_dirs[sc.applicationId]
 
 
+_shipped: set[str] = set()
+
+
+def ship_code(spark: SparkSession) -> None:
+    """Send this package's modules to the executors, once per application, so that functions that
+    run in Python find them wherever the driver was started."""
+    sc = spark.sparkContext
+    if sc.applicationId in _shipped:
+        return
+    root = Path(__file__).parent
+    archive = Path(tempfile.mkdtemp(prefix="tickloom-code-")) / "tickloom-modules.zip"
+    with zipfile.ZipFile(archive, "w") as out:
+        for module in sorted(root.rglob("*.py")):
+            out.write(module, module.relative_to(root.parent))
+    sc.addPyFile(str(archive))
+    _shipped.add(sc.applicationId)
+
+
 def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{work_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
