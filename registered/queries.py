@@ -17,6 +17,7 @@ from tickloom.models.zscore import fit_zscore
 from tickloom.operators import drift, evaluate, labels, profile, quality
 from tickloom.operators.ordering import percentiles
 from tickloom.operators.parse import ingest_counts, parse_ticks
+from tickloom.operators.rollups import bars, sessions, stream_bars, stream_sessions
 from tickloom.operators.trailing import forward_volatility, tick_features
 from tickloom.plans import reports, training
 from tickloom.plans.replay import bounded_features, replay
@@ -25,6 +26,8 @@ from tickloom.schemas import FEATURES
 from tickloom.session import fresh_path, stored
 from tickloom.sources.raw import read_archive, read_metrics, stream_archive
 from tickloom.sources.sinks import append_stream, json_messages, json_stream, tee_stream, write_metrics, write_table
+from tickloom.streaming.horizon import label_stream, stream_horizon
+from tickloom.streaming.revisions import merge_changes, stream_changes
 from tickloom.streaming.trailing import count_messages, parity, stream_features
 
 WINDOW = 3600
@@ -184,6 +187,18 @@ def first_messages(spark, folder):
     return rounded(bounded_features(shaped_envelopes(spark, folder), 500, WINDOW))
 
 
+def tick_bars(spark, folder):
+    return rounded(bars(parse_ticks(envelopes(spark, folder)), WINDOW))
+
+
+def sliding_bars(spark, folder):
+    return rounded(bars(parse_ticks(envelopes(spark, folder)), WINDOW, WINDOW / 4))
+
+
+def tick_sessions(spark, folder):
+    return rounded(sessions(parse_ticks(envelopes(spark, folder)), WINDOW / 2))
+
+
 # --- labels and splits -----------------------------------------------------------------
 
 
@@ -597,6 +612,50 @@ def streamed_in_parts(spark, folder):
     return rounded(spark.read.parquet(sink))
 
 
+END = "~end"  # a pair that only moves the watermark on
+
+
+def _late_arrivals(spark, folder, flow):
+    """What ``flow`` gives of the events when they land by thirds of their time, every seventh of them one
+    part late, and the stream starts again on its state for each part. A last message, far ahead of
+    the others, ends all waiting."""
+    source, sink, marks = (fresh_path(spark, n) for n in ("queue", "late", "progress"))
+    events = table(spark, folder, "events")
+    low, high = events.agg(F.min(event_us()), F.max(event_us())).first()
+    part = F.least(F.floor((event_us() - low) * 3 / (high - low + 1)), F.lit(2)) + F.when(F.col("event_id") % 7 == 0, 1).otherwise(0)
+    numbered = stored(envelopes(spark, folder).join(events.select(F.col("event_id").alias("seq"), part.alias("part")), "seq"), "parts")
+    delay = (high - low) / 1e6
+    end = spark.createDataFrame([(END, high / 1e6 + 2 * delay + 100 * WINDOW, 0, '{"price":1}')], "pair string, ts double, seq long, raw string")
+    for number in range(4):
+        rows = numbered.where(F.col("part") == number).select(*end.columns)
+        json_messages(rows if number < 3 else rows.unionByName(end)).write.mode("append").text(source)
+        append_stream(flow(stream_archive(spark, source), delay), sink, marks, once=True).awaitTermination()
+    return spark.read.parquet(sink).where(F.col("pair") != END)
+
+
+def horizon_streamed(spark, folder):
+    rows = _late_arrivals(spark, folder, lambda lines, delay: stream_horizon(lines, WINDOW, delay))
+    return rounded(rows).select("pair", "ts", "seq", "ticks_ahead", "forward_return_std")
+
+
+def horizon_label_streamed(spark, folder):
+    rows = _late_arrivals(spark, folder, lambda lines, delay: label_stream(stream_horizon(lines, WINDOW, delay), THRESHOLD))
+    return rows.select("pair", "seq", "label")
+
+
+def revised_features(spark, folder):
+    """Rows sent too early and revised since, merged by key."""
+    return rounded(merge_changes(_late_arrivals(spark, folder, lambda lines, delay: stream_changes(lines, WINDOW, delay))))
+
+
+def bars_streamed(spark, folder):
+    return rounded(_late_arrivals(spark, folder, lambda lines, delay: stream_bars(parse_ticks(lines), WINDOW, WINDOW / 4, delay)))
+
+
+def sessions_streamed(spark, folder):
+    return rounded(_late_arrivals(spark, folder, lambda lines, delay: stream_sessions(parse_ticks(lines), WINDOW / 2, delay)))
+
+
 def streamed_features(spark, folder):
     return rounded(_streamed(spark, folder))
 

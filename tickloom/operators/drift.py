@@ -9,6 +9,7 @@ from pyspark.sql.types import DoubleType
 from tickloom.functions.statistics import EXACT_ROWS, ks_p_value
 from tickloom.operators.ordering import number_or_null, running_totals, unpivot
 from tickloom.operators.profile import bin_index
+from tickloom.session import ship_code
 
 REFERENCE, CURRENT = "reference", "current"
 # Test names, their thresholds and when each test applies.
@@ -87,6 +88,7 @@ def drift_by_column(
     A column without finite values on one side has no score: its test is ``NO_VALUES`` and it
     has drifted if only one side lacks them.
     """
+    ship_code(reference.sparkSession)
     sides = both_sides(reference, current, columns)
     found = distances(sides, columns, small_group)
     finite = finite_long(sides, columns).where(F.col("side") == REFERENCE)

@@ -1,10 +1,12 @@
 """Session settings and the shared work folder for intermediate tables."""
 
+import sys
 import tempfile
 import uuid
 import zipfile
 from pathlib import Path
 
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -65,6 +67,13 @@ def ship_code(spark: SparkSession) -> None:
     _shipped.add(sc.applicationId)
 
 
+def send_by_value(*modules: str) -> None:
+    """Let classes and functions of ``modules`` travel whole: the process that asks a stateful
+    operator for its state runs beside the driver and gets no files."""
+    for name in modules:
+        cloudpickle.register_pickle_by_value(sys.modules[name])
+
+
 def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{work_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 

@@ -17,7 +17,7 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from tickloom.operators.parse import parse_ticks
 from tickloom.operators.trailing import BLOCKS_PER_SLICE, floor_div
 from tickloom.schemas import DEFAULT_WINDOW_SECONDS, FEATURE_ROW
-from tickloom.session import ROCKSDB
+from tickloom.session import ROCKSDB, send_by_value, ship_code
 
 STATE = "ts_us long, seq long, midprice double, spread double"
 _STATE_COLUMNS = ["ts_us", "seq", "midprice", "spread"]
@@ -92,6 +92,32 @@ def window_arrays(us: np.ndarray, mid: np.ndarray, spread: np.ndarray, rows: np.
     return {"start": start, "size": size, "mean": mean, "std": std, "spread": average[1]}
 
 
+def feature_rows(pair, ticks, us, mid, found, ok, at) -> pd.DataFrame:
+    """Rows of the feature table for ``ticks``, which are at the places ``at``."""
+    seconds = (us[at] - us[found["start"][ok]]) / 1e6
+    size, spread = found["size"][ok], found["spread"][ok]
+    with np.errstate(divide="ignore", invalid="ignore"):
+        intensity = np.where(seconds > 0, size / seconds, 0.0)
+        imbalance = np.where(mid > 0, spread / mid, 0.0)
+    nullable = lambda a: pd.Series(np.where(np.isnan(a), None, a), dtype=object)
+    return pd.DataFrame(
+        {
+            "pair": pair,
+            "ts": ticks["ts"].to_numpy(),
+            "ts_us": us[at],
+            "seq": ticks["seq"].to_numpy("int64"),
+            "midprice_return_mean": nullable(found["mean"][ok]),
+            "midprice_return_std": nullable(found["std"][ok]),
+            "bid_ask_spread": spread,
+            "trade_intensity": intensity,
+            "order_book_imbalance": imbalance,
+            "window_size": size.astype("int64"),
+            "window_duration": seconds,
+            "raw_price": ticks["price"].to_numpy(),
+        }
+    )
+
+
 class TrailingWindow(StatefulProcessor):
     """Keeps, per key, the ticks that a tick not yet too late may still need.
 
@@ -140,7 +166,7 @@ class TrailingWindow(StatefulProcessor):
             ok = found["size"] >= 2
             at = rows_out[ok]
             if len(at):
-                yield self._output(pair, ticks.iloc[at], us, mid[at], found, ok, at)
+                yield feature_rows(pair, ticks.iloc[at], us, mid[at], found, ok, at)
 
     def _keep(self, held: list, new: pd.DataFrame, cut: int) -> None:
         """Add the new ticks; rewrite the state only when half of it has become useless."""
@@ -156,30 +182,6 @@ class TrailingWindow(StatefulProcessor):
         elif len(new):
             self.ticks.appendList(as_rows(new))
 
-    def _output(self, pair, ticks, us, mid, found, ok, at) -> pd.DataFrame:
-        seconds = (us[at] - us[found["start"][ok]]) / 1e6
-        size, spread = found["size"][ok], found["spread"][ok]
-        with np.errstate(divide="ignore", invalid="ignore"):
-            intensity = np.where(seconds > 0, size / seconds, 0.0)
-            imbalance = np.where(mid > 0, spread / mid, 0.0)
-        nullable = lambda a: pd.Series(np.where(np.isnan(a), None, a), dtype=object)
-        return pd.DataFrame(
-            {
-                "pair": pair,
-                "ts": ticks["ts"].to_numpy(),
-                "ts_us": us[at],
-                "seq": ticks["seq"].to_numpy("int64"),
-                "midprice_return_mean": nullable(found["mean"][ok]),
-                "midprice_return_std": nullable(found["std"][ok]),
-                "bid_ask_spread": spread,
-                "trade_intensity": intensity,
-                "order_book_imbalance": imbalance,
-                "window_size": size.astype("int64"),
-                "window_duration": seconds,
-                "raw_price": ticks["price"].to_numpy(),
-            }
-        )
-
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         self.ticks.clear()
         self.cut.clear()
@@ -201,6 +203,8 @@ def stream_features(
     """
     spark = envelopes.sparkSession
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+    ship_code(spark)
+    send_by_value(__name__)
     window_us = int(round(window_seconds * 1_000_000))
     block = floor_div("ts_us", window_us)
     here, after = floor_div("_block", BLOCKS_PER_SLICE), floor_div("_block + 1", BLOCKS_PER_SLICE)
