@@ -24,8 +24,10 @@ from tickloom.plans.replay import bounded_features, replay
 from tickloom.plans.scoring import score_table
 from tickloom.schemas import FEATURES
 from tickloom.session import fresh_path, stored
+from tickloom.sources.delivery import deliver_stream, numbered_messages, renamed_table, without_redelivered
 from tickloom.sources.raw import read_archive, read_metrics, stream_archive
 from tickloom.sources.sinks import append_stream, json_messages, json_stream, tee_stream, write_metrics, write_table
+from tickloom.streaming.bounded import first_stream_features
 from tickloom.streaming.horizon import label_stream, stream_horizon
 from tickloom.streaming.revisions import merge_changes, stream_changes
 from tickloom.streaming.trailing import count_messages, parity, stream_features
@@ -677,6 +679,48 @@ def teed_messages(spark, folder):
     return copy(queue, "queue").unionByName(copy(archive, "archive"))
 
 
+def delivered_once(spark, folder):
+    """Messages of which every tenth comes twice, delivered to two targets by a query whose second target
+    fails once, and that is then started again."""
+    source, first, second, ledger, marks = (fresh_path(spark, n) for n in ("in", "first", "second", "ledger", "progress"))
+    rows = envelopes(spark, folder)
+    json_messages(rows).write.text(source)
+    json_messages(rows.where("seq % 10 = 0")).write.mode("append").text(source)
+    failures = [True]
+
+    def failing(batch, batch_id):
+        if failures:
+            failures.clear()
+            raise OSError("the target is away")
+        renamed_table(second)(batch, batch_id)
+
+    for _ in range(2):
+        messages = without_redelivered(stream_archive(spark, source, 1), 10**7).select("ts", "pair", "raw", "seq")
+        query = deliver_stream(messages, {"first": renamed_table(first), "second": failing}, ledger, marks, True, numbered_messages)
+        try:
+            query.awaitTermination()
+        except Exception:  # the query's own error, after which it is started again
+            if failures:
+                raise
+    copy = lambda path, name: read_archive(spark, path).select(F.lit(name).alias("copy"), "pair", "ts", "seq", "raw")
+    for path in (first, second):
+        spark.read.parquet(path).select("value").write.text(f"{path}-lines")
+    return copy(f"{first}-lines", "first").unionByName(copy(f"{second}-lines", "second"))
+
+
+def first_messages_streamed(spark, folder):
+    """A stream, one file a batch, that is stopped after 500 messages and cut at the row that ends it."""
+    source, sink, marks = (fresh_path(spark, n) for n in ("queue", "first", "progress"))
+    rows = stored(shaped_envelopes(spark, folder), "shaped")
+    low, high = rows.agg(F.min("ts"), F.max("ts")).first()
+    for part in range(8):
+        begin, end = (low + (high - low) * n / 8 for n in (part, part + 1))
+        inside = (F.col("ts") >= begin) & ((F.col("ts") < end) | F.lit(part == 7))
+        json_messages(rows.where(inside)).coalesce(1).write.mode("append").text(source)
+    found = first_stream_features(stream_archive(spark, source, 1), read_archive(spark, source), 500, sink, marks, WINDOW, 0.0)
+    return rounded(found)
+
+
 def message_sink(spark, folder):
     """Features sent as JSON messages by a stream, parsed again."""
     source, sink, marks = (fresh_path(spark, n) for n in ("in", "messages", "progress"))

@@ -10,8 +10,9 @@ from tickloom.operators.labels import TRAINING_THRESHOLD
 from tickloom.plans import reports, scoring, training
 from tickloom.plans.replay import replay
 from tickloom.session import fresh_path, get_spark
-from tickloom.sources.raw import stream_archive, stream_kafka
-from tickloom.sources.sinks import save_stream, to_folder, to_table, to_topic
+from tickloom.sources.raw import read_archive, stream_archive, stream_kafka
+from tickloom.sources.sinks import save_stream, to_folder, to_table, to_topic, write_table
+from tickloom.streaming.bounded import first_stream_features
 from tickloom.streaming.trailing import check_messages, stream_features
 
 
@@ -28,6 +29,8 @@ def run_replay(spark, args):
 
 
 def run_featurize(spark, args):
+    if args.max_messages:
+        return run_first(spark, args)
     features = stream_features(_source(spark, args), args.window_seconds, args.delay_seconds)
     messages = None
     if args.servers and args.output_topic:
@@ -37,6 +40,18 @@ def run_featurize(spark, args):
     save_stream(features, to_table(args.output), messages, args.checkpoint, args.once).awaitTermination()
 
 
+def run_first(spark, args):
+    """Features of a run that ends after a number of messages, from files."""
+    if args.servers:
+        raise SystemExit("--max-messages reads files: give --input")
+    arrivals = read_archive(spark, args.input)
+    rows = first_stream_features(
+        _source(spark, args), arrivals, args.max_messages, fresh_path(spark, "streamed"), args.checkpoint, args.window_seconds,
+        args.delay_seconds, args.once,
+    )
+    write_table(rows, args.output)
+
+
 def run_train(spark, args):
     result = training.train(spark, spark.read.parquet(args.features), args.output, args.threshold)
     compare_models(result.metrics).show(truncate=False)
@@ -94,7 +109,7 @@ def parser() -> argparse.ArgumentParser:
     command("replay", run_replay, input=..., output=..., window_seconds=60)
     command(
         "featurize", run_featurize, **source, output=..., checkpoint=..., output_topic=None, messages=None,
-        window_seconds=60, delay_seconds=10.0, once=False,
+        window_seconds=60, delay_seconds=10.0, once=False, max_messages=0,
     )
     command("train", run_train, features=..., output=..., threshold=TRAINING_THRESHOLD)
     command("infer", run_infer, model_path=..., data_path=..., output_path=None, model_type="auto")

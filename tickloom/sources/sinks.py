@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 
-def _settings(writer, once: bool, every: str | None):
+def settings(writer, once: bool, every: str | None):
     if once:
         return writer.trigger(availableNow=True)
     return writer.trigger(processingTime=every) if every else writer
@@ -26,7 +26,7 @@ def append_stream(
     """Append each micro-batch as new Parquet files. The checkpoint and the sink's own log
     make a repeated batch invisible to readers."""
     writer = df.writeStream.format("parquet").outputMode("append").option("checkpointLocation", checkpoint)
-    return _settings(writer, once, every).start(path)
+    return settings(writer, once, every).start(path)
 
 
 def json_messages(df: DataFrame) -> DataFrame:
@@ -45,13 +45,13 @@ def kafka_stream(df: DataFrame, servers: str, topic: str, checkpoint: str, once:
         .option("topic", topic)
         .option("checkpointLocation", checkpoint)
     )
-    return _settings(writer, once, None).start()
+    return settings(writer, once, None).start()
 
 
 def json_stream(df: DataFrame, path: str, checkpoint: str, once: bool = False) -> StreamingQuery:
     """The same messages as lines of text files."""
     writer = json_messages(df).writeStream.format("text").option("checkpointLocation", checkpoint)
-    return _settings(writer, once, None).start(path)
+    return settings(writer, once, None).start(path)
 
 
 BatchWriter = Callable[[DataFrame, int], None]
@@ -94,7 +94,7 @@ def save_stream(
                 held.unpersist()
 
     writer = df.writeStream.foreachBatch(write_both).option("checkpointLocation", checkpoint)
-    return _settings(writer, once, None).start()
+    return settings(writer, once, None).start()
 
 
 def tee_stream(
@@ -114,7 +114,7 @@ def tee_stream(
 
     kept = envelopes.select("ts", "pair", "raw", "seq")
     writer = kept.writeStream.foreachBatch(write_both).option("checkpointLocation", checkpoint)
-    return _settings(writer, once, None).start()
+    return settings(writer, once, None).start()
 
 
 def write_metrics(metrics: DataFrame, folder: str) -> None:
