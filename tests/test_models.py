@@ -59,6 +59,15 @@ def test_areas_with_tied_scores(spark, small_group):
     assert (got.pr_auc, got.roc_auc, got.pr_curve_area) == pytest.approx(brute_areas(y, s), rel=1e-12)
 
 
+def test_areas_of_very_many_rows(spark):
+    """Counts whose products pass 64 bits."""
+    n = 4_000_000_000_000
+    row = (n, n, n, n, n, n, 1.0, 1.0, 0)
+    names = ["pos", "neg", "true_positives", "false_positives", "total_pos", "total_neg", "precision", "precision_before", "true_positives_before"]
+    got = evaluate.curve_areas(spark.createDataFrame([row], names)).first()
+    assert (got.pr_auc, got.roc_auc) == (1.0, 0.5)
+
+
 def test_single_class(spark):
     rows = [("m", "s", 0, 0, 0.1), ("m", "s", 0, 0, 0.2), ("m", "t", 1, 1, 0.2), ("m", "u", 0, 1, 0.2)]
     df = spark.createDataFrame(rows, "model string, split string, label int, predicted_label int, spike_probability double")

@@ -3,7 +3,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from tickloom.operators import labels
+from tickloom.operators import labels, ordering
 from tickloom.operators.ordering import percentiles, running_totals, value_at_ranks, with_next
 
 
@@ -32,6 +32,23 @@ def test_running_totals(skewed, small_group, buckets):
         assert mine.next_value.tolist()[:-1] == part.v.tolist()[1:] and np.isnan(mine.next_value.iloc[-1])
 
 
+@pytest.mark.parametrize("keys", [[], ["g"]])
+def test_running_totals_cut_ranges_again(skewed, keys, monkeypatch):
+    """Few cuts at a time, so that ranges are cut three times over; what is collected stays small."""
+    pdf, df = skewed
+    monkeypatch.setattr(ordering, "MOST_CUTS", 4)
+    collected = []
+    count = ordering.bucket_count
+    monkeypatch.setattr(ordering, "bucket_count", lambda *a: collected.append(count(*a)) or collected[-1])
+    got = running_totals(df, "v", {"n": F.lit(1)}, keys, small_group=0, bucket_rows=150).toPandas().sort_values([*keys, "v"])
+    counts = pdf.dropna().assign(n=1).groupby([*keys, "v"]).n.sum()
+    want = counts.groupby(level=0).cumsum() if keys else counts.cumsum()
+    assert got.cum_n.tolist() == want.tolist() and len(collected) >= 3 and max(collected) == 4
+    assert set(got.total_n) == (set(counts.groupby(level=0).sum()) if keys else {counts.sum()})
+    inside = got.next_value.notna()
+    assert (got.next_value[inside] == got.v.shift(-1)[inside]).all() and (~inside).sum() == (2 if keys else 1)
+
+
 def test_running_totals_without_groups(skewed):
     pdf, df = skewed
     got = running_totals(df, "v", {"n": F.lit(1)}, small_group=0, buckets=8).toPandas().sort_values("v")

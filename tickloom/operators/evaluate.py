@@ -97,11 +97,11 @@ def curve_areas(curve: DataFrame, keys: list[str] | tuple = ()) -> DataFrame:
     Average precision is the step sum over distinct scores. Both AUCs are 0.0 where they
     are undefined for lack of a class.
     """
-    pos, neg = F.col("total_pos"), F.col("total_neg")
+    # Products of two counts pass 64 bits on a few billion rows.
+    pos, neg = F.col("total_pos"), F.col("total_neg").cast("double")
     step = ratio(F.col("pos"), pos)
-    roc = ratio(
-        F.col("neg") * (F.col("true_positives") + F.col("true_positives_before")) / 2.0, pos * neg
-    )
+    met = F.col("true_positives") + F.col("true_positives_before")
+    roc = ratio(F.col("neg").cast("double") * met / 2.0, pos * neg)
     return curve.groupBy(*keys).agg(
         F.sum(step * F.col("precision")).alias("pr_auc"),
         F.sum(roc).alias("roc_auc"),

@@ -13,16 +13,20 @@ from math import ceil, floor
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
+from tickloom.session import stored
+
 # Below this many rows per group one task handles the group and no cut points are needed.
 SMALL_GROUP = 1_000_000
 # Rows a bucket should hold; the number of buckets follows from it.
 BUCKET_ROWS = 2_000_000
+# Cut points of one group at a time, whatever its size.
+MOST_CUTS = 1024
 
 
-def bucket_count(df: DataFrame, rows: int = 0) -> int:
-    """Enough buckets for all tasks, and for no bucket to hold much over ``BUCKET_ROWS``."""
+def bucket_count(df: DataFrame, rows: int = 0, bucket_rows: int = BUCKET_ROWS) -> int:
+    """Enough buckets for all tasks, and for no bucket to hold much over ``bucket_rows``."""
     partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return max(2, partitions, ceil(rows / BUCKET_ROWS))
+    return min(MOST_CUTS, max(2, partitions, ceil(rows / bucket_rows)))
 
 
 def cut_points(value: str, buckets: int) -> Column:
@@ -52,82 +56,88 @@ def running_totals(
     keys: list[str] | tuple = (),
     small_group: int | None = None,
     buckets: int | None = None,
+    bucket_rows: int | None = None,
 ) -> DataFrame:
     """One row per (keys, value), ascending in value, with each sum and its running total.
 
     ``sums`` maps names to row-level columns. Adds ``cum_<name>`` (own row included),
     ``total_<name>`` (over the group) and ``next_value``. NULL values are left out.
+
+    A group of more than ``small_group`` rows is cut into at most ``MOST_CUTS`` ranges of values, and a
+    range that still has more than ``bucket_rows`` different values is cut again, so what is known
+    about a group's order at any time has a fixed size.
     """
-    keys, names = list(keys), list(sums)
+    names = list(sums)
     small_group = SMALL_GROUP if small_group is None else small_group
-    rows = df.where(F.col(value).isNotNull()).select(
-        *keys, value, *[c.alias(n) for n, c in sums.items()]
-    )
-    added = [F.sum(n).alias(n) for n in names]
-    sizes = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    largest = sizes.agg(F.max("_n").alias("n")).first()["n"] or 0
+    rows = df.where(F.col(value).isNotNull()).select(*keys, value, *[c.alias(n) for n, c in sums.items()])
+    whole = [] if keys else ["_all"]  # without keys all rows are one group
+    if whole:
+        rows = rows.withColumn("_all", F.lit(0))
+    groups = [*keys, *whole]
+    largest = rows.groupBy(*groups).agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n").alias("n")).first()["n"] or 0
+    per_value = rows.groupBy(*groups, value).agg(*[F.sum(n).alias(n) for n in names])
     if largest <= small_group:
-        per_value = rows.groupBy(*keys, value).agg(*added)
-        order = W.partitionBy(*keys).orderBy(value)
-        run = order.rowsBetween(W.unboundedPreceding, W.currentRow)
-        whole = W.partitionBy(*keys)
-        return per_value.select(
-            *keys,
-            value,
-            *names,
-            *[F.sum(n).over(run).alias(f"cum_{n}") for n in names],
-            *[F.sum(n).over(whole).alias(f"total_{n}") for n in names],
-            F.lead(value).over(order).alias("next_value"),
-        )
-
-    # Only groups too large for one task are cut; the others are one bucket each.
-    buckets = buckets or bucket_count(df, largest)
-    if keys:
-        large = sizes.where(F.col("_n") > small_group).select(*[F.col(k).alias(f"_l_{k}") for k in keys])
-        of_large = [rows[k].eqNullSafe(large[f"_l_{k}"]) for k in keys]
-        marks = rows.join(large, on=of_large, how="left_semi").groupBy(*keys).agg(cut_points(value, buckets).alias("_marks"))
-        marks = marks.select(*[F.col(k).alias(f"_m_{k}") for k in keys], "_marks")
-        marked = rows.join(marks, on=[rows[k].eqNullSafe(marks[f"_m_{k}"]) for k in keys], how="left").drop(*marks.columns[:-1])
+        found = _in_order(per_value, value, names, groups)
     else:
-        held = rows.agg(cut_points(value, buckets).alias("_marks")).first()["_marks"]
-        marked = rows.withColumn("_marks", F.array(*[F.lit(m) for m in held]))
-    bucket = F.coalesce(bucket_of(F.col("_marks"), F.col(value), buckets), F.lit(0))
-    marked = marked.withColumn("_bucket", bucket).drop("_marks")
+        found = _by_ranges(stored(per_value, "values"), value, names, groups, small_group, buckets, bucket_rows or BUCKET_ROWS)
+    return found.drop(*whole)
 
-    by_bucket = marked.groupBy(*keys, "_bucket").agg(*added, F.min(value).alias("_low"))
-    over_keys = W.partitionBy(*keys).orderBy("_bucket")
-    offsets = by_bucket.select(
-        *[F.col(k).alias(f"_k_{k}") for k in keys],
-        F.col("_bucket").alias("_k_bucket"),
-        *[
-            F.coalesce(
-                F.sum(n).over(over_keys.rowsBetween(W.unboundedPreceding, -1)), F.lit(0)
-            ).alias(f"_before_{n}")
-            for n in names
-        ],
-        *[F.sum(n).over(W.partitionBy(*keys)).alias(f"total_{n}") for n in names],
-        F.lead("_low").over(over_keys).alias("_next_low"),
-    )
-    per_value = marked.groupBy(*keys, "_bucket", value).agg(*added)
-    order = W.partitionBy(*keys, "_bucket").orderBy(value)
+
+def _in_order(per_value: DataFrame, value: str, names: list[str], keys: list[str]) -> DataFrame:
+    """Running totals of groups that one task each can take."""
+    order = W.partitionBy(*keys).orderBy(value)
     run = order.rowsBetween(W.unboundedPreceding, W.currentRow)
-    local = per_value.select(
+    return per_value.select(
         *keys,
-        "_bucket",
         value,
         *names,
-        *[F.sum(n).over(run).alias(f"_run_{n}") for n in names],
-        F.lead(value).over(order).alias("_next"),
+        *[F.sum(n).over(run).alias(f"cum_{n}") for n in names],
+        *[F.sum(n).over(W.partitionBy(*keys)).alias(f"total_{n}") for n in names],
+        F.lead(value).over(order).alias("next_value"),
+    )
+
+
+def _by_ranges(
+    per_value: DataFrame, value: str, names: list[str], keys: list[str], limit: int, cuts: int | None, bucket_rows: int
+) -> DataFrame:
+    """Running totals of stored values: inside ranges of them, plus what lies in the ranges before."""
+    sizes = per_value.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    largest = sizes.agg(F.max("_n").alias("n")).first()["n"] or 0
+    if largest <= limit:
+        return _in_order(per_value, value, names, keys)
+
+    def beside(left: DataFrame, right: DataFrame, on: list[str], how: str) -> DataFrame:
+        """``left`` with the other columns of ``right``, where the keys agree, null being a key like any other."""
+        renamed = right.select(*[F.col(k).alias(f"_r_{k}") for k in on], *[c for c in right.columns if c not in on])
+        joined = left.join(renamed, on=[left[k].eqNullSafe(renamed[f"_r_{k}"]) for k in on], how=how)
+        return joined if how == "left_semi" else joined.drop(*[f"_r_{k}" for k in on])
+
+    cuts = min(MOST_CUTS, cuts or bucket_count(per_value, largest, bucket_rows))
+    bucket = f"_bucket{len(keys)}"
+    large = beside(per_value, sizes.where(F.col("_n") > limit).drop("_n"), keys, "left_semi")
+    marks = large.groupBy(*keys).agg(cut_points(value, cuts).alias("_marks"))
+    placed = beside(per_value, marks, keys, "left")
+    # Groups that are small enough have no marks and are one range.
+    placed = placed.withColumn(bucket, F.coalesce(bucket_of(F.col("_marks"), F.col(value), cuts), F.lit(0))).drop("_marks")
+    placed = stored(placed, "ranges")
+
+    over = W.partitionBy(*keys).orderBy(bucket)
+    by_bucket = placed.groupBy(*keys, bucket).agg(*[F.sum(n).alias(n) for n in names], F.min(value).alias("_low"))
+    offsets = by_bucket.select(
+        *keys,
+        bucket,
+        *[F.coalesce(F.sum(n).over(over.rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias(f"_before_{n}") for n in names],
+        *[F.sum(n).over(W.partitionBy(*keys)).alias(f"_total_{n}") for n in names],
+        F.lead("_low").over(over).alias("_next_low"),
     )
-    match = [local[k].eqNullSafe(offsets[f"_k_{k}"]) for k in keys]
-    match.append(local["_bucket"] == offsets["_k_bucket"])
-    return local.join(offsets, on=match).select(
+    local = _by_ranges(placed, value, names, [*keys, bucket], max(limit, bucket_rows), None, bucket_rows)
+    return beside(local, offsets, [*keys, bucket], "inner").select(
         *keys,
         value,
         *names,
-        *[(F.col(f"_before_{n}") + F.col(f"_run_{n}")).alias(f"cum_{n}") for n in names],
-        *[f"total_{n}" for n in names],
-        F.coalesce("_next", "_next_low").alias("next_value"),
+        *[(F.col(f"_before_{n}") + F.col(f"cum_{n}")).alias(f"cum_{n}") for n in names],
+        *[F.col(f"_total_{n}").alias(f"total_{n}") for n in names],
+        F.coalesce("next_value", "_next_low").alias("next_value"),
     )
 
 

@@ -26,14 +26,19 @@ def is_missing(df: DataFrame, column: str) -> Column:
 
 
 def value_counts(sides: DataFrame, columns: list[str]) -> DataFrame:
-    """(side, column_name, value as text, n) of the values present."""
+    """(side, column_name, value as text, n) of the values present.
+
+    Each column is read and counted by itself, in its own type; only different values are turned
+    into text. Pass a stored table."""
     numbers = set(numeric_columns(sides))
-    text = lambda c: (F.col(c) + F.lit(0)).cast("string") if c in numbers else F.col(c).cast("string")
-    rows = sides.select(
-        "side", *[F.when(~is_missing(sides, c), text(c)).alias(c) for c in columns]
-    )
-    long = unpivot(rows, columns, "value", ["side"]).where("value is not null")
-    return long.groupBy("side", "column_name", "value").agg(F.count(F.lit(1)).alias("n"))
+    counts = None
+    for c in columns:
+        present = sides.where(~is_missing(sides, c)).select("side", F.col(c).alias("_v"))
+        per_value = present.groupBy("side", "_v").agg(F.count(F.lit(1)).alias("n"))
+        text = (F.col("_v") + F.lit(0) if c in numbers else F.col("_v")).cast("string")
+        part = per_value.select("side", F.lit(c).alias("column_name"), text.alias("value"), "n")
+        counts = part if counts is None else counts.unionByName(part)
+    return counts
 
 
 def uniques(sides: DataFrame) -> DataFrame:
