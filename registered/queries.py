@@ -18,6 +18,7 @@ from tickloom.operators import drift, evaluate, labels, profile, quality
 from tickloom.operators.ordering import percentiles
 from tickloom.operators.parse import ingest_counts, parse_ticks
 from tickloom.operators.rollups import bars, sessions, stream_bars, stream_sessions
+from tickloom.operators.sketches import merge_range, range_drift, range_percentiles, sketch_rows
 from tickloom.operators.trailing import forward_volatility, tick_features
 from tickloom.plans import reports, training
 from tickloom.plans.replay import bounded_features, replay
@@ -565,6 +566,28 @@ def gaps_in(spark, folder):
     return drift.both_sides(rows.where("l_linestatus = 'O'"), rows.where("l_linestatus = 'F'"), names)
 
 
+WHOLE_K = 1 << 15  # sketches of this size hold every value of the test table
+
+
+def _daily_sketches(spark, folder):
+    table = stored(sketch_rows(features(spark, folder), FEATURES, 86_400, k=WHOLE_K), "sketches")
+    low, high = table.agg(F.min("bucket_us"), F.max("bucket_us")).first()
+    return table, low + (high - low) // 2
+
+
+def sketched_percentiles(spark, folder):
+    """Of the later half of the days."""
+    table, middle = _daily_sketches(spark, folder)
+    return rounded(range_percentiles(merge_range(table, middle, None, WHOLE_K), [0.5, 0.95, 0.99]))
+
+
+def sketched_drift(spark, folder):
+    """Between the earlier and the later half of the days."""
+    table, middle = _daily_sketches(spark, folder)
+    found = range_drift(merge_range(table, None, middle, WHOLE_K), merge_range(table, middle, None, WHOLE_K), 100, WHOLE_K)
+    return rounded(found.drop("error"), 7)
+
+
 def missing_by_kind(spark, folder):
     return quality.missing_kinds(gaps_in(spark, folder))
 
