@@ -31,6 +31,7 @@ from tickloom.sources.sinks import append_stream, json_messages, json_stream, te
 from tickloom.streaming.bounded import first_stream_features
 from tickloom.streaming.horizon import label_stream, stream_horizon
 from tickloom.streaming.revisions import merge_changes, stream_changes
+from tickloom.streaming.triggers import current_triggers, reference_figures, watch_stream
 from tickloom.streaming.trailing import count_messages, parity, stream_features
 
 WINDOW = 3600
@@ -400,6 +401,20 @@ def retraining(spark, folder):
     return rounded(evaluate.retrain_triggers(metrics, spikes, moved, "volatility"))
 
 
+def retraining_live(spark, folder):
+    """The same rules while the test rows stream in, four files, one a batch; scores in 1,000 ranges."""
+    source, sums, marks = (fresh_path(spark, n) for n in ("scored", "sums", "progress"))
+    rows = split_rows(spark, folder)
+    train, test = rows.where("split = 'train'"), rows.where("split = 'test'")
+    model = fit_zscore(train)
+    for part in range(4):
+        predict(model, test.where(F.pmod("seq", F.lit(4)) == part)).coalesce(1).write.mode("append").parquet(source)
+    reference = stored(reference_figures(train, FEATURES, WHOLE_K), "reference")
+    scored = spark.readStream.schema(spark.read.parquet(source).schema).option("maxFilesPerTrigger", 1).parquet(source)
+    watch_stream(scored, reference, FEATURES, sums, marks, True, k=WHOLE_K).awaitTermination()
+    return rounded(current_triggers(spark, sums, reference, k=WHOLE_K), 7)
+
+
 # --- profiling -------------------------------------------------------------------------
 
 

@@ -57,17 +57,16 @@ def score_curve(
     label: str = "label",
     score: str = "spike_probability",
     small_group: int | None = None,
+    counts: dict[str, Column] | None = None,
 ) -> DataFrame:
     """One row per distinct score, from the highest down: precision, recall and the
-    false-positive rate when every row scoring at least that much is called a spike."""
-    slim = df.select(*keys, (-F.col(score)).alias("_down"), F.col(label).alias("_y"))
-    totals = running_totals(
-        slim,
-        "_down",
-        {"pos": (F.col("_y") == 1).cast("long"), "neg": (F.col("_y") == 0).cast("long")},
-        keys,
-        small_group,
-    )
+    false-positive rate when every row scoring at least that much is called a spike.
+
+    ``counts`` says how many positives (``pos``) and negatives (``neg``) a row stands for, where
+    rows have been counted before."""
+    counts = counts or {"pos": (F.col(label) == 1).cast("long"), "neg": (F.col(label) == 0).cast("long")}
+    slim = df.select(*keys, (-F.col(score)).alias("_down"), *[c.alias(n) for n, c in counts.items()])
+    totals = running_totals(slim, "_down", {n: F.col(n) for n in counts}, keys, small_group)
     called = F.col("cum_pos") + F.col("cum_neg")
     called_before = called - F.col("pos") - F.col("neg")
     tp_before = F.col("cum_pos") - F.col("pos")
