@@ -25,6 +25,7 @@ from tickloom.plans.replay import bounded_features, replay
 from tickloom.plans.scoring import score_table
 from tickloom.schemas import FEATURES
 from tickloom.session import fresh_path, stored
+from tickloom.sources.compaction import compact, read_batches
 from tickloom.sources.delivery import deliver_stream, numbered_messages, renamed_table, without_redelivered
 from tickloom.sources.raw import read_archive, read_metrics, stream_archive
 from tickloom.sources.sinks import append_stream, json_messages, json_stream, tee_stream, write_metrics, write_table
@@ -590,6 +591,10 @@ def _daily_sketches(spark, folder):
     return table, low + (high - low) // 2
 
 
+def line_columns(spark, folder):
+    return profile.columns_and_shape(table(spark, folder, "lineitem"))
+
+
 def sketched_percentiles(spark, folder):
     """Of the later half of the days."""
     table, middle = _daily_sketches(spark, folder)
@@ -759,6 +764,17 @@ def first_messages_streamed(spark, folder):
     return rounded(found)
 
 
+def compacted_features(spark, folder):
+    """Features written in many small batches, compacted after half of them and again after all."""
+    path = fresh_path(spark, "batches")
+    rows = features(spark, folder)
+    for half in range(2):
+        for number in range(4):
+            renamed_table(path)(rows.where(F.pmod("seq", F.lit(8)) == 4 * half + number), 4 * half + number)
+        compact(spark, path)
+    return read_batches(spark, path)
+
+
 def message_sink(spark, folder):
     """Features sent as JSON messages by a stream, parsed again."""
     source, sink, marks = (fresh_path(spark, n) for n in ("in", "messages", "progress"))

@@ -210,3 +210,10 @@ def first_rows(df: DataFrame, n: int, order: list[str] = ["ts_us", "seq"]) -> Da
 def time_series(df: DataFrame, column: str = "midprice_return_std") -> DataFrame:
     """(ts, column) in time order, ready to plot."""
     return df.select("ts", column).orderBy("ts")
+
+
+def columns_and_shape(df: DataFrame) -> DataFrame:
+    """One row per column: its place, name and type, and how many rows and columns the table has."""
+    listed = F.array(*[F.struct(F.lit(i).alias("position"), F.lit(c).alias("column_name"), F.lit(t).alias("type")) for i, (c, t) in enumerate(df.dtypes, 1)])
+    counted = df.agg(F.count(F.lit(1)).alias("n_rows"))
+    return counted.select(F.explode(listed).alias("c"), "n_rows").select("c.*", "n_rows", F.lit(len(df.columns)).alias("n_columns"))

@@ -27,7 +27,7 @@ def without_redelivered(envelopes: DataFrame, delay_seconds: float = 10.0, keys:
     return timed.withWatermark("_time", f"{delay_seconds} seconds").dropDuplicatesWithinWatermark(list(keys)).drop("_time")
 
 
-class _Files:
+class Files:
     """The file system a folder is in, as Spark sees it."""
 
     def __init__(self, spark: SparkSession, folder: str):
@@ -45,6 +45,14 @@ class _Files:
     def touch(self, path: str) -> None:
         self._fs.create(self._path(path), True).close()
 
+    def write(self, path: str, text: str) -> None:
+        out = self._fs.create(self._path(path), True)
+        out.write(bytearray(text.encode()))
+        out.close()
+
+    def size(self, folder: str) -> int:
+        return self._fs.getContentSummary(self._path(folder)).getLength()
+
     def names(self, folder: str) -> list[str]:
         return [s.getPath().getName() for s in self._fs.listStatus(self._path(folder))] if self.exists(folder) else []
 
@@ -53,7 +61,7 @@ class Ledger:
     """Which batches each target has, as empty files ``<folder>/<target>/<batch>``."""
 
     def __init__(self, spark: SparkSession, folder: str):
-        self.folder, self._files = folder.rstrip("/"), _Files(spark, folder)
+        self.folder, self._files = folder.rstrip("/"), Files(spark, folder)
 
     def has(self, target: str, batch_id: int) -> bool:
         return self._files.exists(f"{self.folder}/{target}/{batch_id}")
@@ -69,7 +77,7 @@ def renamed_table(path: str) -> BatchWriter:
     """Each batch as a Parquet folder ``batch=<n>`` that appears at once and is never written twice."""
 
     def write(rows: DataFrame, batch_id: int) -> None:
-        files, final = _Files(rows.sparkSession, path), f"{path}/batch={batch_id}"
+        files, final = Files(rows.sparkSession, path), f"{path}/batch={batch_id}"
         if files.exists(final):
             return
         aside = f"{path}/_aside/batch={batch_id}"  # names with an underscore are not read as data
