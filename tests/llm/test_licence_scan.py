@@ -20,6 +20,12 @@ CASES = {
     10: (SENTENCES["bsd-grant"][0] + "\n" + SENTENCES["bsd-source"][0] + "\n" + SENTENCES["bsd-binary"][0], ["BSD-2-Clause"]),
     11: ("This work is licensed under the GNU General Public License, version 3.", ["GPL-3.0-only"]),
 }
+CASES |= {
+    12: ("// SPDX-License-Identifier: MIT", ["MIT"]),
+    13: ("# spdx-license-identifier: (GPL-2.0-only WITH Classpath-exception-2.0 OR Apache-2.0) AND\tBSD-3-Clause words", ["Apache-2.0", "BSD-3-Clause", "GPL-2.0-only WITH Classpath-exception-2.0"]),
+    14: ("SPDX-License-Identifier:\nSPDX-License-Identifier: GPL-2.0-or-later */ x", ["GPL-2.0-or-later"]),
+    15: (f"{MIT}\nSPDX-License-Identifier: MIT", ["MIT", "MIT"]),
+}
 CASES[6] = ("We speak of the MIT License. Nothing else", [])
 
 
@@ -43,6 +49,12 @@ def test_documents(documents):
     assert want <= set(found) and len(found) <= len(want) + documents.count() // 100
 
 
+def test_a_tag_is_a_sentence(spark):
+    rows = spark.createDataFrame([(1, "/* SPDX-License-Identifier: MIT */\nother")], "doc_id bigint, text string")
+    (row,) = scan_licences(rows).collect()
+    assert [s.sentence for s in row.sentences] == ["spdx"]
+
+
 def test_odd_rows(odd, none):
     found = scan_licences(odd).collect()
     assert len(found) == odd.count() and not any(r.licences for r in found)

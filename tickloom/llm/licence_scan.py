@@ -3,7 +3,7 @@
 A text is cut into sentences at line ends and after ``.``, ``;``, ``:``, ``!`` and ``?`` before a blank.
 A sentence is normalised (lower case, everything but letters, digits, ``+`` and ``.`` within a word as one
 blank) and looked up among the known sentences, which gives an identifier. Variable sentences (copyright
-lines, SPDX tags) are told by pattern. Known sentences that are wrapped over several lines are found
+lines, SPDX tags) are told by pattern; the names in an SPDX tag are licences of the text. Known sentences that are wrapped over several lines are found
 too: where a line begins one, the following lines are added, without their comment marks, until a blank
 line; what stands within such a sentence is not reported besides. The identifiers of a text in their order form a sequence;
 the ordered rules are tried on it, each a sequence of identifiers with up to ``GAP`` other known
@@ -78,8 +78,9 @@ CC_ELEMENTS = {
 }
 CC_VERSIONS = ("2.0", "2.5", "3.0", "4.0")
 
-# Sentences with variable parts, told by pattern on the normalised sentence.
+# Sentences with variable parts, told by pattern on the normalised sentence; their first words.
 PATTERNS = {"copyright": r"^copyright( c)? ", "spdx": r"^spdx license identifier "}
+PATTERN_WORDS = ("copyright", "spdx")
 
 # In order: licence and the identifiers it needs, one after the other. The first rule that fits takes
 # its sentences.
@@ -141,7 +142,7 @@ BLANK_LINE = "\x01"  # stands before a sentence that follows a blank line
 
 def sentences(text: Column) -> Column:
     text = F.regexp_replace(text, r"(?>\r\n|\r|\n){2,}", f"$0{BLANK_LINE}")
-    return F.split(text, r"[\r\n]+|(?<=[.;:!?])[ \t]+")
+    return F.split(text, r"[\r\n]+|(?<=[.;:!?])(?<!(?i:identifier):)[ \t]+")
 
 
 def normalised(sentence: Column) -> Column:
@@ -150,12 +151,33 @@ def normalised(sentence: Column) -> Column:
     return F.trim(F.regexp_replace(plain, r"\.(?= |$)|(?<= |^)\.", ""))
 
 
+def first_words() -> list[str]:
+    """Normalised first words of all known sentences: what begins otherwise need not be looked up."""
+    return sorted({re.findall(r"[^\W_]+", sentence)[0].lower() for _, sentence in known_sentences()})
+
+
+def _first_of(words: Column) -> Column:
+    """The letters and digits a sentence begins with."""
+    return F.regexp_extract(F.substring_index(words, " ", 1), r"^[^+.]*", 0)
+
+
+# One licence, or one with an exception, and others joined to it; in brackets or not.
+_TAG_NAME = r"\(*[A-Za-z0-9][A-Za-z0-9.+-]*\)*"
+_TAG = rf"(?i:SPDX-License-Identifier):[ \t]*({_TAG_NAME}(?:[ \t]+(?:OR|AND|WITH)[ \t]+{_TAG_NAME})*)"
+
+
+def tagged_licences(text: Column) -> Column:
+    """Names in the SPDX tags of a text: those joined by OR or AND one by one, an exception with its licence."""
+    tags = F.when(F.lower(text).contains("spdx-license-identifier"), F.regexp_extract_all(text, F.lit(_TAG), F.lit(1)))
+    names = F.transform(tags, lambda tag: F.split(F.regexp_replace(F.regexp_replace(tag, r"[()]", ""), r"[ \t]+", " "), " (?:OR|AND) "))
+    return F.coalesce(F.flatten(names), F.array().cast("array<string>"))
+
+
 def _wrapped(parts: str, singles: str) -> Column:
     """(place, last, words) of what begins in one of the ``singles`` as a known sentence does and goes on in the
     following ``parts``, once for each of these it might end with."""
     known = sorted({sentence for _, sentence in known_sentences()})
     most = 2 * max(len(re.findall(r"\w+", sentence)) for sentence in known)  # a mark may be a part of its own
-    first = "|".join(sorted({re.findall(r"\w+", sentence)[0].lower() for sentence in known}))
     begins = F.array(*[normalised(F.lit(sentence)) for sentence in known])
 
     def following(single):
@@ -170,7 +192,7 @@ def _wrapped(parts: str, singles: str) -> Column:
         start = F.struct(single["words"].alias("words"), single["place"].alias("last"), F.lit(True).alias("goes_on"), none.alias("found"))
         return F.aggregate(F.slice(parts, single["place"] + 2, F.lit(most)), start, step, lambda state: state["found"])
 
-    starts = F.filter(singles, lambda s: s["words"].rlike(rf"^(?:{first})(?: |$)") & F.exists(begins, lambda k: k.startswith(F.concat(s["words"], F.lit(" ")))))
+    starts = F.filter(singles, lambda s: _first_of(s["words"]).isin(first_words()) & F.exists(begins, lambda k: k.startswith(F.concat(s["words"], F.lit(" ")))))
     return F.flatten(F.transform(starts, following))
 
 
@@ -185,7 +207,8 @@ def licence_sentences(rows: DataFrame, text: str = "text") -> DataFrame:
     part = lambda raw: F.struct(normalised(raw).alias("words"), raw.startswith(BLANK_LINE).alias("apart"), raw.rlike(r"^[ \t]*[;:!]+$").alias("mark"))
     parts = rows.withColumn("__parts", F.transform(sentences(F.col(text)), part)).drop(text)
     single = lambda p, i: F.struct(i.alias("place"), i.alias("last"), p["words"].alias("words"))
-    parts = parts.withColumn("__singles", F.filter(F.transform("__parts", single), lambda s: s["words"] != ""))
+    begin = [*first_words(), *PATTERN_WORDS]
+    parts = parts.withColumn("__singles", F.filter(F.transform("__parts", single), lambda s: _first_of(s["words"]).isin(begin)))
     parts = parts.select(*other, F.inline(F.concat("__singles", _wrapped("__parts", "__singles"))))
     found = parts.join(F.broadcast(table), "words", "left")
     pattern = F.lit(None).cast("string")
@@ -231,6 +254,6 @@ def scan_licences(docs: DataFrame, key: str = "doc_id", text: str = "text") -> D
     found = found.withColumn("within", spans).where("within is null or within < last")
     grouped = found.groupBy("doc_id", "text_hash").agg(F.array_sort(F.collect_set(F.struct("place", "sentence"))).alias("sentences"))
     grouped = grouped.select(F.col("doc_id").alias("id"), F.col("text_hash").alias("hash"), "sentences", matched("sentences").alias("licences"))
-    ids = rows.select("doc_id", "text_hash")
+    ids = rows.select("doc_id", "text_hash", tagged_licences(F.col("text")).alias("tagged"))
     joined = ids.join(grouped, (F.col("text_hash") == F.col("hash")) & F.col("doc_id").eqNullSafe(F.col("id")), "left")
-    return joined.select("doc_id", F.coalesce("licences", F.array().cast("array<string>")).alias("licences"), "sentences")
+    return joined.select("doc_id", F.array_sort(F.concat(F.coalesce("licences", F.array().cast("array<string>")), "tagged")).alias("licences"), "sentences")
