@@ -40,7 +40,7 @@ from tickloom.llm.words import chunks, mix, split_words
 LONGEST = 4
 LEAST = 30
 TOP = 2000
-TASK_BYTES = 4 << 20  # of text taken at once
+TASK_BYTES = 1 << 20  # of text taken at once
 HELD_ROWS = 400_000  # rows summed up in a task before they are passed on
 SORTED_ROWS = 250_000  # suffixes a task should sort
 HOT = 200_000  # suffixes of a pair that is routed by all its words
