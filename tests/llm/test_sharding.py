@@ -57,3 +57,16 @@ def test_odd_rows_and_files(odd, none, documents, tmp_path):
     back = documents.sparkSession.read.parquet(str(tmp_path / "out"))
     assert back.count() == documents.count()
     assert len([d for d in os.listdir(tmp_path / "out") if d.startswith("shard=")]) == placed.select("prefix").distinct().count()
+
+
+def test_repeated_keys_are_written_once_each(spark, tmp_path):
+    rows = [(1, "x" * 900)] * 3 + [(1, "y" * 100), (None, "z" * 900), (None, "z" * 900), (2, None), (2, "")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    placed = shards(docs, max_bytes=1000)
+    write_shards(docs, placed, str(tmp_path / "out"))
+    back = spark.read.option("basePath", str(tmp_path / "out")).schema("doc_id bigint, text string, shard string").parquet(str(tmp_path / "out"))
+    assert sorted(map(str, ((r.doc_id, r.text) for r in back.collect()))) == sorted(map(str, rows))
+    sizes = {}
+    for r in back.collect():
+        sizes[r.shard] = sizes.get(r.shard, 0) + len(r.text or "") + ROW_BYTES
+    assert max(sizes.values()) <= 1000

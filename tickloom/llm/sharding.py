@@ -19,7 +19,7 @@ not looked at.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from tickloom.llm.tables import stored
 
@@ -85,8 +85,15 @@ def _split(rows: DataFrame, depth: int, max_bytes: int, last: bool) -> DataFrame
     return placed.withColumns({"final": F.col("depth").isNotNull(), "prefix": F.substring(bits, F.lit(1), F.coalesce("depth", F.lit(0)))})
 
 
-def write_shards(docs: DataFrame, placed: DataFrame, path: str, key: str = "doc_id") -> None:
-    """Write ``docs`` (unique keys) with their shard as a partitioned Parquet table, one task per shard."""
-    where = placed.select(F.col("doc_id").alias("__key"), F.col("prefix").alias("shard"))
-    rows = docs.join(where, docs[key].eqNullSafe(F.col("__key"))).drop("__key")
-    rows.repartition("shard").write.partitionBy("shard").parquet(path)
+def write_shards(docs: DataFrame, placed: DataFrame, path: str, key: str = "doc_id", text: str = "text") -> None:
+    """Write ``docs`` with their shard as a partitioned Parquet table, one task per shard. Rows that share a
+    key are dealt to the places of that key with as many bytes, one each."""
+    bytes_ = (F.coalesce(F.octet_length(docs[text].cast("string")), F.lit(0)) + ROW_BYTES).cast("bigint")
+    names = ["__key", "__bytes"]
+    number = lambda order: F.row_number().over(Window.partitionBy(*names).orderBy(order))
+    rows = docs.withColumns({"__key": docs[key], "__bytes": bytes_}).withColumn("__n", number(F.xxhash64(text)))
+    where = placed.select(F.col("doc_id").alias("__key"), F.col("bytes").alias("__bytes"), "row", F.col("prefix").alias("shard"))
+    where = where.withColumn("__n", number(F.col("row"))).select(*[F.col(c).alias(f"{c}_") for c in (*names, "__n")], "shard")
+    same = rows["__key"].eqNullSafe(where["__key_"]) & (rows["__bytes"] == where["__bytes_"]) & (rows["__n"] == where["__n_"])
+    found = rows.join(where, same).select(*[docs[c] for c in docs.columns], "shard")
+    found.repartition("shard").write.partitionBy("shard").parquet(path)
