@@ -35,7 +35,8 @@ from tickloom.llm.tables import ship_package, text_rows
 from tickloom.llm.words import chunks
 
 MARK = "▁"
-REMEMBERED = 100_000  # stretches in each of two generations of the memory
+REMEMBERED = 250_000  # stretches in each of two generations of the memory
+PAIRS = 1_500_000  # tested pairs of pieces that are kept
 LONGEST = 64  # characters of a stretch worth remembering
 
 NORMAL, UNKNOWN_KIND, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
@@ -155,7 +156,7 @@ class Encoder:
         known = self.pairs.get(both)
         if known is None:
             a, b = self.vocabulary.pieces[left], self.vocabulary.pieces[right]
-            if len(self.pairs) > 2 * REMEMBERED:
+            if len(self.pairs) >= PAIRS:
                 self.pairs.clear()
             known = self.pairs[both] = self.merged(a + b) == [a, b]
         return known
