@@ -1,9 +1,10 @@
+import itertools
 import math
 import re
 
 from pyspark.sql import functions as F
 
-from tickloom.llm.secret_scan import CLASSES, KINDS, high_entropy_part, scan_secrets, span_count, span_text
+from tickloom.llm.secret_scan import CLASSES, KINDS, high_entropy_part, running, scan_secrets, span_count, span_text
 
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
 
@@ -40,6 +41,27 @@ def test_base_spans(spark, documents):
         assert r.n == r.base.count("hex:")
 
 
+def test_many_matches_in_one_text(spark):
+    """More matches than one part of a running total holds, and added spans between base spans."""
+    secret = "Zx9Qw3Er7Ty1Ui5Op2As8Df4Gh"
+    text = " ".join(f"token=abcdef{i}" + (f" {secret}{i}" if i % 7 == 0 else "") for i in range(5000))
+    (row,) = scan_secrets(spark.createDataFrame([(1, text)], "doc_id bigint, text string")).collect()
+    base = [(m.start(), 0, m.end()) for m in re.finditer(r"token=\w+", text)]
+    added = [(m.start(), KINDS.index("entropy_text"), m.end()) for m in re.finditer(rf"{secret}\d+", text)]
+    assert [tuple(s) for s in row.base] == base
+    # A span reaches as far as windows above the limit do, which may stop before the last digits.
+    got = [tuple(s) for s in row.spans if s.kind == KINDS.index("entropy_text")]
+    assert len(got) == len(added) and all(a[0] <= g[0] < g[2] <= a[2] for g, a in zip(got, added))
+
+
+def test_running_totals(spark):
+    values = [(i * 37) % 101 - 50 for i in range(1000)]
+    rows = spark.createDataFrame([(n, values[:n]) for n in (0, 1, 127, 128, 129, 256, 1000)], "n int, v array<int>")
+    found = rows.select("n", running(F.col("v"), F.lit(0), lambda a, b: a + b).alias("sum"), running(F.col("v"), F.lit(-100), F.greatest).alias("max"))
+    for r in found.collect():
+        assert r.sum == list(itertools.accumulate(values[: r.n])) and r["max"] == list(itertools.accumulate(values[: r.n], max))
+
+
 def plain_part(text, kind):
     """Windows counted anew at each place."""
     first, last = -1, 0

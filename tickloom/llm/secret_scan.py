@@ -28,6 +28,7 @@ ASSIGN = r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?
 ACCESS = r"AKIA[A-Z0-9]{16,}"
 HEX = r"[0-9a-f]{24,}"
 ASSIGNED_LENGTH = 6
+PART = 128  # values of a part of a running total
 KINDS = ["assign", "access", "hex", "entropy_hex", "entropy_text"]  # the order of spans that begin together
 
 
@@ -58,21 +59,66 @@ ALLOWED = (
 )
 
 
-def _spans(text: Column, found: Column, pattern: str, kind: str) -> Column:
-    """Places of all matches ``found`` of a pattern: array of (start, kind, end, match)."""
-    pieces = F.split(text, pattern, -1)
-    nothing = F.array().cast("array<struct<start:int,kind:int,end:int,match:string>>")
-    start = lambda state, piece: state["at"] + F.char_length(piece["piece"])
+def _named(value: Column, use) -> Column:
+    """``use`` of a value that is made once within an expression."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
 
-    def step(state, piece):
-        begin = start(state, piece)
-        end = begin + F.char_length(piece["match"])
-        span = F.struct(begin.alias("start"), F.lit(KINDS.index(kind)).alias("kind"), end.alias("end"), piece["match"].alias("match"))
-        return F.struct(end.alias("at"), F.array_append(state["spans"], span).alias("spans"))
 
-    pairs = F.arrays_zip(F.slice(pieces, F.lit(1), F.size(found)).alias("piece"), found.alias("match"))
-    placed = F.aggregate(pairs, F.struct(F.lit(0).alias("at"), nothing.alias("spans")), step, lambda state: state["spans"])
-    return F.when(F.size(found) > 0, placed).otherwise(nothing)
+def running(values: Column, start: Column, merge) -> Column:
+    """Array of the running totals of an array under an associative ``merge``, each with the value of
+    its own place. A fold that appends copies its list at every step, so the array is cut into parts of
+    ``PART`` values: the totals inside a part, and those of the parts before it, come from short lists."""
+
+    def fold(part: Column) -> Column:
+        total = lambda state, x: merge(state["last"], x)
+        step = lambda state, x: F.struct(total(state, x).alias("last"), F.array_append(state["all"], total(state, x)).alias("all"))
+        return F.aggregate(part, F.struct(start.alias("last"), F.slice(F.array(start), 1, 0).alias("all")), step, lambda state: state["all"])
+
+    def joined(parts: Column) -> Column:
+        totals = fold(F.transform(parts, lambda part: F.element_at(part, -1)))
+        moved = lambda part, before: F.transform(part, lambda x: merge(before, x))
+        return _named(totals, lambda t: F.flatten(F.transform(parts, lambda part, i: F.when(i == 0, part).otherwise(moved(part, F.get(t, i - 1))))))
+
+    places = F.sequence(F.lit(0), F.floor((F.size(values) - 1) / PART).cast("int"))
+    parts = F.transform(places, lambda i: fold(F.slice(values, i * PART + 1, PART)))
+    return F.when(F.size(values) <= PART, fold(values)).otherwise(_named(parts, joined))
+
+
+def _with_spans(rows: DataFrame, name: str, pattern: str, kind: str) -> DataFrame:
+    """``rows`` with the places of all matches of a pattern in ``text``, array of (start, kind, end, match). The end of a match is the running total of the lengths of the matches and of
+    the pieces before them."""
+    rows = rows.withColumn("__found", F.regexp_extract_all("text", F.lit(pattern), F.lit(0)))
+    pieces = F.when(F.size("__found") > 0, F.split("text", pattern, -1)).otherwise(F.array().cast("array<string>"))
+    lengths = F.zip_with(F.slice(pieces, F.lit(1), F.size("__found")), "__found", lambda piece, match: F.char_length(piece) + F.char_length(match))
+    rows = rows.withColumn("__lengths", lengths)
+    rows = rows.withColumn("__ends", running(F.col("__lengths"), F.lit(0), lambda a, b: a + b))
+
+    def span(match, end):
+        return F.struct((end - F.char_length(match)).alias("start"), F.lit(KINDS.index(kind)).alias("kind"), end.alias("end"), match.alias("match"))
+
+    return rows.withColumn(name, F.zip_with("__found", "__ends", span)).drop("__found", "__lengths", "__ends")
+
+
+def _with_apart(rows: DataFrame, name: str, spans: str, others: str) -> DataFrame:
+    """``rows`` with those of ``spans`` that meet none of ``others``. Both are put in order; a span is met by one
+    that began before if the furthest end so far lies behind its start, and by a later one if that
+    begins before its end."""
+    own = F.transform(spans, lambda s: F.struct(s["start"].alias("start"), F.lit(True).alias("own"), s["end"].alias("end"), s.alias("span")))
+    other = F.transform(others, lambda s: F.struct(s["start"].alias("start"), F.lit(False).alias("own"), s["end"].alias("end"), F.lit(None).alias("span")))
+    rows = rows.withColumn("__both", F.when((F.size(spans) > 0) & (F.size(others) > 0), F.array_sort(F.concat(own, other))))
+    last = F.lit(2**31 - 1)
+    rows = rows.withColumns(
+        {
+            "__ends": F.transform("__both", lambda r: F.when(r["own"], F.lit(-1)).otherwise(r["end"])),
+            "__starts": F.transform(F.reverse("__both"), lambda r: F.when(r["own"], last).otherwise(r["start"])),
+        }
+    )
+    rows = rows.withColumns({"__ends": running(F.col("__ends"), F.lit(-1), F.greatest), "__starts": F.reverse(running(F.col("__starts"), last, F.least))})
+    # Walked side by side: a column read by place within a lambda may be made anew for each place.
+    met = F.zip_with("__ends", "__starts", lambda end, start: F.struct(end.alias("end"), start.alias("start")))
+    free = F.zip_with("__both", met, lambda r, m: F.when(r["own"] & (m["end"] <= r["start"]) & (m["start"] >= r["end"]), r["span"]))
+    chosen = F.filter(free, lambda span: span.isNotNull())
+    return rows.withColumn(name, F.when(F.col("__both").isNull(), F.col(spans)).otherwise(chosen)).drop("__both", "__ends", "__starts")
 
 
 def _log_sum(count: Column) -> Column:
@@ -116,13 +162,15 @@ def high_entropy_part(match: Column, kind: CharacterClass) -> Column:
     return F.transform(F.array(places), scan)[0]
 
 
-def _entropy_spans(text: Column, found: Column, kind: CharacterClass, base: Column, allowed: tuple[str, ...]) -> Column:
+def _with_entropy_spans(rows: DataFrame, name: str, kind: CharacterClass, allowed: tuple[str, ...]) -> DataFrame:
+    """``rows`` with the spans of a class that meet no base span."""
+
     def wanted(span):
         held = sum((F.when(span["match"].rlike(p), 1).otherwise(0) for p in kind.needs), F.lit(0))
         fine = held >= min(2, len(kind.needs))
         for pattern in allowed:
             fine &= ~span["match"].rlike(pattern)
-        return fine & ~F.exists(base, lambda b: (b["start"] < span["end"]) & (span["start"] < b["end"]))
+        return fine
 
     def part(span):
         return F.transform(
@@ -132,9 +180,15 @@ def _entropy_spans(text: Column, found: Column, kind: CharacterClass, base: Colu
             ),
         )[0]
 
-    candidates = F.filter(_spans(text, found, kind.candidate, kind.kind), wanted)
-    high = F.filter(F.transform(candidates, part), lambda s: s["last"] > 0)
-    return F.transform(high, lambda s: F.struct(s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end")))
+    rows = _with_spans(rows, "__candidates", kind.candidate, kind.kind)
+    rows = rows.withColumn("__candidates", F.filter("__candidates", wanted))
+    rows = _with_apart(rows, "__candidates", "__candidates", "base")
+    high = F.filter(F.transform("__candidates", part), lambda s: s["last"] > 0)
+    return rows.withColumn(name, F.transform(high, _plain)).drop("__candidates")
+
+
+def _plain(span):
+    return F.struct(span["start"].alias("start"), span["kind"].alias("kind"), span["end"].alias("end"))
 
 
 def scan_secrets(docs: DataFrame, key: str = "doc_id", text: str = "text", allowed: tuple[str, ...] = ALLOWED) -> DataFrame:
@@ -142,23 +196,21 @@ def scan_secrets(docs: DataFrame, key: str = "doc_id", text: str = "text", allow
     code points, end exclusive, in order; kind is a place in ``KINDS``. ``spans`` holds the base
     spans too."""
     rows = text_rows(docs, key, text)
-    patterns = {"assign": ASSIGN, "access": ACCESS, "hex": HEX} | {c.kind: c.candidate for c in CLASSES}
-    rows = rows.withColumns({f"found_{k}": F.regexp_extract_all("text", F.lit(p), F.lit(0)) for k, p in patterns.items()})
+    patterns = {"assign": ASSIGN, "access": ACCESS, "hex": HEX}
+    for kind, pattern in patterns.items():
+        rows = _with_spans(rows, f"__{kind}", pattern, kind)
     long_enough = lambda s: F.char_length(F.regexp_extract(s["match"], ASSIGN, 2)) >= ASSIGNED_LENGTH
-    text = F.col("text")
-    base = F.concat(
-        F.filter(_spans(text, F.col("found_assign"), ASSIGN, "assign"), long_enough),
-        _spans(text, F.col("found_access"), ACCESS, "access"),
-        _spans(text, F.col("found_hex"), HEX, "hex"),
-    )
-    plain = lambda s: F.struct(s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end"))
-    rows = rows.withColumn("base", F.array_sort(F.transform(base, plain)))
-    added = [_entropy_spans(text, F.col(f"found_{c.kind}"), c, F.col("base"), allowed) for c in CLASSES]
+    rows = rows.withColumn("__assign", F.filter("__assign", long_enough))
+    base = F.concat(*[F.transform(f"__{kind}", _plain) for kind in patterns])
+    rows = rows.withColumn("base", F.array_sort(base)).drop(*[f"__{kind}" for kind in patterns])
     # A string may be a candidate of both classes; the first class keeps it.
-    rows = rows.withColumn("hex_added", added[0])
-    text_added = F.filter(added[1], lambda s: ~F.exists(F.col("hex_added"), lambda h: (h["start"] < s["end"]) & (s["start"] < h["end"])))
-    rows = rows.withColumn("spans", F.array_sort(F.concat("base", "hex_added", text_added)))
-    return rows.select("doc_id", "base", "spans")
+    first, second = CLASSES
+    rows = _with_entropy_spans(rows, "hex_added", first, allowed)
+    rows = _with_entropy_spans(rows, "text_added", second, allowed)
+    rows = _with_apart(rows, "text_added", "text_added", "hex_added")
+    rows = rows.withColumn("spans", F.array_sort(F.concat("base", "hex_added", "text_added")))
+    # Rows pass through a generator, behind which filters on the spans are not written into all that makes them.
+    return rows.select("doc_id", F.inline(F.array(F.struct("base", "spans"))))
 
 
 def span_text(spans: str) -> Column:
