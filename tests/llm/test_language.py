@@ -1,4 +1,5 @@
 import numpy as np
+import pytest
 
 from tickloom.llm.language import fit_language, follow_the_regularised_leader, keep_languages, predict_language, temperature
 
@@ -61,3 +62,10 @@ def test_language_of_copies_has_examples(spark):
     model = fit_language(docs, sample=40)
     found = predict_language(docs, model).join(docs.select("doc_id", "lang"), "doc_id")
     assert found.where("lang <> lang_pred").count() == 0
+
+
+def test_more_labels_than_the_limit_are_refused(spark):
+    rows = spark.createDataFrame([(i, "some text", f"l{i}") for i in range(5)], "doc_id bigint, text string, lang string")
+    assert len(fit_language(rows, max_languages=5).languages) == 5
+    with pytest.raises(ValueError):
+        fit_language(rows, max_languages=4)

@@ -7,8 +7,8 @@ Document frequencies are counted over all documents the model may learn from. Th
 fitted by follow-the-regularised-leader with L1 and L2 penalties, which leaves most of them zero;
 a temperature, fitted on examples the weights did not see, calibrates the probabilities.
 
-Fitting uses a sample of at most about ``sample`` documents, equally shared by the languages, of at
-most ``max_languages`` languages (the most common ones). Which documents are taken follows from a
+Fitting uses a sample of at most about ``sample`` documents, equally shared by the languages. Every label
+is learned; the weights take 256 KB a label, so more than ``max_languages`` are refused with an error. Which documents are taken follows from a
 hash of the text, at a rate that follows from the number of different texts of the language. Only their sparse feature vectors, of at most ``BUCKETS`` numbers each, reach the
 driver. Prediction reads every text whole.
 
@@ -33,7 +33,7 @@ from tickloom.llm.words import chunks
 BUCKETS = 1 << 15
 GRAMS = (1, 2, 3)
 SAMPLE = 6000
-MAX_LANGUAGES = 256
+MAX_LANGUAGES = 1024
 UNKNOWN = "und"
 
 _MULTIPLIERS = np.array([0x9E3779B1, 0x85EBCA6B, 0xC2B2AE35], np.uint32)
@@ -202,7 +202,9 @@ def fit_language(
     rows = text_rows(docs.where(docs[lang].isNotNull() & docs[text].isNotNull()), key, text, lang=docs[lang].cast("string"))
     # Copies of a text are drawn together, so the rate follows from the number of different texts with letters.
     texts = F.approx_count_distinct(F.when(F.col("text").rlike(r"\p{L}"), F.col("text_hash")), 0.02).alias("texts")
-    counts = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("count"), texts).orderBy(F.desc("count"), "lang").limit(max_languages).collect()
+    counts = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("count"), texts).orderBy(F.desc("count"), "lang").limit(max_languages + 1).collect()
+    if len(counts) > max_languages:
+        raise ValueError(f"more than {max_languages} labels; a model of more needs a higher max_languages")
     if not counts:
         return LanguageModel([], np.zeros(BUCKETS), np.zeros((BUCKETS, 0)), 1.0)
 
