@@ -8,7 +8,7 @@ from tickloom.llm.prefilter import bit_table, marked
 
 
 def shingles(line):
-    return frozenset(line[m.start() : m.start() + 10] for m in re.finditer(r"\S+\s*", line))
+    return frozenset(line[i : i + 10] for i in range(len(line) - 9))
 
 
 def expected(docs):
@@ -117,18 +117,7 @@ def test_prefilter_lets_all_partners_through(spark):
     assert set(range(0, 5000, 7)) <= passed and len(passed) < 900
 
 
-def whole(line):
-    """Shingles at words and at every place of longer words, or everywhere in a line that has few."""
-    found = set()
-    for m in re.finditer(r"\S+", line):
-        found |= {line[m.start() + i : m.start() + i + 10] for i in range(max(len(m.group()) - 9, 1))}
-    if len(found) < 3:
-        found = {line[i : i + 10] for i in range(len(line) - 9)}
-    return frozenset(found)
-
-
-def test_characters_past_the_tenth_of_a_word(spark, monkeypatch):
-    monkeypatch.setitem(globals(), "shingles", whole)
+def test_characters_past_the_tenth_of_a_word(spark):
     rng = random.Random(6)
     han = "".join(chr(rng.randrange(0x4E00, 0x9000)) for _ in range(120))
     docs = [
@@ -145,8 +134,14 @@ def test_characters_past_the_tenth_of_a_word(spark, monkeypatch):
     assert found(spark, docs) == {4: [0], 7: [0]}
 
 
-def test_unspaced_lines_equal_all_pairs(spark, monkeypatch):
-    monkeypatch.setitem(globals(), "shingles", whole)
+def test_lines_of_short_words(spark):
+    """One changed character in a line of short words, of which no word holds a shingle."""
+    line = " ".join(chr(97 + i) + chr(98 + i) for i in range(0, 24)) + " 1"
+    docs = [(1, line + "2"), (2, line + "3"), (3, line[:40] + "9" + line[41:] + "2"), (4, line[::-1])]
+    assert expected(docs) and found(spark, docs) == expected(docs)
+
+
+def test_unspaced_lines_equal_all_pairs(spark):
     rng = random.Random(8)
     stock = ["".join(chr(rng.randrange(0x3041, 0x3097)) for _ in range(rng.choice([30, 90, 200]))) for _ in range(40)]
     docs = []

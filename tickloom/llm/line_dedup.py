@@ -1,17 +1,14 @@
 """Fuzzy line dedup: one line of each component of alike lines stays.
 
-A line's shingles are the strings of ``SHINGLE`` characters that begin at its words (lower-cased,
-trimmed) and, in longer words, at every further character up to the last ``SHINGLE`` of the word, so that
-each character is in a shingle and text without blanks has them all. A line with fewer than ``RUN``
-of these has those of all its places; with fewer than ``RUN`` even then (under a dozen characters, or hardly
-any that differ) it is alike only to an equal one. Lines are alike from a Jaccard similarity of
-``SIMILARITY`` on.
-
-1. Every line gets two hashes of its text and a signature: its shingle hashes in ascending
+A line's shingles are all its strings of ``SHINGLE`` characters, lower-cased and trimmed. A line with fewer
+than ``RUN`` of these (under a dozen characters, or hardly any that differ) is alike only to an equal one. Lines
+are alike from a Jaccard similarity of ``SIMILARITY`` on.
+
+1. Equal lines are grouped, with partial sums before they are shuffled; one of each goes on.
+2. It gets two hashes of its text and a signature: its shingle hashes in ascending
    order form a ring; each of ``BANDS`` fixed points of the ring gives a band, the next ``RUN`` hashes from
    there on. Each band is a min-wise sample of the set of its own, so two lines of similarity s share
    one with probability s^RUN, and all miss with (1 - s^RUN)^BANDS: under half a per cent at 0.8.
-2. Equal lines are grouped before they are shuffled; one of each goes on.
 3. Lines with a common band form a bucket. Those of a small bucket are all compared; in a large
    one all are compared with its first line, and those not confirmed form a bucket again, for ``ROUNDS``
    rounds. The lines of every large bucket that is not one component by then are compared by an exact
@@ -47,9 +44,6 @@ ROUNDS = 4  # of comparing with a first line only, before the rest is compared i
 BLOCK = 1000  # lines of a list that one task compares with the others
 BLANKS = " \t\r"
 
-# A word, seen with the characters that follow its beginning; a longer word than a shingle goes on with each
-# of its characters until the shingle ends where the word does.
-_AT_WORDS = rf"(?s)(?=(.{{1,{SHINGLE}}}))(?:\S(?=\S{{{SHINGLE}}})|\S+\s*)"
 _EVERYWHERE = rf"(?s)(?=(.{{{SHINGLE}}}))."
 
 
@@ -68,12 +62,8 @@ def _hashed(lines: DataFrame) -> DataFrame:
 def _with_shingles(rows: DataFrame, line: str, name: str) -> DataFrame:
     """``rows`` with the sorted hashes of the line's shingles."""
 
-    def at(places: str):
-        found = F.regexp_extract_all(line, F.lit(places), F.lit(1))
-        return F.sort_array(F.array_distinct(F.transform(found, lambda s: F.xxhash64(s))))
-
-    rows = rows.withColumn(name, at(_AT_WORDS))
-    return rows.withColumn(name, F.when(F.size(name) < RUN, at(_EVERYWHERE)).otherwise(F.col(name)))
+    found = F.regexp_extract_all(line, F.lit(_EVERYWHERE), F.lit(1))
+    return rows.withColumn(name, F.sort_array(F.array_distinct(F.transform(found, lambda s: F.xxhash64(s)))))
 
 
 def _with_bands(lines: DataFrame) -> DataFrame:
@@ -164,11 +154,10 @@ def _different(lists: DataFrame) -> DataFrame:
 def _alike(docs: DataFrame, key: str, text: str) -> tuple[DataFrame, DataFrame]:
     """(places, components): all places (doc_id, line_no, h1, h2) of lines that occur more than once
     or may be alike to another, and some more; and (h1, h2, component) of those that are alike."""
-    lines = _hashed(_lines(docs, key, text))
-    banded = _with_bands(lines)
-    # The copies of a line agree in their bands.
-    bands = [F.min(f"b{i}").alias(f"b{i}") for i in range(BANDS)]
-    distinct = stored(banded.groupBy("h1", "h2").agg(F.count("*").alias("n"), F.min("doc_id").alias("first_doc"), *bands), "lines")
+    lines = _lines(docs, key, text)
+    distinct = lines.groupBy("line").agg(F.count("*").alias("n"), F.min("doc_id").alias("first_doc"))
+    distinct = stored(_with_bands(_hashed(distinct)), "lines")
+    lines = _hashed(lines)
     buckets = distinct.select("h1", F.explode(F.array(*[f"b{i}" for i in range(BANDS)])).alias("bucket")).where("bucket is not null")
 
     pairs, stars, large = _candidates(buckets)
