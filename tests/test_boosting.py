@@ -141,3 +141,29 @@ def test_missing_features(spark, drawn):
     assert model.transform(complete).where(F.col("spike_probability").between(0, 1)).count() == complete.count()
     with pytest.raises(Exception, match="a feature is missing"):
         model.transform(df).collect()
+
+
+def test_a_level_looks_at_its_own_tree_alone(spark, drawn, monkeypatch):
+    x, y = drawn
+    df = spark.createDataFrame(pd.DataFrame(x, columns=["a", "b", "c"]).assign(y=y)).repartition(3)
+    plain, seen = boosting._histograms, []
+
+    def counted(*given):
+        trees = [t for g in given for t in (g if isinstance(g, list) else [g]) if isinstance(t, Tree)]
+        seen.append(len(trees))
+        return plain(*given)
+
+    monkeypatch.setattr(boosting, "_histograms", counted)
+    boost(df, ["a", "b", "c"], "y", 1.0, depth=2, rounds=4)
+    assert set(seen) == {1}
+
+
+def test_margins_at_cuts_infinities_and_missing_values():
+    tree = Tree()
+    for value in (0.0, 1.0, 2.0, 4.0, 8.0):
+        tree.add(value, 1.0)
+    tree.feature[0], tree.cut[0], tree.missing_left[0], tree.left[0], tree.right[0] = 0, 0.5, False, 1, 2
+    tree.feature[2], tree.cut[2], tree.missing_left[2], tree.left[2], tree.right[2] = 1, -3.0, True, 3, 4
+    nan, inf = float("nan"), float("inf")
+    values = np.array([[0.5, 0.6, -inf, inf, nan, nan, 0.6], [9.0, -3.0, inf, -2.9, nan, inf, -inf]])
+    assert BoostedTrees(["a", "b"], [tree]).margin(values).tolist() == [1.0, 4.0, 1.0, 8.0, 4.0, 8.0, 4.0]

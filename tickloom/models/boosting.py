@@ -8,8 +8,8 @@ on nodes, features and bins alone, picks for each node the split of greatest gai
     1/2 (GL^2 / (HL + l) + GR^2 / (HR + l) - G^2 / (H + l)),
 
 missing values being tried on both sides. A leaf's value is -rate G / (H + l). Positives' derivatives are
-multiplied by a weight. The margins of finished trees are written back every few rounds, so a job looks at a
-bounded number of trees.
+multiplied by a weight. A finished tree's leaves are added to the held margins once, so a level looks at its
+own tree alone; the margins are written back every few rounds, which bounds what a lost block costs.
 """
 
 from __future__ import annotations
@@ -30,7 +30,7 @@ BINS = 256
 MISSING = BINS  # bin of missing values
 CUT_ACCURACY = 1_000_000
 LEAST_GAIN = 1e-6
-STORE_EVERY = 16  # rounds whose trees a job evaluates itself
+STORE_EVERY = 16  # rounds after which the margins are stored
 FEW_PARTS = 64  # tasks whose sums the driver adds up itself
 
 NODES = "tree int, node int, place int, feature string, cut double, missing_left boolean, `left` int, `right` int, value double, gain double, cover double"
@@ -60,22 +60,51 @@ class Tree:
             column.append(start)
         return len(self.value) - 1
 
-    def places(self, columns: np.ndarray, marks: list, missing: np.ndarray) -> np.ndarray:
-        """The leaf each row (a column of ``columns``) ends in; ``marks`` are cuts or bins."""
-        feature, left, right = np.array(self.feature), np.array(self.left), np.array(self.right)
-        marks, missing_left = np.array(marks), np.array(self.missing_left)
-        at = np.zeros(columns.shape[1], np.int64)
-        while True:
-            going = np.flatnonzero(feature[at] >= 0)
-            if not len(going):
-                return at
-            node = at[going]
-            f = feature[node]
-            goes_left = np.where(missing[f, going], missing_left[node], columns[f, going] <= marks[node])
-            at[going] = np.where(goes_left, left[node], right[node])
+    def depth(self) -> int:
+        level = [0] * len(self.feature)  # children come after their parents
+        for node, feature in enumerate(self.feature):
+            if feature >= 0:
+                level[self.left[node]] = level[self.right[node]] = level[node] + 1
+        return max(level)
 
-    def margins(self, columns: np.ndarray, marks: list, missing: np.ndarray) -> np.ndarray:
-        return np.array(self.value)[self.places(columns, marks, missing)]
+
+class Walk:
+    """A tree laid out for rows of bins, the last bin of ``width`` being that of missing values: where each
+    bin leads from each node. A row goes left when its bin is at most the node's in ``bins``; leaves lead to
+    themselves."""
+
+    def __init__(self, tree: Tree, bins: list[int], width: int):
+        inner = np.flatnonzero(np.array(tree.feature) >= 0)
+        goes_left = np.arange(width) <= np.array(bins)[inner, None]
+        goes_left[:, -1] = np.array(tree.missing_left)[inner]
+        leads = np.repeat(np.arange(len(tree.feature))[:, None], width, axis=1)
+        leads[inner] = np.where(goes_left, np.array(tree.left)[inner, None], np.array(tree.right)[inner, None])
+        self.leads, self.width, self.depth = leads.ravel(), width, tree.depth()
+        self.feature, self.value = np.maximum(tree.feature, 0), np.array(tree.value)
+
+    def places(self, bins: np.ndarray) -> np.ndarray:
+        """The leaf each row (a column of ``bins``) ends in."""
+        rows = bins.shape[1]
+        flat, row = np.ascontiguousarray(bins).ravel(), np.arange(rows)
+        begin = self.feature * rows
+        at = np.zeros(rows, np.int64)
+        for _ in range(self.depth):
+            at = self.leads[at * self.width + flat[begin[at] + row]]
+        return at
+
+    def margins(self, bins: np.ndarray) -> np.ndarray:
+        return self.value[self.places(bins)]
+
+
+def _walk(tree: Tree) -> Walk:
+    return Walk(tree, tree.bin, BINS + 1)
+
+
+def _bins(values: np.ndarray, marks: np.ndarray, missing: int) -> np.ndarray:
+    """How many of ``marks`` lie below each value, or ``missing`` where it is NaN."""
+    found = np.searchsorted(marks, values, side="left")
+    found[np.isnan(values)] = missing
+    return found
 
 
 def _logistic(margin: np.ndarray) -> np.ndarray:
@@ -88,11 +117,29 @@ class BoostedTrees:
     trees: list[Tree]
     settings: dict[str, str] = field(default_factory=dict)
 
+    def _walks(self) -> tuple[list[np.ndarray], int, list[Walk]]:
+        """(cuts of each feature, bin of missing values, trees) for values binned by the trees' own cuts; laid
+        out once, where it is used."""
+        if "_laid_out" not in self.__dict__:
+            used = [[] for _ in self.features]
+            for tree in self.trees:
+                for feature, cut in zip(tree.feature, tree.cut):
+                    if feature >= 0:
+                        used[feature].append(cut)
+            marks = [np.unique(np.array(cuts, np.float64)) for cuts in used]
+            missing = max(map(len, marks), default=0) + 1
+            at = lambda f, cut: int(np.searchsorted(marks[f], cut)) if f >= 0 else 0
+            walks = [Walk(t, [at(f, cut) for f, cut in zip(t.feature, t.cut)], missing + 1) for t in self.trees]
+            self.__dict__["_laid_out"] = marks, missing, walks
+        return self.__dict__["_laid_out"]
+
     def margin(self, values: np.ndarray) -> np.ndarray:
         """Sum of the trees' leaves; ``values`` has a row per feature, NaN where missing."""
-        missing, total = np.isnan(values), np.zeros(values.shape[1])
-        for tree in self.trees:
-            total += tree.margins(values, tree.cut, missing)
+        marks, missing, walks = self._walks()
+        bins = np.stack([_bins(row, cuts, missing) for row, cuts in zip(values, marks)])
+        total = np.zeros(values.shape[1])
+        for walk in walks:
+            total += walk.margins(bins)
         return total
 
     def transform(self, df: DataFrame) -> DataFrame:
@@ -174,9 +221,7 @@ def _binned(cuts: list[np.ndarray]):
             columns = []
             for i, marks in enumerate(cuts):
                 values = batch.column(i).to_numpy(zero_copy_only=False).astype(np.float64)
-                bins = np.searchsorted(marks, values, side="left").astype(np.int16)
-                bins[np.isnan(values)] = MISSING
-                columns.append(pa.array(bins))
+                columns.append(pa.array(_bins(values, marks, MISSING).astype(np.int16)))
             label = batch.column(len(cuts)).to_numpy(zero_copy_only=False).astype(np.int8)
             columns += [pa.array(label), pa.array(np.zeros(len(label)))]
             yield pa.RecordBatch.from_arrays(columns, names=[*[f"b{i}" for i in range(len(cuts))], "y", "margin"])
@@ -194,9 +239,10 @@ def _advanced(trees: list[Tree]):
     """The binned rows with the trees' leaves added to their margins."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        walks = [_walk(tree) for tree in trees]
         for batch in batches:
             bins, _, margin = _block(batch)
-            margin = sum((tree.margins(bins, tree.bin, bins == MISSING) for tree in trees), margin)
+            margin = sum((walk.margins(bins) for walk in walks), margin)
             yield batch.set_column(batch.num_columns - 1, "margin", pa.array(margin))
 
     return run
@@ -219,26 +265,38 @@ def derivatives(margin: np.ndarray, y: np.ndarray, positive_weight: float) -> tu
     return weight * (p - y), np.maximum(weight * p * (1 - p), 1e-16)
 
 
-def _histograms(n: int, trees: list[Tree], tree: Tree, nodes: list[int], positive_weight: float):
+def _moved(tree: Tree):
+    """Blocks with the leaves of a finished tree added to their margins."""
+
+    def run(blocks: Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        walk = _walk(tree)
+        for bins, y, margin in blocks:
+            yield bins, y, margin + walk.margins(bins)
+
+    return run
+
+
+def _histograms(n: int, tree: Tree, nodes: list[int], positive_weight: float):
     """A task's sums of g and h for each node of ``nodes``, feature and bin."""
-    width = n * (BINS + 1)
-    size = len(nodes) * width
+    width = BINS + 1
     wanted = np.full(len(tree.feature), -1)
     wanted[nodes] = np.arange(len(nodes))
 
     def run(blocks: Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> Iterator[np.ndarray]:
-        total = np.zeros((2, size))
+        walk = _walk(tree)
+        total = np.zeros((2, len(nodes), n, width))
         for bins, y, margin in blocks:
-            missing = bins == MISSING
-            margin = sum((t.margins(bins, t.bin, missing) for t in trees), margin)
             slope, bend = derivatives(margin, y, positive_weight)
-            at = wanted[tree.places(bins, tree.bin, missing)]
-            some = np.flatnonzero(at >= 0)
+            at = wanted[walk.places(bins)]
+            some = at >= 0
+            if not some.all():
+                at, slope, bend, bins = at[some], slope[some], bend[some], bins[:, some]
+            first = at * width
             for i in range(n):
-                cell = at[some] * width + i * (BINS + 1) + bins[i, some]
-                total[0] += np.bincount(cell, slope[some], size)
-                total[1] += np.bincount(cell, bend[some], size)
-        yield total
+                cell = first + bins[i]
+                for sums, part in zip(total, (slope, bend)):
+                    sums[:, i] += np.bincount(cell, part, len(nodes) * width).reshape(len(nodes), width)
+        yield total.reshape(-1)
 
     return run
 
@@ -332,18 +390,26 @@ def boost(
     held = _held(binned)
 
     def sums(tree: Tree, nodes: list[int]) -> tuple[np.ndarray, np.ndarray]:
-        total = held.mapPartitions(_histograms(n, trees[finished:], tree, nodes, positive_weight)).treeReduce(np.add, 2 if parts > FEW_PARTS else 1)
+        total = held.mapPartitions(_histograms(n, tree, nodes, positive_weight)).treeReduce(np.add, 2 if parts > FEW_PARTS else 1)
+        if len(nodes) == 1 and len(tree.feature) == 1:  # the blocks of this tree are there now
+            while before:
+                before.pop().unpersist()
         return total.reshape(2, len(nodes), n, BINS + 1)
 
     parts = held.getNumPartitions()
+    before: list[RDD] = []  # blocks of the tree before
     for _ in range(rounds):
         if len(trees) - finished >= STORE_EVERY:
             binned = stored(binned.mapInArrow(_advanced(trees[finished:]), schema), "binned")
-            held.unpersist()
+            before.append(held)
             held, finished = _held(binned), len(trees)
             parts = held.getNumPartitions()
+        elif trees:
+            before.append(held)
+            held = held.mapPartitions(_moved(trees[-1])).persist(StorageLevel.MEMORY_AND_DISK)
         trees.append(grow(sums, cuts, depth, rate, penalty, least_cover))
-    held.unpersist()
+    for blocks in [*before, held]:
+        blocks.unpersist()
     settings = {
         "max_depth": str(depth), "learning_rate": repr(rate), "n_estimators": str(rounds), "scale_pos_weight": repr(positive_weight),
         "reg_lambda": repr(penalty), "min_child_weight": repr(least_cover),
