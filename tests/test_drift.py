@@ -138,3 +138,16 @@ def test_ecdf_and_sweep(spark):
     assert {r.x: r.share for r in profile.value_shares(df, "x").collect()} == {1.0: 0.5, 2.0: 0.25, 4.0: 0.25}
     gaps = spark.createDataFrame([("A", 0, 1), ("A", 2_500_000, 2), ("B", 9, 3)], "pair string, ts_us long, seq long")
     assert {r.seq: r.gap_seconds for r in profile.arrival_gaps(gaps).collect()} == {1: 2.5, 2: None, 3: None}
+
+
+def test_uniques_of_numbers_need_no_sort(spark):
+    """Values are grouped by how often they occur; among equally common ones the least is reported."""
+    rows = [("reference", 2.0, 7), ("reference", -1.0, 7), ("reference", 10.0, None), ("reference", None, 3), ("current", float("inf"), None), ("current", -0.0, None), ("current", 0.0, None), ("current", float("nan"), None)]
+    sides = spark.createDataFrame(rows, "side string, x double, k int")
+    found = quality.uniques(sides)
+    assert "SortAggregate" not in found._jdf.queryExecution().executedPlan().toString()
+    got = {(r.side, r.column_name): (r.n_rows, r.n_missing, r.n_unique, r.top_n, r.top_value) for r in found.collect()}
+    assert got == {
+        ("reference", "x"): (4, 1, 3, 1, "-1.0"), ("reference", "k"): (4, 1, 2, 2, "7"),
+        ("current", "x"): (4, 1, 2, 2, "0.0"), ("current", "k"): (4, 4, 0, None, None),
+    }

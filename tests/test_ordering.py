@@ -145,3 +145,33 @@ def test_infinite_values_and_one_hot_group(spark):
         for s in (100, 1_000_000)
     ]
     assert totals[0] == totals[1] and len(totals[0]) == 5701
+
+
+def test_percentiles_search_no_cut_points_row_by_row(skewed, monkeypatch):
+    """Rows are compared with a range around each rank; none is looked up among cut points."""
+    pdf, df = skewed
+
+    def refused(*given):
+        raise AssertionError("a search for every row")
+
+    monkeypatch.setattr(ordering, "bucket_of", refused)
+    fractions = [0.0, 0.004, 0.25, 0.5, 0.75, 0.999, 1.0]
+    for buckets in (2, 16, 500):
+        got = {(r.column_name, r.fraction): r.value for r in percentiles(df, ["v", "w"], fractions, 0, buckets).collect()}
+        want = {(c, f): pdf[c].quantile(f) for c in ("v", "w") for f in fractions}
+        assert got == pytest.approx(want, rel=1e-12)
+
+
+def test_percentiles_where_the_quantiles_are_off(skewed, monkeypatch):
+    pdf, df = skewed
+    wrong = lambda value, fractions, accuracy: F.transform(fractions, lambda _: F.max(value))
+    monkeypatch.setattr(F, "approx_percentile", wrong)
+    monkeypatch.setattr(ordering, "value_at_ranks", lambda df, c, ranks: {r: (float(pdf[c].dropna().sort_values().iloc[r]), 0) for r in ranks})
+    got = {r.fraction: r.value for r in percentiles(df, ["v"], [0.25, 0.5], 0, 16).collect()}
+    assert got == pytest.approx({f: pdf.v.quantile(f) for f in (0.25, 0.5)}, rel=1e-12)
+
+
+def test_percentiles_of_an_empty_column_beside_a_full_one(spark):
+    rows = spark.range(100).select(F.lit(None).cast("double").alias("none"), F.col("id").cast("double").alias("x"))
+    assert [tuple(r) for r in percentiles(rows, ["none", "x"], [0.5], small_group=0).collect()] == [("x", 0.5, 49.5)]
+    assert percentiles(rows, ["none"], [0.5], small_group=-1).collect() == []

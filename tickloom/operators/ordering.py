@@ -220,7 +220,8 @@ def percentiles(
     """Exact percentiles with linear interpolation: (column_name, fraction, value).
 
     Small tables use the built-in aggregate, which holds every distinct value in one
-    buffer. Larger ones count buckets first and look only at those holding a wanted rank.
+    buffer. Of larger ones approximate quantiles just below and above a wanted rank are found first, then the
+    rows below and between them are counted, and only those between are looked at.
     """
     spark = df.sparkSession
     small_group = SMALL_GROUP if small_group is None else small_group
@@ -233,58 +234,74 @@ def percentiles(
             "column_name", F.explode(F.arrays_zip(wanted.alias("fraction"), "values")).alias("z")
         ).select("column_name", F.col("z.fraction"), F.col("z.values").alias("value"))
 
-    buckets = buckets or bucket_count(df, max(sizes))
-    marks = wide.agg(*[cut_points(c, buckets).alias(c) for c in columns]).first()
-    marks_df = spark.createDataFrame(
-        [(c, marks[c]) for c in columns], "_column string, _marks array<double>"
-    )
-    long = unpivot(wide, columns, "value").where("value is not null")
-    marked = long.join(F.broadcast(marks_df), F.col("column_name") == F.col("_column")).select(
-        "column_name", "value", bucket_of(F.col("_marks"), F.col("value"), buckets).alias("bucket")
-    )
-    counted = marked.groupBy("column_name", "bucket").count().orderBy("column_name", "bucket").collect()
-    wanted_rows, plan = [], []
+    plan = []
     for column in columns:
         n = sizes[column]
         for fraction in fractions if n else []:
             position = fraction * (n - 1)
-            low, high = floor(position), ceil(position)
-            plan.append((column, float(fraction), low, high, position - low))
-            wanted_rows += [(column, low), (column, high)]
-    ranks = []
-    for column, rank in sorted(set(wanted_rows)):
-        before = 0
-        for bucket in (b for b in counted if b["column_name"] == column):
-            if rank < before + bucket["count"]:
-                ranks.append((column, bucket["bucket"], rank, rank - before))
-                break
-            before += bucket["count"]
-    rank_df = spark.createDataFrame(ranks, "c string, b int, rank long, inner long")
-    touched = F.broadcast(rank_df.select("c", "b").distinct())
-    counts = (
-        marked.join(touched, (F.col("column_name") == F.col("c")) & (F.col("bucket") == F.col("b")), "left_semi")
-        .groupBy("column_name", "bucket", "value")
-        .count()
-    )
-    run = (
-        W.partitionBy("column_name", "bucket").orderBy("value").rowsBetween(W.unboundedPreceding, W.currentRow)
+            plan.append((column, float(fraction), floor(position), ceil(position), position - floor(position)))
+    found = _values_around(wide, plan, buckets or bucket_count(df, max(sizes)))
+    ends = [(c, f, *found[c, low, high], part) for c, f, low, high, part in plan]
+    return spark.createDataFrame(ends, "column_name string, fraction double, lo double, hi double, part double").select(
+        "column_name", "fraction", _between(F.col("lo"), F.col("hi"), F.col("part")).alias("value")
     )
+
+
+def _values_around(wide: DataFrame, plan: list[tuple], buckets: int) -> dict[tuple, tuple[float, float]]:
+    """{(column, low, high): values at these ranks} for each (column, fraction, low, high, ...) of ``plan``."""
+    spark = wide.sparkSession
+    reach = 0.5 / buckets
+    around = {}
+    for column, fraction, *_ in plan:
+        around.setdefault(column, []).extend([max(0.0, fraction - reach), min(1.0, fraction + reach)])
+    if not around:
+        return {}
+    accuracy = max(1000, 20 * buckets)
+    marks = wide.agg(*[F.approx_percentile(c, F.array(*[F.lit(f) for f in sorted(set(fs))]), accuracy).alias(c) for c, fs in around.items()]).first()
+    marks = {c: dict(zip(sorted(set(fs)), marks[c])) for c, fs in around.items()}
+
+    ranges = []  # (column, low, high, least value, greatest value); None where it is open
+    for column, fraction, low, high, *_ in plan:
+        begin, end = max(0.0, fraction - reach), min(1.0, fraction + reach)
+        ranges.append((column, low, high, marks[column][begin] if begin > 0 else None, marks[column][end] if end < 1 else None))
+    sums = []
+    for i, (column, _, _, least, greatest) in enumerate(ranges):
+        value = F.col(column)
+        sums.append((F.lit(0).cast("long") if least is None else F.count_if(value < F.lit(least))).alias(f"below{i}"))
+        sums.append((F.count(value) if greatest is None else F.count_if(value <= F.lit(greatest))).alias(f"upto{i}"))
+    counted = wide.agg(*sums).first()
+
+    found, inside, ranks = {}, {}, []
+    for i, (column, low, high, least, greatest) in enumerate(ranges):
+        below = counted[f"below{i}"]
+        if low < below or high >= counted[f"upto{i}"]:  # the quantiles were further off than they should be
+            exact = value_at_ranks(wide, column, sorted({low, high}))
+            found[column, low, high] = exact[low][0], exact[high][0]
+        elif least is not None and least == greatest:
+            found[column, low, high] = least, least
+        else:
+            value = F.col(column)
+            within = value.isNotNull()
+            within &= F.lit(True) if least is None else value >= F.lit(least)
+            within &= F.lit(True) if greatest is None else value <= F.lit(greatest)
+            inside[f"r{i}"] = F.when(within, value).alias(f"r{i}")
+            ranks += [(f"r{i}", rank, rank - below) for rank in sorted({low, high})]
+    if not inside:
+        return found
+    rows = wide.select(*inside.values()).where(F.coalesce(*inside).isNotNull())
+    counts = unpivot(rows, list(inside), "value").where("value is not null").groupBy("column_name", "value").count()
+    run = W.partitionBy("column_name").orderBy("value").rowsBetween(W.unboundedPreceding, W.currentRow)
+    rank_df = spark.createDataFrame(ranks, "c string, rank long, inner long")
     picked = (
         counts.withColumn("upto", F.sum("count").over(run))
-        .join(F.broadcast(rank_df), (F.col("column_name") == F.col("c")) & (F.col("bucket") == F.col("b")))
+        .join(F.broadcast(rank_df), F.col("column_name") == F.col("c"))
         .where((F.col("inner") < F.col("upto")) & (F.col("inner") >= F.col("upto") - F.col("count")))
-        .select("column_name", "rank", "value")
-    )
-    plan_df = F.broadcast(
-        spark.createDataFrame(plan, "c string, fraction double, low long, high long, part double")
-    )
-    edge = lambda at: F.max(F.when(F.col("rank") == F.col(at), F.col("value")))
-    return (
-        picked.join(plan_df, (F.col("column_name") == F.col("c")) & F.col("rank").isin(F.col("low"), F.col("high")))
-        .groupBy("column_name", "fraction", "part")
-        .agg(edge("low").alias("lo"), edge("high").alias("hi"))
-        .select("column_name", "fraction", _between(F.col("lo"), F.col("hi"), F.col("part")).alias("value"))
     )
+    at = {(r["c"], r["rank"]): r["value"] for r in picked.select("c", "rank", "value").collect()}
+    for i, (column, low, high, _, _) in enumerate(ranges):
+        if f"r{i}" in inside:
+            found[column, low, high] = at[f"r{i}", low], at[f"r{i}", high]
+    return found
 
 
 def _between(low: Column, high: Column, part: Column) -> Column:

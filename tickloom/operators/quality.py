@@ -6,11 +6,13 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tickloom.operators.ordering import unpivot
 from tickloom.operators.profile import describe, numeric_columns
+from tickloom.session import stored
 
 # Share of one value, or of equal rows, that counts as almost constant or
 # almost duplicated; and how few values make a numeric column categorical.
 ALMOST = 0.95
 FEW_VALUES = 5
+SHORT_NUMBERS = ("tinyint", "smallint", "int", "float", "double")  # whose order is that of their doubles
 MISSING_KINDS = ["empty", "-Infinity", "Infinity", "null"]
 
 
@@ -41,16 +43,35 @@ def value_counts(sides: DataFrame, columns: list[str]) -> DataFrame:
     return counts
 
 
+def _commonest_number(sides: DataFrame, column: str) -> DataFrame:
+    """Per side: distinct values, the greatest count and its least value. Values are first grouped by how
+    often they occur, so that no sort is needed and only the one reported is turned into text."""
+    present = sides.where(~is_missing(sides, column)).select("side", F.col(column).alias("_v"))
+    per_value = present.groupBy("side", "_v").agg(F.count(F.lit(1)).alias("n"))
+    per_count = per_value.groupBy("side", "n").agg(F.count(F.lit(1)).alias("_values"), F.min("_v").alias("_v"))
+    found = per_count.groupBy("side").agg(
+        F.sum("_values").alias("n_unique"), F.max("n").alias("top_n"), F.min_by("_v", -F.col("n")).alias("_v")
+    )
+    text = (F.col("_v") + F.lit(0)).cast("string")
+    return found.select("side", F.lit(column).alias("column_name"), "n_unique", "top_n", text.alias("top_value"))
+
+
 def uniques(sides: DataFrame) -> DataFrame:
     """Per side and column: rows, missing, distinct values and the most common value;
     among equally common values the smallest."""
     columns = columns_of(sides)
-    counts = value_counts(sides, columns)
-    number = F.col("value").try_cast("double")
-    top = F.min_by("value", F.struct(-F.col("n"), number, F.col("value")))
-    found = counts.groupBy("side", "column_name").agg(
-        F.count(F.lit(1)).alias("n_unique"), F.max("n").alias("top_n"), top.alias("top_value")
-    )
+    types = dict(sides.dtypes)
+    parts = [_commonest_number(sides, c) for c in columns if types[c] in SHORT_NUMBERS]
+    if other := [c for c in columns if types[c] not in SHORT_NUMBERS]:
+        counts = value_counts(sides, other)
+        number = F.col("value").try_cast("double")
+        top = F.min_by("value", F.struct(-F.col("n"), number, F.col("value")))
+        parts.append(counts.groupBy("side", "column_name").agg(
+            F.count(F.lit(1)).alias("n_unique"), F.max("n").alias("top_n"), top.alias("top_value")
+        ))
+    found = parts[0]
+    for part in parts[1:]:
+        found = found.unionByName(part)
     n = F.count(F.lit(1))
     wide = sides.groupBy("side").agg(
         n.alias("n_rows"), *[F.count_if(is_missing(sides, c)).alias(c) for c in columns]
@@ -204,7 +225,7 @@ def column_summary(
     """
     columns = columns_of(sides)
     numbers = [c for c in columns if c in numeric_columns(sides)]
-    facts = facts or uniques(sides)
+    facts = facts or stored(uniques(sides), "uniques")  # looked at twice
     few = facts.groupBy("column_name").agg(F.max("n_unique").alias("_most"))
     moments = None
     for side in ("reference", "current"):
