@@ -151,3 +151,17 @@ def test_uniques_of_numbers_need_no_sort(spark):
         ("reference", "x"): (4, 1, 3, 1, "-1.0"), ("reference", "k"): (4, 1, 2, 2, "7"),
         ("current", "x"): (4, 1, 2, 2, "0.0"), ("current", "k"): (4, 4, 0, None, None),
     }
+
+
+def test_early_late_report_stores_its_columns_once(spark, monkeypatch):
+    from tickloom.plans import reports
+    from tickloom.operators.labels import split_early_late
+
+    rows = spark.createDataFrame([(i, i, float(i % 7), "x" * 50) for i in range(40)], "ts_us long, seq long, midprice_return_std double, note string")
+    plain, kept, wide = reports.stored, [], ["ts_us", "seq", "midprice_return_std"]
+    monkeypatch.setattr(reports, "stored", lambda df, name="stage": kept.append(df.columns) or plain(df, name))
+    got = reports.early_late_report(rows)
+    assert [c for c in kept if "ts_us" in c] == [wide]
+    split = split_early_late(rows)
+    want = reports.combined_report(split.where("split = 'reference'"), split.where("split = 'current'"), ["midprice_return_std"])
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
