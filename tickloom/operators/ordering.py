@@ -264,43 +264,51 @@ def _values_around(wide: DataFrame, plan: list[tuple], buckets: int) -> dict[tup
     for column, fraction, low, high, *_ in plan:
         begin, end = max(0.0, fraction - reach), min(1.0, fraction + reach)
         ranges.append((column, low, high, marks[column][begin] if begin > 0 else None, marks[column][end] if end < 1 else None))
-    sums = []
+    none, sums = F.lit(0).cast("long"), []
     for i, (column, _, _, least, greatest) in enumerate(ranges):
-        value = F.col(column)
-        sums.append((F.lit(0).cast("long") if least is None else F.count_if(value < F.lit(least))).alias(f"below{i}"))
-        sums.append((F.count(value) if greatest is None else F.count_if(value <= F.lit(greatest))).alias(f"upto{i}"))
+        value, all_rows = F.col(column), F.count(column)
+        sums += [
+            (none if least is None else F.count_if(value < F.lit(least))).alias(f"below{i}"),
+            (none if least is None else F.count_if(value <= F.lit(least))).alias(f"from{i}"),
+            (all_rows if greatest is None else F.count_if(value < F.lit(greatest))).alias(f"to{i}"),
+            (all_rows if greatest is None else F.count_if(value <= F.lit(greatest))).alias(f"upto{i}"),
+        ]
     counted = wide.agg(*sums).first()
 
-    found, inside, ranks = {}, {}, []
+    # A value that many rows hold is often an end of its range; only what lies between the ends is grouped.
+    found, ends, inside, ranks = {}, {}, {}, []
     for i, (column, low, high, least, greatest) in enumerate(ranges):
-        below = counted[f"below{i}"]
-        if low < below or high >= counted[f"upto{i}"]:  # the quantiles were further off than they should be
+        below, first, last, upto = (counted[f"{name}{i}"] for name in ("below", "from", "to", "upto"))
+        if low < below or high >= upto:  # the quantiles were further off than they should be
             exact = value_at_ranks(wide, column, sorted({low, high}))
             found[column, low, high] = exact[low][0], exact[high][0]
-        elif least is not None and least == greatest:
-            found[column, low, high] = least, least
-        else:
-            value = F.col(column)
-            within = value.isNotNull()
-            within &= F.lit(True) if least is None else value >= F.lit(least)
-            within &= F.lit(True) if greatest is None else value <= F.lit(greatest)
-            inside[f"r{i}"] = F.when(within, value).alias(f"r{i}")
-            ranks += [(f"r{i}", rank, rank - below) for rank in sorted({low, high})]
-    if not inside:
-        return found
-    rows = wide.select(*inside.values()).where(F.coalesce(*inside).isNotNull())
-    counts = unpivot(rows, list(inside), "value").where("value is not null").groupBy("column_name", "value").count()
-    run = W.partitionBy("column_name").orderBy("value").rowsBetween(W.unboundedPreceding, W.currentRow)
-    rank_df = spark.createDataFrame(ranks, "c string, rank long, inner long")
-    picked = (
-        counts.withColumn("upto", F.sum("count").over(run))
-        .join(F.broadcast(rank_df), F.col("column_name") == F.col("c"))
-        .where((F.col("inner") < F.col("upto")) & (F.col("inner") >= F.col("upto") - F.col("count")))
-    )
-    at = {(r["c"], r["rank"]): r["value"] for r in picked.select("c", "rank", "value").collect()}
+            continue
+        for rank in sorted({low, high}):
+            if rank < first:
+                ends[i, rank] = least
+            elif rank >= last:
+                ends[i, rank] = greatest
+            else:
+                value = F.col(column)
+                within = value.isNotNull()
+                within &= F.lit(True) if least is None else value > F.lit(least)
+                within &= F.lit(True) if greatest is None else value < F.lit(greatest)
+                inside[f"r{i}"] = F.when(within, value).alias(f"r{i}")
+                ranks.append((f"r{i}", rank, rank - first))
+    if inside:
+        rows = wide.select(*inside.values()).where(F.coalesce(*inside).isNotNull())
+        counts = unpivot(rows, list(inside), "value").where("value is not null").groupBy("column_name", "value").count()
+        run = W.partitionBy("column_name").orderBy("value").rowsBetween(W.unboundedPreceding, W.currentRow)
+        rank_df = spark.createDataFrame(ranks, "c string, rank long, inner long")
+        picked = (
+            counts.withColumn("upto", F.sum("count").over(run))
+            .join(F.broadcast(rank_df), F.col("column_name") == F.col("c"))
+            .where((F.col("inner") < F.col("upto")) & (F.col("inner") >= F.col("upto") - F.col("count")))
+        )
+        ends |= {(int(r["c"][1:]), r["rank"]): r["value"] for r in picked.select("c", "rank", "value").collect()}
     for i, (column, low, high, _, _) in enumerate(ranges):
-        if f"r{i}" in inside:
-            found[column, low, high] = at[f"r{i}", low], at[f"r{i}", high]
+        if (column, low, high) not in found:
+            found[column, low, high] = ends[i, low], ends[i, high]
     return found
 
 
