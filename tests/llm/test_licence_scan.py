@@ -1,5 +1,7 @@
 import textwrap
 
+from pyspark.sql import functions as F
+
 from tickloom.llm.licence_scan import SENTENCES, known_sentences, rules, scan_licences
 
 MIT = "\n".join(SENTENCES[k][0] for k in ("mit-grant", "mit-notice", "as-is"))
@@ -85,3 +87,17 @@ def test_wrapped_texts(spark):
     rows = spark.createDataFrame([(i, text) for i, (_, text) in enumerate(cases)], "doc_id bigint, text string")
     for r in scan_licences(rows.unionByName(rows)).collect():
         assert ",".join(r.licences) == cases[r.doc_id][0], cases[r.doc_id]
+
+
+def test_what_may_begin_a_known_sentence_is_normalised(spark):
+    """The look at a sentence as it stands passes all whose normalised first word matters, and few others."""
+    from tickloom.llm import licence_scan as scan
+
+    marks = ["", "# ", "\x01// ", "..", " .", "(", "«", "̇", "中 ", "a ", "²"]
+    words = ["The", "LICENSED", "Re‍leased", "apacKe", "İSC", "i̇sc", "MIT.", "to+", "YOU…", "tö", "bsd2", "៿tHIS", "alſ", "ordinary", ".x", ""]
+    rows = spark.createDataFrame([(m + w + " rest of it",) for m in marks for w in words], "raw string")
+    begin = [*scan.first_words(), *scan.PATTERN_WORDS]
+    raw = F.col("raw")
+    got = rows.select("raw", scan._first_of(scan.normalised(raw)).isin(begin).alias("matters"), scan._may_begin(raw, begin).alias("may")).collect()
+    assert [r.raw for r in got if r.matters and not r.may] == []
+    assert sum(r.matters for r in got) > 30 and not any(r.may for r in got if "ordinary" in r.raw)

@@ -142,13 +142,14 @@ BLANK_LINE = "\x01"  # stands before a sentence that follows a blank line
 
 def sentences(text: Column) -> Column:
     text = F.regexp_replace(text, r"(?>\r\n|\r|\n){2,}", f"$0{BLANK_LINE}")
-    return F.split(text, r"[\r\n]+|(?<=[.;:!?])(?<!(?i:identifier):)[ \t]+")
+    # What is looked back for comes after the first blank, so that most characters are passed over at once.
+    return F.split(text, r"[\r\n]+|[ \t](?<=[.;:!?][ \t])(?<!(?i:identifier):[ \t])[ \t]*")
 
 
 def normalised(sentence: Column) -> Column:
     """Words of letters, digits, ``+`` and inner dots, one blank between them."""
     plain = F.regexp_replace(F.lower(sentence), r"[^\p{L}\p{N}+.]+", " ")
-    return F.trim(F.regexp_replace(plain, r"\.(?= |$)|(?<= |^)\.", ""))
+    return F.trim(F.regexp_replace(plain, r"\.(?:(?= |$)|(?<= \.|^\.))", ""))
 
 
 def first_words() -> list[str]:
@@ -156,6 +157,11 @@ def first_words() -> list[str]:
     return sorted({re.findall(r"[^\W_]+", sentence)[0].lower() for _, sentence in known_sentences()})
 
 
+def _may_begin(sentence: Column, words: list[str]) -> Column:
+    """Whether a sentence as it stands may begin with one of ``words`` once it is normalised; seldom true of others."""
+    return sentence.rlike(rf"(?iu)^[^\p{{L}}\p{{N}}]*(?:{'|'.join(words)})")
+
+
 def _first_of(words: Column) -> Column:
     """The letters and digits a sentence begins with."""
     return F.regexp_extract(F.substring_index(words, " ", 1), r"^[^+.]*", 0)
@@ -173,12 +179,16 @@ def tagged_licences(text: Column) -> Column:
     return F.coalesce(F.flatten(names), F.array().cast("array<string>"))
 
 
-def _wrapped(parts: str, singles: str) -> Column:
-    """(place, last, words) of what begins in one of the ``singles`` as a known sentence does and goes on in the
+def _starts(singles: str) -> Column:
+    """The ``singles`` that are the beginning of a longer known sentence."""
+    begins = F.array(*[normalised(F.lit(sentence)) for sentence in sorted({sentence for _, sentence in known_sentences()})])
+    return F.filter(singles, lambda s: _first_of(s["words"]).isin(first_words()) & F.exists(begins, lambda k: k.startswith(F.concat(s["words"], F.lit(" ")))))
+
+
+def _wrapped(parts: str, starts: str) -> Column:
+    """(place, last, words) of what begins in one of the ``starts`` as a known sentence does and goes on in the
     following ``parts``, once for each of these it might end with."""
-    known = sorted({sentence for _, sentence in known_sentences()})
-    most = 2 * max(len(re.findall(r"\w+", sentence)) for sentence in known)  # a mark may be a part of its own
-    begins = F.array(*[normalised(F.lit(sentence)) for sentence in known])
+    most = 2 * max(len(re.findall(r"\w+", sentence)) for _, sentence in known_sentences())  # a mark may be a part of its own
 
     def following(single):
         def step(state, part):
@@ -192,7 +202,6 @@ def _wrapped(parts: str, singles: str) -> Column:
         start = F.struct(single["words"].alias("words"), single["place"].alias("last"), F.lit(True).alias("goes_on"), none.alias("found"))
         return F.aggregate(F.slice(parts, single["place"] + 2, F.lit(most)), start, step, lambda state: state["found"])
 
-    starts = F.filter(singles, lambda s: _first_of(s["words"]).isin(first_words()) & F.exists(begins, lambda k: k.startswith(F.concat(s["words"], F.lit(" ")))))
     return F.flatten(F.transform(starts, following))
 
 
@@ -205,11 +214,17 @@ def licence_sentences(rows: DataFrame, text: str = "text") -> DataFrame:
     table = spark.range(1).select(F.explode(known).alias("k")).select(F.col("k.name").alias("known"), normalised(F.col("k.sentence")).alias("words")).distinct()
     other = [c for c in rows.columns if c != text]
     part = lambda raw: F.struct(normalised(raw).alias("words"), raw.startswith(BLANK_LINE).alias("apart"), raw.rlike(r"^[ \t]*[;:!]+$").alias("mark"))
-    parts = rows.withColumn("__parts", F.transform(sentences(F.col(text)), part)).drop(text)
-    single = lambda p, i: F.struct(i.alias("place"), i.alias("last"), p["words"].alias("words"))
+    raw = rows.withColumn("__raw", sentences(F.col(text))).drop(text)
+    # Only what may begin with a word that matters is normalised, and of texts where a known sentence may go
+    # on over several lines the rest.
     begin = [*first_words(), *PATTERN_WORDS]
-    parts = parts.withColumn("__singles", F.filter(F.transform("__parts", single), lambda s: _first_of(s["words"]).isin(begin)))
-    parts = parts.select(*other, F.inline(F.concat("__singles", _wrapped("__parts", "__singles"))))
+    places = F.transform("__raw", lambda s, i: F.struct(i.alias("place"), s.alias("raw")))
+    some = F.filter(places, lambda p: _may_begin(p["raw"], begin))
+    single = lambda p: F.struct(p["place"].alias("place"), p["place"].alias("last"), normalised(p["raw"]).alias("words"))
+    parts = raw.withColumn("__singles", F.filter(F.transform(some, single), lambda s: _first_of(s["words"]).isin(begin)))
+    parts = parts.withColumn("__starts", _starts("__singles"))
+    parts = parts.withColumn("__parts", F.when(F.size("__starts") > 0, F.transform("__raw", part)))
+    parts = parts.select(*other, F.inline(F.concat("__singles", _wrapped("__parts", "__starts"))))
     found = parts.join(F.broadcast(table), "words", "left")
     pattern = F.lit(None).cast("string")
     for name, expression in PATTERNS.items():
