@@ -101,3 +101,18 @@ def test_what_may_begin_a_known_sentence_is_normalised(spark):
     got = rows.select("raw", scan._first_of(scan.normalised(raw)).isin(begin).alias("matters"), scan._may_begin(raw, begin).alias("may")).collect()
     assert [r.raw for r in got if r.matters and not r.may] == []
     assert sum(r.matters for r in got) > 30 and not any(r.may for r in got if "ordinary" in r.raw)
+
+
+def test_only_what_goes_on_as_a_known_sentence_is_followed(spark):
+    """A beginning that other lines follow gives none of these; one that ends wrapped gives the parts up to its end."""
+    from tickloom.llm import licence_scan as scan
+
+    wrapped = textwrap.wrap(SENTENCES["isc-grant"][0], 40)
+    texts = ["\n".join(["Permission"] + [f"another line {i}" for i in range(100)]), "\n".join([*wrapped, *["other words"] * 100])]
+    rows = spark.createDataFrame([(text,) for text in texts], "text string").select(scan.sentences(F.col("text")).alias("raw"))
+    part = lambda raw: F.struct(scan.normalised(raw).alias("words"), F.lit(False).alias("apart"), F.lit(False).alias("mark"))
+    rows = rows.select(F.transform("raw", part).alias("parts"))
+    first = F.struct(F.lit(0).alias("place"), F.lit(0).alias("last"), F.col("parts")[0]["words"].alias("words"))
+    rows = rows.withColumn("starts", scan._starts(F.array(first)))
+    got = [r.found for r in rows.select(scan._wrapped("parts", "starts").alias("found")).collect()]
+    assert [len(x) for x in got] == [1, len(wrapped) - 1] and got[1][-1].last == len(wrapped) - 1

@@ -179,24 +179,31 @@ def tagged_licences(text: Column) -> Column:
     return F.coalesce(F.flatten(names), F.array().cast("array<string>"))
 
 
+def _goes_on(words: Column) -> Column:
+    """Whether a longer known sentence begins with ``words``."""
+    begins = F.array(*[normalised(F.lit(sentence)) for sentence in sorted({sentence for _, sentence in known_sentences()})])
+    return F.exists(begins, lambda k: k.startswith(F.concat(words, F.lit(" "))))
+
+
 def _starts(singles: str) -> Column:
     """The ``singles`` that are the beginning of a longer known sentence."""
-    begins = F.array(*[normalised(F.lit(sentence)) for sentence in sorted({sentence for _, sentence in known_sentences()})])
-    return F.filter(singles, lambda s: _first_of(s["words"]).isin(first_words()) & F.exists(begins, lambda k: k.startswith(F.concat(s["words"], F.lit(" ")))))
+    return F.filter(singles, lambda s: _first_of(s["words"]).isin(first_words()) & _goes_on(s["words"]))
 
 
 def _wrapped(parts: str, starts: str) -> Column:
     """(place, last, words) of what begins in one of the ``starts`` as a known sentence does and goes on in the
-    following ``parts``, once for each of these it might end with."""
+    following ``parts`` as one does, once for each of these it might end with."""
     most = 2 * max(len(re.findall(r"\w+", sentence)) for _, sentence in known_sentences())  # a mark may be a part of its own
 
     def following(single):
         def step(state, part):
-            goes_on = state["goes_on"] & ~part["apart"] & ((part["words"] != "") | part["mark"])
-            words = F.when(part["words"] == "", state["words"]).otherwise(F.concat(state["words"], F.lit(" "), part["words"]))
+            empty = part["words"] == ""
+            words = F.when(empty, state["words"]).otherwise(F.concat(state["words"], F.lit(" "), part["words"]))
             one = F.array(F.struct(single["place"].alias("place"), (state["last"] + 1).alias("last"), words.alias("words")))
-            found = F.when(goes_on & (part["words"] != ""), F.concat(state["found"], one)).otherwise(state["found"])
-            return F.struct(words.alias("words"), (state["last"] + 1).alias("last"), goes_on.alias("goes_on"), found.alias("found"))
+            found = F.when(empty, state["found"]).otherwise(F.concat(state["found"], one))
+            following_too = F.struct(words.alias("words"), (state["last"] + 1).alias("last"), (empty | _goes_on(words)).alias("goes_on"), found.alias("found"))
+            ended = F.struct(state["words"].alias("words"), state["last"].alias("last"), F.lit(False).alias("goes_on"), state["found"].alias("found"))
+            return F.when(state["goes_on"] & ~part["apart"] & (~empty | part["mark"]), following_too).otherwise(ended)
 
         none = F.array().cast("array<struct<place:int,last:int,words:string>>")
         start = F.struct(single["words"].alias("words"), single["place"].alias("last"), F.lit(True).alias("goes_on"), none.alias("found"))
