@@ -172,3 +172,28 @@ def test_bucket_of_many_components(spark, monkeypatch):
         docs += [(2 * i, " ".join(template + own[:6])), (2 * i + 1, " ".join(template + own[1:]))]
     assert len(expected(docs)) == 40
     assert found(spark, docs) == expected(docs)
+
+
+def test_lines_are_trimmed_of_blanks_only(spark):
+    """Only lines that begin or end with a blank are trimmed character by character; others are as they were."""
+    from pyspark.sql import functions as F
+
+    lines = ["", " ", " \t\r", "a", " a", "A\r", "\ta b \r", "\x0ba", "a ", " a  ", " a ", "\x0b"]
+    rows = spark.createDataFrame([(i, line) for i, line in enumerate(lines)], "doc_id bigint, text string")
+    got = {r.doc_id: r.line for r in line_dedup._lines(rows, "doc_id", "text").collect()}
+    assert got == {i: kept for i, line in enumerate(lines) if (kept := line.lower().strip(" \t\r"))}
+    cases = line_dedup._lines(rows, "doc_id", "text")._jdf.queryExecution().optimizedPlan().toString()
+    assert cases.count("CASE WHEN") == 2 and cases.count("trim(") == 2
+    line = F.col("line")
+    whole = rows.select(line_dedup._trimmed(F.col("text"), F.col("text")).alias("line")).where(line != "").count()
+    assert whole == len(got)
+
+
+def test_buckets_that_form_again_need_no_filter(spark):
+    """The lines of large buckets give the same pairs with and without the filter, which costs two tables a round."""
+    rows = [(b, 10 * b + i) for b, n in ((1, 1), (2, 2), (3, 12), (4, 13), (5, 9)) for i in range(n)]
+    buckets = spark.createDataFrame(rows, "bucket bigint, h1 bigint")
+    got = [[sorted(map(tuple, part.collect())) for part in line_dedup._candidates(buckets, sparse)] for sparse in (True, False)]
+    assert got[0] == got[1]
+    pairs, stars, large = got[0]
+    assert len(pairs) == 1 + 66 + 36 and stars == [(4, 40, 40 + i) for i in range(1, 13)] and len(large) == 13

@@ -32,7 +32,9 @@ keep all their lines. An empty table gives an empty result. Other columns are ke
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tickloom.llm.components import connected_components
 from tickloom.llm.prefilter import bit_table, marked
@@ -48,17 +50,25 @@ BLOCK = 1000  # lines of a list that one task compares with the others
 BLANKS = " \t\r"
 
 # A word, seen with the characters that follow its beginning; a longer word than a shingle goes on with each
-# of its characters until the shingle ends where the word does.
-_AT_WORDS = rf"(?s)(?=(.{{1,{SHINGLE}}}))(?:\S(?=\S{{{SHINGLE}}})|\S+\s*)"
+# of its characters until the shingle ends where the word does. Most words are settled by the first of three ways.
+_AT_WORDS = rf"(?s)(?=(.{{1,{SHINGLE}}}))\S(?:\S{{0,{SHINGLE - 1}}}+\s+|(?=\S{{{SHINGLE}}})|\S*\s*)"
 _EVERYWHERE = rf"(?s)(?=(.{{{SHINGLE}}}))."
 
 
+def _trimmed(line: Column, plain: Column) -> Column:
+    """``line`` without blanks at its ends; ``plain`` tells how it begins and ends. Trimming looks at every character,
+    so it is left out where there is nothing to trim."""
+    ends = [at(blank) for blank in BLANKS for at in (plain.startswith, plain.endswith)]
+    return F.when(reduce(Column.__or__, ends), F.trim(line, F.lit(BLANKS))).otherwise(line)
+
+
 def _lines(docs: DataFrame, key: str, text: str) -> DataFrame:
     """(doc_id, line_no, line) of all lines with text, lower-cased and trimmed."""
     rows = docs.where(docs[key].isNotNull() & docs[text].isNotNull())
     rows = rows.select(docs[key].alias("doc_id"), F.posexplode(F.split(docs[text], "\n")).alias("line_no", "line"))
     # The filter looks at the line as it is, so that it is lower-cased only once.
-    return rows.where(F.trim("line", F.lit(BLANKS)) != "").withColumn("line", F.trim(F.lower("line"), F.lit(BLANKS)))
+    line = F.col("line")
+    return rows.where(_trimmed(line, line) != "").withColumn("line", _trimmed(F.lower(line), line))
 
 
 def _hashed(lines: DataFrame) -> DataFrame:
@@ -79,30 +89,28 @@ def _with_shingles(rows: DataFrame, line: str, name: str) -> DataFrame:
 def _with_bands(lines: DataFrame) -> DataFrame:
     """``size`` and the hashes ``b0``... of the bands, null for lines without bands."""
     shift = 64 - (BANDS.bit_length() - 1)
-    part = lambda h: F.shiftrightunsigned(h, shift)
+    # Signed order: the ring begins at the least number.
+    points = [F.lit(-(2**63) + number * 2**shift) for number in range(BANDS)]
     rows = _with_shingles(lines, "line", "ring").drop("line").withColumn("size", F.size("ring"))
-    # Only the first hashes after each point matter, and there are few of them.
-    first = lambda h, i: (i < RUN) | (part(F.get(F.col("ring"), i - RUN)) != part(h))
-    rows = rows.withColumn("ring", F.filter("ring", first))
+    # Sorted among the hashes, a point has those before its own in front of it and the earlier points.
+    rows = rows.withColumn("places", F.sort_array(F.concat("ring", F.array(*points))))
+    rows = rows.withColumn("ring", F.concat("ring", F.slice("ring", 1, RUN)))
 
     def band(number: int):
-        # Signed order: the ring begins at the least number.
-        point = -(2**63) + number * 2**shift
-        after = F.slice(F.filter("ring", lambda h: h >= point), 1, RUN)
-        run = F.slice(F.concat(after, F.slice("ring", 1, RUN)), 1, RUN)
-        return F.when(F.col("size") >= RUN, F.xxhash64(F.lit(number), run))
-
-    return rows.withColumns({f"b{i}": band(i) for i in range(BANDS)}).drop("ring")
-
-
-def _candidates(buckets: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(pairs of small buckets, and of large ones with their first line, lines of large ones). Most buckets hold one line
-    and are sorted out by a filter of fixed size before the rest is joined."""
-    shared = stored(buckets.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "shared")
-    some = marked(buckets, "bucket", bit_table(shared, "bucket")).where("maybe").select("bucket", "h1")
-    some = stored(some.join(shared, "bucket"), "some")
-    hubs = some.groupBy("bucket").agg(F.min("h1").alias("hub"))
-    members = stored(some.join(hubs, "bucket"), "buckets")
+        before = (F.array_position("places", points[number]) - 1 - number).cast("int")
+        return F.when(F.col("size") >= RUN, F.xxhash64(F.lit(number), F.slice("ring", before + 1, RUN)))
+
+    return rows.withColumns({f"b{i}": band(i) for i in range(BANDS)}).drop("ring", "places")
+
+
+def _candidates(buckets: DataFrame, sparse: bool) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(pairs of small buckets, and of large ones with their first line, lines of large ones). Where buckets are ``sparse``
+    most hold one line and are sorted out by a filter of fixed size before the rest is joined."""
+    if sparse:
+        shared = stored(buckets.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "shared")
+        buckets = stored(marked(buckets, "bucket", bit_table(shared, "bucket")).where("maybe").select("bucket", "h1"), "some")
+    hubs = buckets.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.min("h1").alias("hub")).where("n > 1")
+    members = stored(buckets.join(hubs, "bucket"), "buckets")
     small = members.where(F.col("n") <= SMALL).select("bucket", "h1")
     other = small.select("bucket", F.col("h1").alias("other"))
     pairs = small.join(other, "bucket").where("h1 < other").select(F.col("h1").alias("a"), F.col("other").alias("b"))
@@ -171,7 +179,7 @@ def _alike(docs: DataFrame, key: str, text: str) -> tuple[DataFrame, DataFrame]:
     distinct = stored(banded.groupBy("h1", "h2").agg(F.count("*").alias("n"), F.min("doc_id").alias("first_doc"), *bands), "lines")
     buckets = distinct.select("h1", F.explode(F.array(*[f"b{i}" for i in range(BANDS)])).alias("bucket")).where("bucket is not null")
 
-    pairs, stars, large = _candidates(buckets)
+    pairs, stars, large = _candidates(buckets, sparse=True)
     pairs = stored(pairs.unionByName(stars.select("a", "b")).distinct(), "pairs")
     ends = stored(pairs.select(F.explode(F.array("a", "b")).alias("h1")).distinct(), "ends")
 
@@ -201,7 +209,7 @@ def _alike(docs: DataFrame, key: str, text: str) -> tuple[DataFrame, DataFrame]:
         if stars.isEmpty():
             break
         rest = stars.join(links.select("a", "b"), ["a", "b"], "left_anti").select("bucket", F.col("b").alias("h1"))
-        more, stars, _ = _candidates(stored(rest, "rest"))
+        more, stars, _ = _candidates(stored(rest, "rest"), sparse=False)
         candidates = stored(more.unionByName(stars.select("a", "b")).distinct(), "pairs")
         links = stored(links.unionByName(confirmed(candidates)), "links")
 

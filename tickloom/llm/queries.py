@@ -92,7 +92,7 @@ def op7_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
         F.char_length("text").cast("bigint").alias("n_chars"),
         F.size(F.split("text", "\n", -1)).cast("bigint").alias("n_lines"),
         F.sha2("text", 256).alias("text_sha256"),
-        (F.trim(F.col("text"), F.lit(" \t\r\n")) != "").alias("has_text"),
+        F.col("text").rlike(r"[^ \t\r\n]").alias("has_text"),
     )
 
 
