@@ -16,7 +16,7 @@ from tickloom.llm.near_dedup import keep_one_of_each
 from tickloom.llm.pieces import encode_pieces, token_numbers
 from tickloom.llm.queries import piece_vocabulary
 from tickloom.llm.tables import read
-from tickloom.session import fresh_path
+from tickloom.session import fresh_path, write_once
 
 
 def known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -67,6 +67,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     for name, stage in STAGES:
         path = fresh_path(spark, name)
-        stage(spark, docs, sf_dir).write.parquet(path)
+        write_once(stage(spark, docs, sf_dir), path)
         docs = spark.read.parquet(path)
     return docs

@@ -23,7 +23,9 @@ def _stars(edges: DataFrame, large: bool) -> DataFrame:
         least = down.groupBy("u").agg(F.min("v").alias("m"))
         moved = down.join(least, "u").select(F.col("v").alias("a"), F.col("m").alias("b"))
         moved = moved.unionByName(least.select(F.col("u").alias("a"), F.col("m").alias("b")))
-    return moved.where("a <> b").select(F.col("a").alias("u"), F.col("b").alias("v")).distinct()
+    moved = moved.where("a <> b").select(F.col("a").alias("u"), F.col("b").alias("v"))
+    # A large step gives one link for each it had at most; the small step that follows makes them distinct.
+    return moved if large else moved.distinct()
 
 
 def connected_components(edges: DataFrame) -> DataFrame:

@@ -78,6 +78,25 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{work_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+# Spark's own setting to remove the shuffle files of a query when it ends, not when the driver next collects garbage.
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def write_once(df: DataFrame, path: str) -> None:
+    """Write ``df`` as Parquet and remove the shuffle files of the write when it has ended. The setting holds for
+    the write alone, as tables that are computed again need their shuffles."""
+    conf = df.sparkSession.conf
+    before = conf.get(SHUFFLE_CLEANUP, None)
+    conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        if before is None:
+            conf.unset(SHUFFLE_CLEANUP)
+        else:
+            conf.set(SHUFFLE_CLEANUP, before)
+
+
 def stored(df: DataFrame, name: str = "stage") -> DataFrame:
     """Write ``df`` once as Parquet in the work folder and read it back.
 
@@ -86,5 +105,5 @@ def stored(df: DataFrame, name: str = "stage") -> DataFrame:
     """
     spark = df.sparkSession
     path = fresh_path(spark, name)
-    df.write.parquet(path)
+    write_once(df, path)
     return spark.read.schema(df.schema).parquet(path)
