@@ -4,7 +4,8 @@ import re
 from pyspark.sql import functions as F
 
 from tickloom.llm import near_dedup
-from tickloom.llm.components import connected_components
+from tickloom import session
+from tickloom.llm.components import _settled, connected_components
 from tickloom.llm.near_dedup import keep_one_of_each, near_duplicates
 
 from plain import ascii_lower
@@ -91,3 +92,23 @@ def test_connected_components(spark):
     found = {r.node: r.component for r in connected_components(edges).collect()}
     assert found == {i: 0 for i in range(41)} | {i: 100 for i in range(100, 140)} | {900: 900}
     assert connected_components(edges.where(F.lit(False))).count() == 0
+
+
+def test_components_leave_one_table(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(session, "work_dir", lambda _: str(tmp_path))
+    edges = spark.createDataFrame([(i, i + 1) for i in range(40)], "u bigint, v bigint")
+    assert connected_components(edges).where("component = 0").count() == 41
+    assert len(list(tmp_path.iterdir())) == 1
+
+
+def test_settled(spark):
+    settled = lambda links: _settled(spark.createDataFrame(links, "u bigint, v bigint"))
+    assert settled([(2, 1), (3, 1), (9, 8)]) and settled([])
+    assert not settled([(2, 1), (3, 2)]) and not settled([(3, 1), (3, 2)])
+
+
+def test_one_of_each_leaves_its_keys(odd, tmp_path, monkeypatch):
+    monkeypatch.setattr(session, "work_dir", lambda _: str(tmp_path))
+    kept = keep_one_of_each(odd)
+    assert [path.name.rsplit("-", 1)[0] for path in tmp_path.iterdir()] == ["keys"]
+    assert kept.count() == odd.count() - 2

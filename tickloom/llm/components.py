@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Observation, functions as F
 
-from tickloom.llm.tables import stored
+from tickloom.llm.tables import discard, stored
 
 MAX_ROUNDS = 60  # rounds grow as the logarithm of the longest path; this is a guard against a bug
 
@@ -28,24 +28,32 @@ def _stars(edges: DataFrame, large: bool) -> DataFrame:
     return moved if large else moved.distinct()
 
 
+def _settled(edges: DataFrame) -> bool:
+    """Whether every link leads to a least node: no node has two links, or is linked to and has one."""
+    ends = F.expr("array(named_struct('node', u, 'links', 1, 'root', 0), named_struct('node', v, 'links', 0, 'root', 1))")
+    nodes = edges.select(F.inline(ends)).groupBy("node").agg(F.sum("links").alias("links"), F.max("root").alias("root"))
+    return nodes.where("links + root > 1").isEmpty()
+
+
 def connected_components(edges: DataFrame) -> DataFrame:
     """(node, component) for every node of ``edges`` (u, v), both bigint; component is the
     least node that can be reached. Self-links and repeated links do no harm; nulls are left out.
 
-    Every round is written to the shared folder, which cuts the lineage."""
+    Every round is written to the shared folder, which cuts the lineage; the round before is removed then.
+    Whether the links are settled is looked at when a round leaves their number as it was."""
     edges = edges.where("u is not null and v is not null")
     alone = edges.where("u = v").select("u")
     edges = stored(edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "edges")
-    state = None
+    count = None
     for _ in range(MAX_ROUNDS):
-        # Number and checksum of the links are counted as they are written.
+        # The links are counted as they are written.
         seen = Observation()
-        counts = [F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("sum")]
-        edges = stored(_stars(_stars(edges, True), False).observe(seen, *counts), "stars")
-        now = seen.get
-        if now == state:
+        before, edges = edges, stored(_stars(_stars(edges, True), False).observe(seen, F.count(F.lit(1)).alias("n")), "stars")
+        discard(before)
+        now = seen.get.get("n")
+        if now == count and _settled(edges):
             break
-        state = now
+        count = now
     else:
         raise RuntimeError("components did not settle")
     roots = edges.select(F.col("v").alias("node"), F.col("v").alias("component"))

@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from tickloom.llm.components import connected_components
-from tickloom.llm.tables import one_of_repeated, ship_package, stored, text_rows, without_rows
+from tickloom.llm.tables import one_of_repeated, ship_package, stored, stored_alone, text_rows, without_rows
 from tickloom.llm.words import NOT_SPACE, chunks, mix, split_words
 
 WORDS = 5
@@ -404,9 +404,13 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wo
 
 def keep_one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """``docs`` with one document of each group of near duplicates, all columns as they were."""
-    found = near_duplicates(docs, key, text, **options)
-    keys = found.groupBy("doc_id", "text_hash").agg(F.max("kept").alias("kept"), F.count(F.lit(1)).alias("n"))
-    keys = stored(keys.where("not kept or n > 1"), "keys")
+
+    def removed() -> DataFrame:
+        found = near_duplicates(docs, key, text, **options)
+        keys = found.groupBy("doc_id", "text_hash").agg(F.max("kept").alias("kept"), F.count(F.lit(1)).alias("n"))
+        return keys.where("not kept or n > 1")
+
+    keys = stored_alone(removed, "keys")
     rows = without_rows(docs, keys.where("not kept"), key, text)
     repeated = keys.where("kept and n > 1")
     return rows if repeated.isEmpty() else one_of_repeated(rows, repeated, key, text)

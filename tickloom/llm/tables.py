@@ -10,7 +10,7 @@ import tickloom
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tickloom.llm.prefilter import bit_table, marked
-from tickloom.session import fresh_path, stored  # noqa: F401
+from tickloom.session import discard, fresh_path, stored, stored_alone  # noqa: F401
 
 _shipped: set[str] = set()
 

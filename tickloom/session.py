@@ -4,7 +4,10 @@ import sys
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Callable
+from contextvars import ContextVar
 from pathlib import Path
+from weakref import WeakKeyDictionary
 
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
@@ -97,6 +100,10 @@ def write_once(df: DataFrame, path: str) -> None:
             conf.set(SHUFFLE_CLEANUP, before)
 
 
+_paths: WeakKeyDictionary[DataFrame, str] = WeakKeyDictionary()
+_passing: ContextVar[list[DataFrame] | None] = ContextVar("passing", default=None)
+
+
 def stored(df: DataFrame, name: str = "stage") -> DataFrame:
     """Write ``df`` once as Parquet in the work folder and read it back.
 
@@ -106,4 +113,29 @@ def stored(df: DataFrame, name: str = "stage") -> DataFrame:
     spark = df.sparkSession
     path = fresh_path(spark, name)
     write_once(df, path)
-    return spark.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    _paths[table] = path
+    if (tables := _passing.get()) is not None:
+        tables.append(table)
+    return table
+
+
+def discard(table: DataFrame) -> None:
+    """Remove a table that ``stored`` has written, once nothing reads it any more."""
+    if path := _paths.pop(table, None):
+        spark = table.sparkSession
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def stored_alone(step: Callable[[], DataFrame], name: str = "stage") -> DataFrame:
+    """The result of ``step()``, stored; the tables that it has stored on its way are removed."""
+    before = _passing.set(tables := [])
+    try:
+        df = step()
+    finally:
+        _passing.reset(before)
+    result = stored(df, name)
+    for table in tables:
+        discard(table)
+    return result
