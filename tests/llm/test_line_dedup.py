@@ -2,6 +2,7 @@ import collections
 import random
 import re
 
+from tickloom import session
 from tickloom.llm import line_dedup
 from tickloom.llm.line_dedup import drop_repeated_lines, repeated_lines
 from tickloom.llm.prefilter import bit_table, marked
@@ -197,3 +198,45 @@ def test_buckets_that_form_again_need_no_filter(spark):
     assert got[0] == got[1]
     pairs, stars, large = got[0]
     assert len(pairs) == 1 + 66 + 36 and stars == [(4, 40, 40 + i) for i in range(1, 13)] and len(large) == 13
+
+
+def test_components_are_looked_for_once(spark, monkeypatch):
+    """After the links of the buckets, only those between components are looked at again, with new labels or without."""
+    monkeypatch.setattr(line_dedup, "RUN", 1)
+    monkeypatch.setattr(line_dedup, "BANDS", 2)
+    monkeypatch.setattr(line_dedup, "SMALL", 2)
+    looked, components = [], line_dedup.connected_components
+    monkeypatch.setattr(line_dedup, "connected_components", lambda edges: looked.append(edges.count()) or components(edges))
+    rng = random.Random(9)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(9))
+    template, docs = [word() for _ in range(32)], []
+    for i in range(20):
+        own = [word() for _ in range(7)]
+        docs += [(3 * i, " ".join(template + own[:6])), (3 * i + 1, " ".join(template + own[1:])), (3 * i + 2, " ".join(template + own[1:6]))]
+    for few, calls in ((1000, 2), (-1, 3)):
+        looked.clear()
+        monkeypatch.setattr(line_dedup, "FEW", few)
+        assert found(spark, docs) == expected(docs)
+        assert len(looked) == calls
+
+
+def test_prefixes(spark):
+    rng = random.Random(3)
+    sets = {h1: sorted(rng.sample(range(60), rng.randint(3, 12))) for h1 in range(1, 25)}
+    near = spark.createDataFrame([(h1, h1 + 100, s) for h1, s in sets.items()], "h1 bigint, id bigint, shingles array<bigint>")
+    counts = collections.Counter(t for s in sets.values() for t in s)
+    want = set()
+    for h1, s in sets.items():
+        order = sorted(s, key=lambda t: (counts[t], t))[: len(s) - -(-4 * len(s) // 5) + 1]
+        want |= {(t, h1, len(s), at) for at, t in enumerate(order) if counts[t] > 1}
+    assert set(map(tuple, line_dedup._prefixes(near.select("h1"), near).collect())) == want
+
+
+def test_tables_on_the_way_are_removed(spark, tmp_path, monkeypatch):
+    """Only what the result is read from is left in the shared folder."""
+    monkeypatch.setattr(session, "work_dir", lambda _: str(tmp_path))
+    rows = spark.createDataFrame(corpus(4, 40), "doc_id bigint, text string")
+    left = drop_repeated_lines(rows)
+    assert [path.name.rsplit("-", 1)[0] for path in tmp_path.iterdir()] == ["dropped"]
+    before = {r.doc_id: r.text for r in left.collect()}
+    assert before and before == {r.doc_id: r.text for r in drop_repeated_lines(rows).collect()}

@@ -38,7 +38,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tickloom.llm.components import connected_components
 from tickloom.llm.prefilter import bit_table, marked
-from tickloom.llm.tables import stored
+from tickloom.llm.tables import stored, stored_alone
 
 SHINGLE = 10
 SIMILARITY = 0.8
@@ -47,6 +47,7 @@ BANDS = 8
 SMALL = 12  # lines of a bucket that are all compared with each other
 ROUNDS = 4  # of comparing with a first line only, before the rest is compared in full
 BLOCK = 1000  # lines of a list that one task compares with the others
+FEW = 1000  # links that are not worth new labels: at most so many lines are compared with a list once more
 BLANKS = " \t\r"
 
 # A word, seen with the characters that follow its beginning; a longer word than a shingle goes on with each
@@ -119,28 +120,40 @@ def _candidates(buckets: DataFrame, sparse: bool) -> tuple[DataFrame, DataFrame,
 
 
 def _labelled(near: DataFrame, links: DataFrame) -> DataFrame:
-    """(h1, label): the component of each line so far."""
+    """(h1, h2, id, label): the component of each line so far."""
     found = connected_components(links.select("u", "v")).withColumnRenamed("node", "id")
-    rows = near.select("h1", "id").join(found, "id", "left")
-    return stored(rows.groupBy("h1").agg(F.min(F.coalesce("component", "id")).alias("label")), "labels")
+    rows = near.select("h1", "h2", "id").join(found, "id", "left")
+    return rows.select("h1", "h2", "id", F.coalesce("component", "id").alias("label"))
+
+
+def _merged(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """``labels`` where the components that ``links`` join are one."""
+    ends = [labels.select(F.col("id").alias(c), F.col("label").alias(f"{c}_label")) for c in ("u", "v")]
+    joined = links.select("u", "v").join(ends[0], "u").join(ends[1], "v").select(F.col("u_label").alias("u"), F.col("v_label").alias("v"))
+    found = connected_components(joined.where("u <> v")).withColumnRenamed("node", "label")
+    return labels.join(found, "label", "left").select("h1", "h2", "id", F.coalesce("component", "label").alias("label"))
 
 
 def _prefixes(lines: DataFrame, near: DataFrame) -> DataFrame:
     """(token, h1, size, at): the rarest shingles of each line, as many as two alike lines must have one
-    of in common; ``at`` is the place in this order, from 0."""
-    sets = lines.join(near.select("h1", "id", "shingles"), "h1")
+    of in common; ``at`` is the place in this order, from 0. Some lines besides ``lines`` do no harm, so a filter of
+    fixed size picks them."""
+    sets = marked(near.select("h1", "id", "shingles"), "h1", bit_table(lines, "h1")).where("maybe")
     tokens = sets.select("h1", "id", F.size("shingles").alias("size"), F.explode("shingles").alias("token"))
-    counts = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("n"))
+    # Shingles of one line only come first in the order and need no list.
+    counts = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     ordered = tokens.join(counts, "token").groupBy("h1", "id", "size").agg(F.array_sort(F.collect_list(F.struct("n", "token"))).alias("tokens"))
     length = (F.col("size") - F.ceil(SIMILARITY * F.col("size") - 1e-9) + 1).cast("int")
-    found = ordered.select("h1", "size", F.posexplode(F.slice("tokens", F.lit(1), length)).alias("at", "t"))
-    return found.where("t.n > 1").select(F.col("t.token").alias("token"), "h1", "size", "at")
+    ordered = ordered.withColumn("single", F.col("size") - F.size("tokens"))
+    listed = F.slice("tokens", F.lit(1), F.greatest(length - F.col("single"), F.lit(0)))
+    found = ordered.select("h1", "size", "single", F.posexplode(listed).alias("at", "t"))
+    return found.select(F.col("t.token").alias("token"), "h1", "size", (F.col("single") + F.col("at")).alias("at"))
 
 
 def _lists(prefixes: DataFrame, labels: DataFrame) -> DataFrame:
     """Rows of the tokens that lines of different components have, with their ``label``, the ``n`` lines of the
     token, the first of these (``hub``, ``hub_label``) and the most ``common`` label."""
-    rows = prefixes.join(labels, "h1")
+    rows = prefixes.join(labels.select("h1", "label"), "h1")
     counts = rows.groupBy("token", "label").agg(F.count(F.lit(1)).alias("n"), F.min("h1").alias("first"))
     lists = counts.groupBy("token").agg(
         F.sum("n").alias("n"), F.count(F.lit(1)).alias("labels"), F.min(F.struct("first", "label")).alias("hub"), F.max(F.struct("n", "label"))["label"].alias("common")
@@ -196,37 +209,43 @@ def _alike(docs: DataFrame, key: str, text: str) -> tuple[DataFrame, DataFrame]:
     near = _with_shingles(near, "line", "shingles").drop("line")
     near = stored(near.withColumn("id", F.monotonically_increasing_id()), "shingles")
 
-    def confirmed(candidates: DataFrame) -> DataFrame:
-        left = near.select(F.col("h1").alias("a"), F.col("id").alias("u"), F.col("shingles").alias("left"))
-        right = near.select(F.col("h1").alias("b"), F.col("id").alias("v"), F.col("shingles").alias("right"))
+    def confirmed(candidates: DataFrame, few: bool = True) -> DataFrame:
+        """The candidates that are alike; where they are ``few``, other lines are sorted out before the join."""
+        rows = near
+        if few:
+            rows = marked(near, "h1", bit_table(candidates.select(F.explode(F.array("a", "b")).alias("h1")), "h1")).where("maybe")
+        left = rows.select(F.col("h1").alias("a"), F.col("id").alias("u"), F.col("shingles").alias("left"))
+        right = rows.select(F.col("h1").alias("b"), F.col("id").alias("v"), F.col("shingles").alias("right"))
         both = F.size(F.array_intersect("left", "right"))
         found = candidates.join(left, "a").join(right, "b")
         return found.where(both >= SIMILARITY * (F.size("left") + F.size("right") - both) - 1e-9).select("a", "b", "u", "v")
 
-    links = stored(confirmed(pairs), "links")
+    links = found = stored(confirmed(pairs, few=False), "links")
     for _ in range(ROUNDS):
         # Lines of large buckets that their first line did not confirm form buckets again.
         if stars.isEmpty():
             break
-        rest = stars.join(links.select("a", "b"), ["a", "b"], "left_anti").select("bucket", F.col("b").alias("h1"))
+        rest = stars.join(found.select("a", "b"), ["a", "b"], "left_anti").select("bucket", F.col("b").alias("h1"))
         more, stars, _ = _candidates(stored(rest, "rest"), sparse=False)
         candidates = stored(more.unionByName(stars.select("a", "b")).distinct(), "pairs")
-        links = stored(links.unionByName(confirmed(candidates)), "links")
+        found = stored(confirmed(candidates), "links")
+        links = links.unionByName(found)
 
+    labels = _labelled(near, links)
     if not large.isEmpty():
         # Large buckets whose lines are still in different components are compared in full.
-        labels = _labelled(near, links)
-        mixed = large.join(labels, "h1").groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high")
-        prefixes = stored(_prefixes(large.join(mixed, "bucket", "left_semi").select("h1").distinct(), near), "prefixes")
+        labels = stored(labels, "labels")
+        mixed = large.join(labels.select("h1", "label"), "h1").groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high")
+        prefixes = stored(_prefixes(large.join(mixed, "bucket", "left_semi").select("h1"), near), "prefixes")
         lists = _lists(prefixes, labels)
         hubs = lists.where((F.col("n") > SMALL) & (F.col("label") != F.col("hub_label")))
-        more = confirmed(hubs.select(F.least("h1", "hub").alias("a"), F.greatest("h1", "hub").alias("b")).distinct())
-        links = stored(links.unionByName(more), "links")
-        lists = _lists(prefixes, _labelled(near, links))
-        links = stored(links.unionByName(confirmed(_different(lists))), "links")
-
-    found = connected_components(links.select("u", "v"))
-    return places, near.join(found.withColumnRenamed("node", "id"), "id").select("h1", "h2", "component")
+        more = stored(confirmed(hubs.select(F.least("h1", "hub").alias("a"), F.greatest("h1", "hub").alias("b")).distinct()), "links")
+        if more.count() > FEW:
+            labels = stored(_merged(labels, more), "labels")
+            lists = _lists(prefixes, labels)
+        last = stored(confirmed(stored(_different(lists), "pairs")), "links")
+        labels = _merged(labels, more.unionByName(last))
+    return places, labels.select("h1", "h2", F.col("label").alias("component"))
 
 
 def repeated_lines(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -248,7 +267,7 @@ def repeated_lines(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
 def drop_repeated_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", chars: str | None = "n_chars", drop_empty: bool = True) -> DataFrame:
     """``docs`` without the repeated lines, and, unless ``drop_empty`` is False, without the documents
     that have no text left; ``chars`` (if there is such a column) is brought up to date."""
-    dropped = stored(repeated_lines(docs, key, text), "dropped")
+    dropped = stored_alone(lambda: repeated_lines(docs, key, text), "dropped")
     table = bit_table(dropped, "doc_id")
     rows = marked(docs.withColumn("__key", docs[key]), "__key", table, "__maybe")
     same = rows.where(~F.col("__maybe")).select(*docs.columns)
