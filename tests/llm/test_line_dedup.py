@@ -240,3 +240,46 @@ def test_tables_on_the_way_are_removed(spark, tmp_path, monkeypatch):
     assert [path.name.rsplit("-", 1)[0] for path in tmp_path.iterdir()] == ["dropped"]
     before = {r.doc_id: r.text for r in left.collect()}
     assert before and before == {r.doc_id: r.text for r in drop_repeated_lines(rows).collect()}
+
+
+def test_texts_of_candidates_are_shuffled_once(spark, monkeypatch):
+    """Of a candidate's copies only the one in its first document is kept with its text, and the texts are grouped as
+    they were dealt for the join; a pair is intersected once."""
+    tables, plans = {}, {}
+
+    def stored(df, name):
+        plans.setdefault(name, df._jdf.queryExecution().optimizedPlan().toString())
+        tables.setdefault(name, []).append(session.stored(df, name))
+        return tables[name][-1]
+
+    monkeypatch.setattr(line_dedup, "stored", stored)
+    monkeypatch.setattr(line_dedup, "discard", lambda table: None)
+    long = " ".join(f"word{i}" for i in range(40))
+    docs = [(i, f"{long}\n{long}\nown line {i}" if i < 30 else f"{long} more") for i in range(31)]
+    assert found(spark, docs) == expected(docs)
+    texts = tables["places"][0].where("line is not null").select("doc_id", "line_no")
+    assert sorted(map(tuple, texts.collect())) == [(0, 0), (0, 1), (30, 0)]
+    near = tables["shingles"][0]
+    assert near.count() == near.select("h1", "h2").distinct().count() == 2
+    assert plans["links"].count("array_intersect") == 1
+
+
+def test_blank_documents_go_and_odd_blanks_stay(spark):
+    texts = ["same line", "same line", "same line\n\t\r ", "same line\n\x0b", "same line\n\u00a0", "same line\nx"]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    kept = {r.doc_id: r.text for r in drop_repeated_lines(rows).collect()}
+    assert kept == {0: "same line", 3: "\x0b", 4: "\u00a0", 5: "x"}
+
+
+def test_tables_of_a_step_go_when_it_is_over(spark, tmp_path, monkeypatch):
+    """The lines with their bands and the buckets' first tables are gone before the pairs are confirmed."""
+    monkeypatch.setattr(session, "work_dir", lambda _: str(tmp_path))
+    there, stored = {}, line_dedup.stored
+
+    def seen(df, name):
+        there.setdefault(name, {path.name.rsplit("-", 1)[0] for path in tmp_path.iterdir()})
+        return stored(df, name)
+
+    monkeypatch.setattr(line_dedup, "stored", seen)
+    drop_repeated_lines(spark.createDataFrame(corpus(4, 40), "doc_id bigint, text string"))
+    assert "lines" in there["places"] and not there["shingles"] & {"lines", "shared", "some"}

@@ -38,7 +38,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tickloom.llm.components import connected_components
 from tickloom.llm.prefilter import bit_table, marked
-from tickloom.llm.tables import stored, stored_alone
+from tickloom.llm.tables import discard, stored, stored_alone
 
 SHINGLE = 10
 SIMILARITY = 0.8
@@ -107,11 +107,15 @@ def _with_bands(lines: DataFrame) -> DataFrame:
 def _candidates(buckets: DataFrame, sparse: bool) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(pairs of small buckets, and of large ones with their first line, lines of large ones). Where buckets are ``sparse``
     most hold one line and are sorted out by a filter of fixed size before the rest is joined."""
+    passing = []
     if sparse:
         shared = stored(buckets.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "shared")
         buckets = stored(marked(buckets, "bucket", bit_table(shared, "bucket")).where("maybe").select("bucket", "h1"), "some")
+        passing = [shared, buckets]
     hubs = buckets.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.min("h1").alias("hub")).where("n > 1")
     members = stored(buckets.join(hubs, "bucket"), "buckets")
+    for table in passing:
+        discard(table)
     small = members.where(F.col("n") <= SMALL).select("bucket", "h1")
     other = small.select("bucket", F.col("h1").alias("other"))
     pairs = small.join(other, "bucket").where("h1 < other").select(F.col("h1").alias("a"), F.col("other").alias("b"))
@@ -142,7 +146,7 @@ def _prefixes(lines: DataFrame, near: DataFrame) -> DataFrame:
     tokens = sets.select("h1", "id", F.size("shingles").alias("size"), F.explode("shingles").alias("token"))
     # Shingles of one line only come first in the order and need no list.
     counts = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    ordered = tokens.join(counts, "token").groupBy("h1", "id", "size").agg(F.array_sort(F.collect_list(F.struct("n", "token"))).alias("tokens"))
+    ordered = tokens.join(counts, "token").groupBy("h1", "id", "size").agg(F.sort_array(F.collect_list(F.struct("n", "token"))).alias("tokens"))
     length = (F.col("size") - F.ceil(SIMILARITY * F.col("size") - 1e-9) + 1).cast("int")
     ordered = ordered.withColumn("single", F.col("size") - F.size("tokens"))
     listed = F.slice("tokens", F.lit(1), F.greatest(length - F.col("single"), F.lit(0)))
@@ -194,19 +198,24 @@ def _alike(docs: DataFrame, key: str, text: str) -> tuple[DataFrame, DataFrame]:
 
     pairs, stars, large = _candidates(buckets, sparse=True)
     pairs = stored(pairs.unionByName(stars.select("a", "b")).distinct(), "pairs")
-    ends = stored(pairs.select(F.explode(F.array("a", "b")).alias("h1")).distinct(), "ends")
+    ends = pairs.select(F.explode(F.array("a", "b")).alias("h1")).distinct()
+    firsts = marked(distinct.select("h1", "h2", F.col("first_doc").alias("doc_id")), "h1", bit_table(ends, "h1")).where("maybe").drop("maybe")
+    firsts = stored(firsts.join(ends, "h1", "left_semi"), "firsts")
 
-    # One scan gives both the places that may matter and the texts of the candidates.
-    wanted = distinct.where("n > 1").select("h1").unionByName(ends)
+    # One scan gives both the places that may matter and the texts of the candidates, each from its first document.
+    wanted = distinct.where("n > 1").select("h1").unionByName(firsts.select("h1"))
     places = marked(lines, "h1", bit_table(wanted, "h1")).where("maybe")
-    places = marked(places, "h1", bit_table(ends, "h1"), "end")
+    place = F.xxhash64("h1", "h2", "doc_id")
+    places = marked(places.withColumn("place", place), "place", bit_table(firsts.select(place.alias("place")), "place"), "end")
     places = places.select("doc_id", "line_no", "h1", "h2", F.when(F.col("end"), F.col("line")).alias("line"))
     places = stored(places, "places")
+    discard(distinct)
 
-    firsts = distinct.join(ends, "h1", "left_semi").select("h1", "h2", F.col("first_doc").alias("doc_id"))
+    # A line may come more than once in its first document. It is grouped by the keys of the join, which need no
+    # other shuffle of the texts.
     near = places.where("line is not null").join(firsts, ["h1", "h2", "doc_id"])
-    near = near.groupBy("h1", "h2").agg(F.min("line").alias("line"))
-    near = _with_shingles(near, "line", "shingles").drop("line")
+    near = near.groupBy("h1", "h2", "doc_id").agg(F.min("line").alias("line"))
+    near = _with_shingles(near.select("h1", "h2", "line"), "line", "shingles").drop("line")
     near = stored(near.withColumn("id", F.monotonically_increasing_id()), "shingles")
 
     def confirmed(candidates: DataFrame, few: bool = True) -> DataFrame:
@@ -216,9 +225,12 @@ def _alike(docs: DataFrame, key: str, text: str) -> tuple[DataFrame, DataFrame]:
             rows = marked(near, "h1", bit_table(candidates.select(F.explode(F.array("a", "b")).alias("h1")), "h1")).where("maybe")
         left = rows.select(F.col("h1").alias("a"), F.col("id").alias("u"), F.col("shingles").alias("left"))
         right = rows.select(F.col("h1").alias("b"), F.col("id").alias("v"), F.col("shingles").alias("right"))
-        both = F.size(F.array_intersect("left", "right"))
-        found = candidates.join(left, "a").join(right, "b")
-        return found.where(both >= SIMILARITY * (F.size("left") + F.size("right") - both) - 1e-9).select("a", "b", "u", "v")
+        sizes = F.size("left"), F.size("right")
+        # Most candidates have too different numbers of shingles. The intersection stands there once, as a
+        # condition of a join computes it anew each time.
+        possible = F.least(*sizes) >= SIMILARITY * F.greatest(*sizes) - 1e-9
+        enough = (1 + SIMILARITY) * F.size(F.array_intersect("left", "right")) >= SIMILARITY * (sizes[0] + sizes[1]) - 1e-9
+        return candidates.join(left, "a").join(right, "b").where(possible & enough).select("a", "b", "u", "v")
 
     links = found = stored(confirmed(pairs, few=False), "links")
     for _ in range(ROUNDS):
@@ -256,12 +268,10 @@ def repeated_lines(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     own = F.col("component").isNull()
     rows = rows.select("doc_id", "line_no", F.when(own, F.col("h1")).otherwise(F.col("component")).alias("c1"), F.when(own, F.col("h2")).alias("c2"))
     rows = stored(rows.fillna({"c2": 0}), "rows")
-    kept = rows.groupBy("c1", "c2").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("n")).where("n > 1")
-    kept = stored(kept, "kept")
-    inside = rows.join(kept, ["c1", "c2", "doc_id"], "left_semi").groupBy("c1", "c2").agg(F.min("line_no").alias("kept_no"))
-    kept = kept.withColumnRenamed("doc_id", "keeper").join(inside, ["c1", "c2"])
-    dropped = rows.join(kept, ["c1", "c2"]).where("doc_id <> keeper or line_no <> kept_no")
-    return dropped.groupBy("doc_id").agg(F.array_sort(F.collect_set("line_no")).alias("lines"))
+    first = F.min(F.struct("doc_id", "line_no")).alias("first")
+    kept = rows.groupBy("c1", "c2").agg(first, F.count("*").alias("n")).where("n > 1")
+    dropped = rows.join(kept, ["c1", "c2"]).where("doc_id <> first.doc_id or line_no <> first.line_no")
+    return dropped.groupBy("doc_id").agg(F.sort_array(F.collect_set("line_no")).alias("lines"))
 
 
 def drop_repeated_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", chars: str | None = "n_chars", drop_empty: bool = True) -> DataFrame:
@@ -277,7 +287,8 @@ def drop_repeated_lines(docs: DataFrame, key: str = "doc_id", text: str = "text"
     kept = F.filter(split, lambda line, i: ~F.array_contains("__lines", i))
     changed = changed.withColumn("__kept", F.when(F.col("__lines").isNotNull(), F.array_join(kept, "\n")))
     if drop_empty:
-        changed = changed.where("__kept is null or trim(both from translate(__kept, '\\n\\r\\t', '   ')) <> ''")
+        # The search ends at the first character that is not blank.
+        changed = changed.where(F.col("__kept").isNull() | F.col("__kept").rlike(r"[^ \n\r\t]"))
     changes = {text: F.coalesce("__kept", text)}
     if chars in docs.columns:
         kind = docs.schema[chars].dataType
