@@ -208,13 +208,14 @@ def fit_language(
     if not counts:
         return LanguageModel([], np.zeros(BUCKETS), np.zeros((BUCKETS, 0)), 1.0)
 
-    # What the driver gets comes as Arrow tables: rows as Python objects take several times as much memory, which
-    # the process keeps.
-    idf = np.zeros(BUCKETS + 1)
+    idf = np.zeros(BUCKETS)
     frequencies = rows.select("text").mapInArrow(_document_frequencies, "bucket int, n bigint")
-    found = frequencies.groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()  # at most BUCKETS + 1 rows
-    idf[found["bucket"].to_numpy()] = found["n"].to_numpy()
-    total, idf = idf[-1], idf[:-1]
+    total = 0
+    for row in frequencies.groupBy("bucket").agg(F.sum("n").alias("n")).collect():  # at most BUCKETS + 1 rows
+        if row.bucket < 0:
+            total = row.n
+        else:
+            idf[row.bucket] = row.n
     idf = np.where(idf > 0, np.log((1 + total) / (1 + idf)) + 1, 0.0)
 
     share = sample / len(counts)
@@ -224,16 +225,15 @@ def fit_language(
     for row in counts:
         wanted |= (F.col("lang") == row["lang"]) & (drawn < share / max(row["texts"], 1))
     vectors = rows.where(wanted).mapInArrow(_vectors, "lang string, text_hash bigint, buckets binary, counts binary")
-    taken = vectors.distinct().toArrow().combine_chunks()
-    names, hashes = taken["lang"].to_pylist(), taken["text_hash"].to_pylist()
+    taken = sorted(vectors.distinct().collect(), key=lambda r: (r.text_hash, r.lang))
 
     languages = sorted(row["lang"] for row in counts)
     examples, labels = [], []
-    for i in sorted(range(len(names)), key=lambda i: (hashes[i], names[i])):
-        at = np.frombuffer(taken["buckets"][i].as_buffer(), np.int32)
+    for row in taken:
+        at = np.frombuffer(row.buckets, np.int32)
         if len(at):
-            examples.append((at, _scaled(at, np.frombuffer(taken["counts"][i].as_buffer(), np.int32), idf)))
-            labels.append(languages.index(names[i]))
+            examples.append((at, _scaled(at, np.frombuffer(row.counts, np.int32), idf)))
+            labels.append(languages.index(row.lang))
     labels = np.array(labels, np.int64)
     aside = np.arange(len(labels)) % 5 == 4
     fitted = [x for x, out in zip(examples, aside) if not out]
