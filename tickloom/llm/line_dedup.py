@@ -199,8 +199,7 @@ def _alike(docs: DataFrame, key: str, text: str) -> tuple[DataFrame, DataFrame]:
     pairs, stars, large = _candidates(buckets, sparse=True)
     pairs = stored(pairs.unionByName(stars.select("a", "b")).distinct(), "pairs")
     ends = pairs.select(F.explode(F.array("a", "b")).alias("h1")).distinct()
-    firsts = marked(distinct.select("h1", "h2", F.col("first_doc").alias("doc_id")), "h1", bit_table(ends, "h1")).where("maybe").drop("maybe")
-    firsts = stored(firsts.join(ends, "h1", "left_semi"), "firsts")
+    firsts = stored(distinct.join(ends, "h1", "left_semi").select("h1", "h2", F.col("first_doc").alias("doc_id")), "firsts")
 
     # One scan gives both the places that may matter and the texts of the candidates, each from its first document.
     wanted = distinct.where("n > 1").select("h1").unionByName(firsts.select("h1"))
